@@ -51,7 +51,7 @@ def get_spark(app: str = "marquee", master: str | None = None,
         b = b.master(master)
     elif "PYSPARK_SUBMIT_ARGS" not in os.environ and "SPARK_MASTER" not in os.environ:
         b = b.master("local[*]")
-    b = b.config("spark.ui.enabled", "false")
+    b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in {**RESULT_SETTINGS, **EXECUTION_SETTINGS}.items():
         b = b.config(k, v)
     if shuffle_partitions:
