@@ -50,25 +50,25 @@ def _pipeline_run(spark: SparkSession, sf_dir: str) -> Store:
 
 def q_scan_json_movies(spark, d):
     p = scratch_path(spark, "movies_json")
-    write_feed(fx.movies(spark, d), p, "json")
+    write_feed(fx.bronze(spark, d, "movies"), p, "json")
     return rd.read_movies_json(spark, p, multiline=False)
 
 
 def q_scan_csv_scores(spark, d):
     p = scratch_path(spark, "scores_csv")
-    write_feed(fx.scores(spark, d), p, "csv")
+    write_feed(fx.bronze(spark, d, "scores"), p, "csv")
     return rd.read_scores_csv(spark, p)
 
 
 def q_scan_json_watchlist(spark, d):
     p = scratch_path(spark, "watchlist_json")
-    write_wrapped_json(fx.watchlist(spark, d), p, "events", rows_per_doc=1000)
+    write_wrapped_json(fx.bronze(spark, d, "watchlist"), p, "events", rows_per_doc=1000)
     return rd.read_watchlist_json(spark, p, wrapped=True, multiline=False)
 
 
 def q_scan_xml_awards(spark, d):
     p = scratch_path(spark, "awards_xml")
-    write_feed(fx.awards(spark, d), p, "xml", root_tag="awards", row_tag="award")
+    write_feed(fx.bronze(spark, d, "awards"), p, "xml", root_tag="awards", row_tag="award")
     return rd.read_awards_xml(spark, p)
 
 
@@ -87,7 +87,7 @@ def _roundtrip(fmt: str):
     def q(spark, d):
         from marquee.operators.cleaners import clean_movies
         p = scratch_path(spark, f"movies_{fmt}")
-        silver = clean_movies(fx.movies(spark, d))
+        silver = clean_movies(fx.bronze(spark, d, "movies"))
         if fmt == "xml":
             write_feed(silver, p, "xml", root_tag="movies", row_tag="movie")
             return (spark.read.format("xml").option("rowTag", "movie")
@@ -105,7 +105,7 @@ def _roundtrip(fmt: str):
 
 def q_sink_bronze_roundtrip(spark, d):
     store = Store(scratch_path(spark, "lake"))
-    store.write(fx.users(spark, d), "bronze", "users")
+    store.write(fx.bronze(spark, d, "users"), "bronze", "users")
     return store.read(spark, "bronze", "users")
 
 
@@ -113,7 +113,7 @@ def q_sink_ctas_roundtrip(spark, d):
     """Gold replace: a first write of a partial mart is fully replaced."""
     from marquee.operators.cleaners import clean_ratings
     store = Store(scratch_path(spark, "lake"))
-    silver = clean_ratings(fx.ratings(spark, d))
+    silver = clean_ratings(fx.bronze(spark, d, "ratings"))
     store.write(mt.fact_ratings(silver.where(F.col("score") > 5)), "gold", "fact_ratings")
     store.write(mt.fact_ratings(silver), "gold", "fact_ratings")
     return store.read(spark, "gold", "fact_ratings")

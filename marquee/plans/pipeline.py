@@ -18,7 +18,7 @@ from marquee.operators.marts import movie_360, table_counts, trending_titles
 from marquee.plans.registry import DATASETS, dataset
 from marquee.sources.readers import read_feed
 from marquee.sources.sinks import (
-    _APPEND_LOCK, AUDIT_TABLE, METRICS_TABLE, Store, audit, write_feed, write_wrapped_json,
+    _APPEND_LOCK, AUDIT_TABLE, METRICS_TABLE, AuditLog, Store, write_feed, write_wrapped_json,
 )
 
 log = logging.getLogger(__name__)
@@ -26,38 +26,61 @@ log = logging.getLogger(__name__)
 METRIC_TABLES = ("movies", "users", "ratings", "reviews")
 
 
-def run_bronze(spark: SparkSession, name: str, landing: str, store: Store) -> int:
+class _StepLog:
+    """The run's audit log, or a private one flushed when the step ends."""
+
+    def __init__(self, spark: SparkSession, store: Store, audit_log: AuditLog | None):
+        self.log = audit_log or AuditLog(spark, store)
+        self.own = audit_log is None
+
+    def __enter__(self) -> AuditLog:
+        return self.log
+
+    def __exit__(self, *exc) -> None:
+        if self.own:
+            self.log.flush()
+
+
+def run_bronze(spark: SparkSession, name: str, landing: str, store: Store,
+               audit_log: AuditLog | None = None) -> int:
     """Read one landing feed as-is and replace its bronze table."""
     ds = dataset(name)
-    n = store.write(read_feed(spark, landing, name), "bronze", ds.bronze_table)
-    audit(spark, store, name, "bronze", ds.bronze_table, n)
+    with _StepLog(spark, store, audit_log) as a:
+        n = store.write(read_feed(spark, landing, name), "bronze", ds.bronze_table)
+        a.add(name, "bronze", ds.bronze_table, n)
     log.info("bronze %s: %d rows", name, n)
     return n
 
 
-def run_silver(spark: SparkSession, name: str, store: Store) -> int | None:
+def run_silver(spark: SparkSession, name: str, store: Store,
+               audit_log: AuditLog | None = None) -> int | None:
     """Clean bronze into silver.  An empty bronze table leaves silver as it is
     (audited as SKIPPED); the check reads at most one row."""
     ds = dataset(name)
-    bronze = store.read(spark, "bronze", ds.bronze_table)
-    if bronze.isEmpty():
-        audit(spark, store, name, "silver", ds.silver_table, 0, status="SKIPPED")
-        return None
-    n = store.write(ds.cleaner(bronze), "silver", ds.silver_table)
-    audit(spark, store, name, "silver", ds.silver_table, n)
+    with _StepLog(spark, store, audit_log) as a:
+        bronze = store.read(spark, "bronze", ds.bronze_table)
+        if bronze.isEmpty():
+            a.add(name, "silver", ds.silver_table, 0, status="SKIPPED")
+            return None
+        n = store.write(ds.cleaner(bronze), "silver", ds.silver_table,
+                        bucket_by="movie_key" if name == "movies" else None)
+        a.add(name, "silver", ds.silver_table, n)
     return n
 
 
-def run_gold(spark: SparkSession, name: str, store: Store) -> int:
+def run_gold(spark: SparkSession, name: str, store: Store,
+             audit_log: AuditLog | None = None) -> int:
     """Aggregate one silver table into its gold mart."""
     ds = dataset(name)
-    mart = ds.mart(store.read(spark, "silver", ds.silver_table))
-    n = store.write(mart, "gold", ds.gold_table, bucket_by="movie_key" if ds.per_title else None)
-    audit(spark, store, name, "gold", ds.gold_table, n)
+    with _StepLog(spark, store, audit_log) as a:
+        mart = ds.mart(store.read(spark, "silver", ds.silver_table))
+        n = store.write(mart, "gold", ds.gold_table,
+                        bucket_by="movie_key" if ds.per_title else None)
+        a.add(name, "gold", ds.gold_table, n)
     return n
 
 
-def run_marts(spark: SparkSession, store: Store) -> int:
+def run_marts(spark: SparkSession, store: Store, audit_log: AuditLog | None = None) -> int:
     """movie_360 from silver movies and the five per-title marts, then the
     top-20 from the stored movie_360."""
     g = {ds: store.read(spark, "gold", DATASETS[ds].gold_table)
@@ -66,7 +89,8 @@ def run_marts(spark: SparkSession, store: Store) -> int:
                      g["watchlist"], g["awards"], g["reviews"])
     n = store.write(m360, "gold", "movie_360", bucket_by="movie_key")
     store.write(trending_titles(store.read(spark, "gold", "movie_360")), "gold", "trending_titles")
-    audit(spark, store, "marts", "gold", "movie_360", n)
+    with _StepLog(spark, store, audit_log) as a:
+        a.add("marts", "gold", "movie_360", n)
     return n
 
 
@@ -82,31 +106,41 @@ def metrics_snapshot(spark: SparkSession, store: Store) -> DataFrame:
                                        *[f"total_{t}" for t in METRIC_TABLES])
 
 
-def record_run_metrics(spark: SparkSession, store: Store) -> int:
+def record_run_metrics(spark: SparkSession, store: Store,
+                       audit_log: AuditLog | None = None) -> int:
     """Append one snapshot row to gold.run_metrics (history, never replaced)."""
     with _APPEND_LOCK:
         n = store.write(metrics_snapshot(spark, store).coalesce(1), "gold", METRICS_TABLE,
                         mode="append")
-    audit(spark, store, "marts", "gold", METRICS_TABLE, n)
+    with _StepLog(spark, store, audit_log) as a:
+        a.add("marts", "gold", METRICS_TABLE, n)
     return n
 
 
-def run_dataset(spark: SparkSession, name: str, landing: str, store: Store) -> None:
-    run_bronze(spark, name, landing, store)
-    if run_silver(spark, name, store) is not None or store.exists(spark, "silver", name):
-        run_gold(spark, name, store)
+def run_dataset(spark: SparkSession, name: str, landing: str, store: Store,
+                audit_log: AuditLog | None = None) -> None:
+    run_bronze(spark, name, landing, store, audit_log)
+    if (run_silver(spark, name, store, audit_log) is not None
+            or store.exists(spark, "silver", name)):
+        run_gold(spark, name, store, audit_log)
 
 
 def run_pipeline(spark: SparkSession, landing: str, store: Store, parallelism: int = 4) -> int:
     """The whole run; returns the movie_360 row count.  The first failure in
-    any dataset chain is raised after the others finish."""
+    any dataset chain is raised after the others finish; audit rows of the
+    steps that did finish are written either way."""
     store.prepare(spark)
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        futures = [pool.submit(run_dataset, spark, ds, landing, store) for ds in DATASETS]
-        for f in futures:
-            f.result()
-    n = run_marts(spark, store)
-    record_run_metrics(spark, store)
+    audit_log = AuditLog(spark, store)
+    try:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            futures = [pool.submit(run_dataset, spark, ds, landing, store, audit_log)
+                       for ds in DATASETS]
+            for f in futures:
+                f.result()
+        n = run_marts(spark, store, audit_log)
+        record_run_metrics(spark, store, audit_log)
+    finally:
+        audit_log.flush()
     return n
 
 

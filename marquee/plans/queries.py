@@ -47,70 +47,70 @@ def _movie_360(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- scalar functions, each on a fixture column --------------------------
 
 def q_str_trim(spark, d):
-    return fx.movies(spark, d).select("id", fn.str_trim("director").alias("director"))
+    return fx.bronze(spark, d, "movies").select("id", fn.str_trim("director").alias("director"))
 
 
 def q_str_lower_trim(spark, d):
-    return fx.movies(spark, d).select("id", fn.str_lower_trim("language").alias("language"))
+    return fx.bronze(spark, d, "movies").select("id", fn.str_lower_trim("language").alias("language"))
 
 
 def q_str_initcap(spark, d):
-    return fx.movies(spark, d).select("id", fn.str_initcap("genre").alias("genre"))
+    return fx.bronze(spark, d, "movies").select("id", fn.str_initcap("genre").alias("genre"))
 
 
 def q_parse_int(spark, d):
-    return fx.movies(spark, d).select("id", fn.parse_int("runtime").alias("runtime_min"))
+    return fx.bronze(spark, d, "movies").select("id", fn.parse_int("runtime").alias("runtime_min"))
 
 
 def q_parse_double(spark, d):
-    return fx.ratings(spark, d).select("rating_id", fn.parse_double("score").alias("score"))
+    return fx.bronze(spark, d, "ratings").select("rating_id", fn.parse_double("score").alias("score"))
 
 
 def q_parse_rating(spark, d):
-    return fx.movies(spark, d).select("id", fn.parse_rating("rating").alias("rating"))
+    return fx.bronze(spark, d, "movies").select("id", fn.parse_rating("rating").alias("rating"))
 
 
 def q_range_or_null(spark, d):
-    return fx.movies(spark, d).select(
+    return fx.bronze(spark, d, "movies").select(
         "id", fn.range_or_null(fn.parse_rating("rating"), 0, 10).alias("rating"))
 
 
 def q_parse_date(spark, d):
-    return fx.ratings(spark, d).select("rating_id",
+    return fx.bronze(spark, d, "ratings").select("rating_id",
                                        fn.parse_date("watched_date").alias("watched_date"))
 
 
 def q_date_iso(spark, d):
-    return fx.movies(spark, d).select(
+    return fx.bronze(spark, d, "movies").select(
         "id", fn.date_iso(fn.parse_date("release_date")).alias("release_date"))
 
 
 def q_bool_map(spark, d):
-    return fx.users(spark, d).select("user_id", fn.bool_map("is_premium").alias("is_premium"))
+    return fx.bronze(spark, d, "users").select("user_id", fn.bool_map("is_premium").alias("is_premium"))
 
 
 def q_source_canon(spark, d):
-    return fx.scores(spark, d).select(F.col("source").alias("source_raw"),
+    return fx.bronze(spark, d, "scores").select(F.col("source").alias("source_raw"),
                                       fn.source_canon("source").alias("source"))
 
 
 def q_movie_key(spark, d):
-    return fx.ratings(spark, d).select("rating_id", fn.movie_key("movie_title").alias("movie_key"))
+    return fx.bronze(spark, d, "ratings").select("rating_id", fn.movie_key("movie_title").alias("movie_key"))
 
 
 def q_movie_key_pair(spark, d):
-    return fx.movies(spark, d).select(
+    return fx.bronze(spark, d, "movies").select(
         "id", fn.movie_key_pair(fn.str_initcap("title"), fn.str_lower_trim("type"))
         .alias("movie_key"))
 
 
 def q_cast_ids(spark, d):
-    return fx.ratings(spark, d).select(fn.cast_ids("rating_id").alias("rating_id"),
+    return fx.bronze(spark, d, "ratings").select(fn.cast_ids("rating_id").alias("rating_id"),
                                        fn.cast_ids("user_id").alias("user_id"))
 
 
 def q_coalesce_default(spark, d):
-    return fx.movies(spark, d).select(
+    return fx.bronze(spark, d, "movies").select(
         "id", fn.coalesce_default(fn.str_initcap("genre")).alias("genre"))
 
 
@@ -128,42 +128,42 @@ def q_nan_to_null(spark, d):
 # ---- filters ---------------------------------------------------------------
 
 def q_filter_nonblank(spark, d):
-    m = fx.movies(spark, d).select("id", fn.str_initcap("title").alias("title"))
+    m = fx.bronze(spark, d, "movies").select("id", fn.str_initcap("title").alias("title"))
     return m.filter(fn.nonblank("title"))
 
 
 def q_filter_key_not_null(spark, d):
-    return cl.project_scores(fx.scores(spark, d)).select("movie_key", "source")
+    return cl.project_scores(fx.bronze(spark, d, "scores")).select("movie_key", "source")
 
 
 # ---- dedupe ----------------------------------------------------------------
 
 def q_dedupe_movies(spark, d):
-    return first_per_key(cl.project_movies(fx.movies(spark, d)), ["movie_key"])
+    return first_per_key(cl.project_movies(fx.bronze(spark, d, "movies")), ["movie_key"])
 
 
 def q_dedupe_ratings(spark, d):
-    return first_per_key(cl.project_ratings(fx.ratings(spark, d)), ["rating_id"])
+    return first_per_key(cl.project_ratings(fx.bronze(spark, d, "ratings")), ["rating_id"])
 
 
 def q_dedupe_reviews(spark, d):
-    return first_per_key(cl.project_reviews(fx.reviews(spark, d)), ["review_id"])
+    return first_per_key(cl.project_reviews(fx.bronze(spark, d, "reviews")), ["review_id"])
 
 
 def q_dedupe_scores(spark, d):
-    return first_per_key(cl.project_scores(fx.scores(spark, d)), ["movie_key", "source"])
+    return first_per_key(cl.project_scores(fx.bronze(spark, d, "scores")), ["movie_key", "source"])
 
 
 def q_dedupe_watchlist(spark, d):
-    return first_per_key(cl.project_watchlist(fx.watchlist(spark, d)), ["event_id"])
+    return first_per_key(cl.project_watchlist(fx.bronze(spark, d, "watchlist")), ["event_id"])
 
 
 def q_dedupe_awards(spark, d):
-    return first_per_key(cl.project_awards(fx.awards(spark, d)), ["award_id"])
+    return first_per_key(cl.project_awards(fx.bronze(spark, d, "awards")), ["award_id"])
 
 
 def q_dedupe_email(spark, d):
-    p = cl.project_users(fx.users(spark, d))
+    p = cl.project_users(fx.bronze(spark, d, "users"))
     return first_per_key_keep_nulls(p, "email", total_order(p, ["email"], first=["user_id"]))
 
 

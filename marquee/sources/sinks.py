@@ -10,10 +10,12 @@ from __future__ import annotations
 
 import threading
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
 from marquee.sources.schemas import AUDIT
 
@@ -131,15 +133,41 @@ METRICS_TABLE = "run_metrics"
 # Appends into one table location are serialised: two concurrent file
 # commits into the same folder would race on its staging directory.
 _APPEND_LOCK = threading.Lock()
+# created_at holds the UTC wall-clock time the step finished.
+_AUDIT_ROW = StructType([*AUDIT.fields, StructField("created_at", TimestampNTZType(), True)])
+
+
+class AuditLog:
+    """Audit rows for gold.etl_audit_log, one per step, stamped when the step
+    finishes and appended together by :meth:`flush` (one small write per
+    phase instead of one per step).  Thread-safe for concurrent steps."""
+
+    def __init__(self, spark: SparkSession, store: Store):
+        self.spark, self.store = spark, store
+        self._rows: list[tuple] = []
+        self._lock = threading.Lock()
+
+    def add(self, dataset: str, layer: str, table: str, rows: int, status: str = "OK") -> None:
+        now = datetime.now(timezone.utc).replace(tzinfo=None)
+        with self._lock:
+            self._rows.append((dataset, layer, table, int(rows), status, now))
+
+    def flush(self) -> int:
+        with self._lock:
+            rows, self._rows = self._rows, []
+        if not rows:
+            return 0
+        df = self.spark.createDataFrame(rows, _AUDIT_ROW)
+        with _APPEND_LOCK:
+            return self.store.write(df.coalesce(1), "gold", AUDIT_TABLE, mode="append")
 
 
 def audit(spark: SparkSession, store: Store, dataset: str, layer: str, table: str, rows: int,
           status: str = "OK") -> None:
-    """Append one audit row (``created_at`` = now) to gold.etl_audit_log."""
-    row = spark.createDataFrame([(dataset, layer, table, int(rows), status)], AUDIT)
-    row = row.withColumn("created_at", F.current_timestamp())
-    with _APPEND_LOCK:
-        store.write(row.coalesce(1), "gold", AUDIT_TABLE, mode="append")
+    """Append one audit row now (``created_at`` = now, UTC)."""
+    log = AuditLog(spark, store)
+    log.add(dataset, layer, table, rows, status)
+    log.flush()
 
 
 def read_audit(spark: SparkSession, store: Store) -> DataFrame:

@@ -23,12 +23,12 @@ def test_unknown_dataset_raises():
 
 def test_empty_bronze_skips_silver_and_keeps_old_table(spark, tmp):
     store = Store(os.path.join(tmp, "lake"))
-    landing = write_landing(spark, {"ratings": fx.ratings(spark, SF_SMALL)},
+    landing = write_landing(spark, {"ratings": fx.bronze(spark, SF_SMALL, "ratings")},
                             os.path.join(tmp, "landing"))
     run_bronze(spark, "ratings", landing, store)
     n = run_silver(spark, "ratings", store)
     assert n and n > 0
-    empty = write_landing(spark, {"ratings": fx.ratings(spark, SF_SMALL).limit(0)},
+    empty = write_landing(spark, {"ratings": fx.bronze(spark, SF_SMALL, "ratings").limit(0)},
                           os.path.join(tmp, "landing2"))
     assert run_bronze(spark, "ratings", empty, store) == 0
     assert run_silver(spark, "ratings", store) is None

@@ -49,3 +49,32 @@ def test_results_do_not_depend_on_partition_count(spark):
     b = sorted(q(spark, SF_SMALL).collect(), key=key)
     spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert a == b
+
+
+def test_bucketed_catalog_marts_join_without_shuffle(spark, tmp):
+    """Catalog mode buckets silver movies and the per-title gold marts on
+    movie_key, so movie_360 over the stored tables needs no exchange."""
+    import re
+
+    from marquee.operators.marts import movie_360
+    from marquee.plans import fixtures as fx
+    from marquee.plans.pipeline import run_pipeline, write_landing
+    from marquee.plans.registry import DATASETS
+    from marquee.sources.sinks import Store
+
+    landing = write_landing(spark, {ds: fx.bronze(spark, SF_SMALL, ds) for ds in DATASETS},
+                            f"{tmp}/landing")
+    store = Store(f"{tmp}/lake", catalog=True, prefix="tb_", buckets=4)
+    assert run_pipeline(spark, landing, store) == spark.table("tb_silver.movies").count()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        g = {ds: store.read(spark, "gold", DATASETS[ds].gold_table)
+             for ds in ("ratings", "scores", "watchlist", "awards", "reviews")}
+        m = movie_360(store.read(spark, "silver", "movies"), g["ratings"], g["scores"],
+                      g["watchlist"], g["awards"], g["reviews"])
+        p = _plan(m)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert p.count("SortMergeJoin") == 5
+    assert not re.search(r"Exchange", p)
