@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reference has no stream processing (no watermarks, windows over event
+time, state or late data); it is a scheduled batch run that replaces each
+layer.  Its cadence is reproduced by calling the batch pipeline
+(``python -m marquee run``) from any scheduler, so no streaming operator is
+built here -- see README.md, "Scope".
+"""
