@@ -27,14 +27,18 @@ def main(argv=None) -> int:
     ap.add_argument("--prefix", default="", help="database name prefix in catalog mode")
     ap.add_argument("--buckets", type=int, help="bucket count for per-title tables")
     ap.add_argument("--parallelism", type=int, default=4, help="concurrent dataset chains")
+    ap.add_argument("--json-multiline", action="store_true",
+                    help="JSON feeds are pretty-printed documents, not JSON lines")
     a = ap.parse_args(argv)
 
     spark = get_spark("marquee")
     store = Store(a.lake, catalog=a.catalog, prefix=a.prefix, buckets=a.buckets)
     if a.step == "run":
-        out = {"movie_360": pl.run_pipeline(spark, a.landing, store, a.parallelism)}
+        out = {"movie_360": pl.run_pipeline(spark, a.landing, store, a.parallelism,
+                                                 a.json_multiline)}
     elif a.step == "bronze":
-        out = {"rows": pl.run_bronze(spark, a.dataset, a.landing, store)}
+        out = {"rows": pl.run_bronze(spark, a.dataset, a.landing, store,
+                                          json_multiline=a.json_multiline)}
     elif a.step == "silver":
         out = {"rows": pl.run_silver(spark, a.dataset, store)}
     elif a.step == "gold":

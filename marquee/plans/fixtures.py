@@ -38,7 +38,11 @@ def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
     """Reuse a DataFrame *plan* per session (nothing is cached in memory: every
     action still reads the tables); saves the driver the footer reads and the
     expression round trips of rebuilding the same fixture for every query."""
-    k = (spark.sparkContext.applicationId, id(spark), *key)
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # no SparkContext (Spark Connect)
+        app = None
+    k = (app, id(spark), *key)
     with _PLANS_LOCK:
         df = _PLANS.get(k)
     if df is None:

@@ -42,11 +42,12 @@ class _StepLog:
 
 
 def run_bronze(spark: SparkSession, name: str, landing: str, store: Store,
-               audit_log: AuditLog | None = None) -> int:
+               audit_log: AuditLog | None = None, json_multiline: bool = False) -> int:
     """Read one landing feed as-is and replace its bronze table."""
     ds = dataset(name)
     with _StepLog(spark, store, audit_log) as a:
-        n = store.write(read_feed(spark, landing, name), "bronze", ds.bronze_table)
+        n = store.write(read_feed(spark, landing, name, json_multiline), "bronze",
+                        ds.bronze_table)
         a.add(name, "bronze", ds.bronze_table, n)
     log.info("bronze %s: %d rows", name, n)
     return n
@@ -118,14 +119,15 @@ def record_run_metrics(spark: SparkSession, store: Store,
 
 
 def run_dataset(spark: SparkSession, name: str, landing: str, store: Store,
-                audit_log: AuditLog | None = None) -> None:
-    run_bronze(spark, name, landing, store, audit_log)
+                audit_log: AuditLog | None = None, json_multiline: bool = False) -> None:
+    run_bronze(spark, name, landing, store, audit_log, json_multiline)
     if (run_silver(spark, name, store, audit_log) is not None
             or store.exists(spark, "silver", name)):
         run_gold(spark, name, store, audit_log)
 
 
-def run_pipeline(spark: SparkSession, landing: str, store: Store, parallelism: int = 4) -> int:
+def run_pipeline(spark: SparkSession, landing: str, store: Store, parallelism: int = 4,
+                 json_multiline: bool = False) -> int:
     """The whole run; returns the movie_360 row count.  The first failure in
     any dataset chain is raised after the others finish; audit rows of the
     steps that did finish are written either way."""
@@ -133,8 +135,8 @@ def run_pipeline(spark: SparkSession, landing: str, store: Store, parallelism: i
     audit_log = AuditLog(spark, store)
     try:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
-            futures = [pool.submit(run_dataset, spark, ds, landing, store, audit_log)
-                       for ds in DATASETS]
+            futures = [pool.submit(run_dataset, spark, ds, landing, store, audit_log,
+                                   json_multiline) for ds in DATASETS]
             for f in futures:
                 f.result()
         n = run_marts(spark, store, audit_log)

@@ -85,19 +85,23 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict[str, s
     return spark.read.jdbc(url, table, properties=props)
 
 
-# dataset -> (landing file name, reader(spark, path) -> bronze DataFrame)
+# dataset -> (landing file name, reader(spark, path, json_multiline) -> bronze DataFrame)
 FEEDS = {
-    "movies": ("movies.json", lambda s, p: read_movies_json(s, p, multiline=False)),
-    "scores": ("external_scores.csv", read_scores_csv),
+    "movies": ("movies.json", lambda s, p, ml: read_movies_json(s, p, multiline=ml)),
+    "scores": ("external_scores.csv", lambda s, p, ml: read_scores_csv(s, p)),
     "watchlist": ("watchlist_events.json",
-                  lambda s, p: read_watchlist_json(s, p, wrapped=True, multiline=False)),
-    "awards": ("awards.xml", read_awards_xml),
-    "users": ("users.parquet", lambda s, p: read_parquet_feed(s, p, "users")),
-    "ratings": ("ratings.parquet", lambda s, p: read_parquet_feed(s, p, "ratings")),
-    "reviews": ("reviews.parquet", lambda s, p: read_parquet_feed(s, p, "reviews")),
+                  lambda s, p, ml: read_watchlist_json(s, p, wrapped=True, multiline=ml)),
+    "awards": ("awards.xml", lambda s, p, ml: read_awards_xml(s, p)),
+    "users": ("users.parquet", lambda s, p, ml: read_parquet_feed(s, p, "users")),
+    "ratings": ("ratings.parquet", lambda s, p, ml: read_parquet_feed(s, p, "ratings")),
+    "reviews": ("reviews.parquet", lambda s, p, ml: read_parquet_feed(s, p, "reviews")),
 }
 
 
-def read_feed(spark: SparkSession, landing: str, dataset: str) -> DataFrame:
+def read_feed(spark: SparkSession, landing: str, dataset: str,
+              json_multiline: bool = False) -> DataFrame:
+    """Bronze rows of one landing feed.  JSON feeds are JSON lines by default
+    (one record or one array per line -- splittable); ``json_multiline=True``
+    reads pretty-printed documents, one task per file."""
     name, reader = FEEDS[dataset]
-    return reader(spark, f"{landing.rstrip('/')}/{name}")
+    return reader(spark, f"{landing.rstrip('/')}/{name}", json_multiline)

@@ -45,3 +45,35 @@ def test_metrics_with_missing_tables(spark, tmp):
     store.write(spark.range(4), "silver", "users")
     r = metrics_snapshot(spark, store).first()
     assert (r.total_movies, r.total_users) == (0, 4) and r.run_time is not None
+
+
+def test_pretty_printed_feeds_in_reference_layout(spark, tmp):
+    """Feeds laid out as the reference writes them: a one-line JSON array of
+    movies with mixed-type values and an indented {"events": [...]} document."""
+    import json
+
+    land = os.path.join(tmp, "land")
+    os.makedirs(land)
+    movies = [{"id": 1000, "title": "the dawn", "type": "MOVIE", "genre": "Drama",
+               "language": None, "release_date": "March 04, 2021", "runtime": 120,
+               "rating": 8.5, "votes": None, "director": "  Lana W "},
+              {"id": 1001, "title": "THE DAWN", "type": "movie", "genre": "drama",
+               "language": "EN", "release_date": None, "runtime": "95 min",
+               "rating": "8.5/10", "votes": 12, "director": None}]
+    with open(os.path.join(land, "movies.json"), "w") as f:
+        f.write(json.dumps(movies))
+    events = {"events": [{"event_id": str(i), "user": "u", "title": " The Dawn ",
+                          "action": "ADD" if i % 3 else " remove ", "event_time": "2021-03-04",
+                          "device": ""} for i in range(7)]}
+    with open(os.path.join(land, "watchlist_events.json"), "w") as f:
+        f.write(json.dumps(events, indent=2))
+    store = Store(os.path.join(tmp, "lake"))
+    assert run_bronze(spark, "movies", land, store, json_multiline=True) == 2
+    assert run_bronze(spark, "watchlist", land, store, json_multiline=True) == 7
+    run_silver(spark, "movies", store)
+    run_silver(spark, "watchlist", store)
+    m = store.read(spark, "silver", "movies").collect()
+    assert len(m) == 1 and m[0].movie_key == "The Dawn|movie"
+    run_gold(spark, "watchlist", store)
+    g = store.read(spark, "gold", "title_popularity").first()
+    assert (g.adds, g.removes) == (4, 3)
