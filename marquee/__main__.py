@@ -26,7 +26,7 @@ def main(argv=None) -> int:
     ap.add_argument("--catalog", action="store_true", help="use catalog tables, not paths")
     ap.add_argument("--prefix", default="", help="database name prefix in catalog mode")
     ap.add_argument("--buckets", type=int, help="bucket count for per-title tables")
-    ap.add_argument("--parallelism", type=int, default=4, help="concurrent dataset chains")
+    ap.add_argument("--parallelism", type=int, help="concurrent dataset chains (default: all)")
     ap.add_argument("--json-multiline", action="store_true",
                     help="JSON feeds are pretty-printed documents, not JSON lines")
     a = ap.parse_args(argv)

@@ -17,6 +17,7 @@ import threading
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee.session import session_key
 from marquee.sources.schemas import BRONZE
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -38,11 +39,7 @@ def _memo(spark: SparkSession, key: tuple, build) -> DataFrame:
     """Reuse a DataFrame *plan* per session (nothing is cached in memory: every
     action still reads the tables); saves the driver the footer reads and the
     expression round trips of rebuilding the same fixture for every query."""
-    try:
-        app = spark.sparkContext.applicationId
-    except Exception:  # no SparkContext (Spark Connect)
-        app = None
-    k = (app, id(spark), *key)
+    k = (*session_key(spark), *key)
     with _PLANS_LOCK:
         df = _PLANS.get(k)
     if df is None:

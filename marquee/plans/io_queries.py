@@ -22,7 +22,7 @@ from marquee.plans.registry import DATASETS
 from marquee.sources import readers as rd
 from marquee.sources.schemas import SILVER
 from marquee.sources.sinks import Store, read_audit, write_feed, write_wrapped_json
-from marquee.session import scratch_path
+from marquee.session import scratch_path, session_key
 
 _RUNS: dict[tuple[str, str], tuple[str, Store]] = {}
 _LOCK = threading.Lock()
@@ -35,7 +35,7 @@ def _landing(spark: SparkSession, sf_dir: str, datasets=None) -> str:
 
 def _pipeline_run(spark: SparkSession, sf_dir: str) -> Store:
     """One full run per (application, sf_dir), reused by the inspecting queries."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (*session_key(spark), sf_dir)
     with _LOCK:
         if key not in _RUNS:
             landing = _landing(spark, sf_dir)

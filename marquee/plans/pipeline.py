@@ -126,7 +126,7 @@ def run_dataset(spark: SparkSession, name: str, landing: str, store: Store,
         run_gold(spark, name, store, audit_log)
 
 
-def run_pipeline(spark: SparkSession, landing: str, store: Store, parallelism: int = 4,
+def run_pipeline(spark: SparkSession, landing: str, store: Store, parallelism: int | None = None,
                  json_multiline: bool = False) -> int:
     """The whole run; returns the movie_360 row count.  The first failure in
     any dataset chain is raised after the others finish; audit rows of the
@@ -134,7 +134,7 @@ def run_pipeline(spark: SparkSession, landing: str, store: Store, parallelism: i
     store.prepare(spark)
     audit_log = AuditLog(spark, store)
     try:
-        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        with ThreadPoolExecutor(max_workers=parallelism or len(DATASETS)) as pool:
             futures = [pool.submit(run_dataset, spark, ds, landing, store, audit_log,
                                    json_multiline) for ds in DATASETS]
             for f in futures:

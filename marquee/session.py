@@ -78,11 +78,22 @@ def shared_dir(spark: SparkSession) -> str:
             d = None
     if not d:
         d = tempfile.mkdtemp(prefix="marquee-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
-        d = spark.sparkContext.getCheckpointDir() or d
+        try:
+            spark.sparkContext.setCheckpointDir(d)
+            d = spark.sparkContext.getCheckpointDir() or d
+        except Exception:  # Spark Connect: keep the folder for scratch output only
+            pass
     return d.rstrip("/")
 
 
+def session_key(spark: SparkSession) -> tuple:
+    """Identity of a running session (application id when there is a context)."""
+    try:
+        return (spark.sparkContext.applicationId, id(spark))
+    except Exception:
+        return (None, id(spark))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder."""
     return f"{shared_dir(spark)}/marquee/{name}-{uuid.uuid4().hex[:12]}"

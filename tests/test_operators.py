@@ -152,3 +152,34 @@ def test_properties_clean_ratings(spark, rows):
     again = df.select(F.initcap(F.trim(F.initcap(F.trim("user_id")))).alias("x"),
                       F.initcap(F.trim("user_id")).alias("y")).collect()
     assert all(r.x == r.y for r in again)
+
+
+_titles = st.one_of(st.none(), st.text(alphabet=" aZ-'", max_size=8))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(_titles, st.sampled_from(["add", " ADD ", "remove", "peek", None])),
+                min_size=1, max_size=30))
+def test_properties_marts(spark, events):
+    """Cleaning text is idempotent; adds + removes never exceed the events of a
+    title; movie_360 has exactly one row per silver movie."""
+    w = bronze(spark, "watchlist", [(str(i), "u", t, a, None, "") for i, (t, a) in enumerate(events)])
+    silver = cl.clean_watchlist(w)
+    pop = mt.title_popularity(silver)
+    per_key = {r.movie_key: r.n for r in
+               silver.where("movie_key IS NOT NULL").groupBy("movie_key").count()
+                     .withColumnRenamed("count", "n").collect()}
+    for r in pop.collect():
+        assert r.adds + r.removes <= per_key[r.movie_key]
+    again = silver.select(F.initcap(F.trim(F.split("movie_key", r"\|").getItem(0))).alias("t"),
+                          F.split("movie_key", r"\|").getItem(0).alias("k")).collect()
+    assert all(r.t == r.k for r in again)
+    movies = cl.clean_movies(bronze(spark, "movies", [(str(i), t, "movie", None, None, None, None,
+                                                       None, None, None)
+                                                      for i, (t, _) in enumerate(events)]))
+    empty = lambda ds: bronze(spark, ds, [])
+    m360 = mt.movie_360(movies, mt.fact_ratings(cl.clean_ratings(empty("ratings"))),
+                        mt.score_summary(cl.clean_scores(empty("scores"))), pop,
+                        mt.awards_won(cl.clean_awards(empty("awards"))),
+                        mt.review_summary(cl.clean_reviews(empty("reviews"))))
+    assert m360.count() == movies.count()
