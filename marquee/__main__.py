@@ -14,7 +14,7 @@ import json
 
 from marquee.plans import pipeline as pl
 from marquee.sources.sinks import Store
-from marquee.session import get_spark
+from marquee.session import get_spark, input_bytes, size_shuffle
 
 
 def main(argv=None) -> int:
@@ -27,11 +27,15 @@ def main(argv=None) -> int:
     ap.add_argument("--prefix", default="", help="database name prefix in catalog mode")
     ap.add_argument("--buckets", type=int, help="bucket count for per-title tables")
     ap.add_argument("--parallelism", type=int, help="concurrent dataset chains (default: all)")
+    ap.add_argument("--size-shuffle", action="store_true",
+                    help="size shuffle partitions from the landed bytes (~256 MB each)")
     ap.add_argument("--json-multiline", action="store_true",
                     help="JSON feeds are pretty-printed documents, not JSON lines")
     a = ap.parse_args(argv)
 
     spark = get_spark("marquee")
+    if a.size_shuffle and a.landing:
+        size_shuffle(spark, input_bytes(spark, a.landing))
     store = Store(a.lake, catalog=a.catalog, prefix=a.prefix, buckets=a.buckets)
     if a.step == "run":
         out = {"movie_360": pl.run_pipeline(spark, a.landing, store, a.parallelism,

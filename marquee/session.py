@@ -9,6 +9,7 @@ same code behaves identically on a driver-supplied session.
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -97,3 +98,23 @@ def session_key(spark: SparkSession) -> tuple:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder."""
     return f"{shared_dir(spark)}/marquee/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Total size of the files under ``path``, from file metadata only (the
+    ``binaryFile`` source does not read contents when they are not selected);
+    the listing runs as a Spark job, not on the driver's file system."""
+    from pyspark.sql import functions as F
+    df = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+               .select("length"))
+    return int(df.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0])
+
+
+def size_shuffle(spark: SparkSession, total_bytes: int,
+                 bytes_per_partition: int = 256 << 20, minimum: int = 200) -> int:
+    """Set ``spark.sql.shuffle.partitions`` so that a shuffle of about the input
+    size gives ~``bytes_per_partition`` per reducer (AQE coalesces the small
+    ones back); e.g. 100 TB -> ~400k partitions.  Returns the value set."""
+    n = max(minimum, math.ceil(total_bytes / bytes_per_partition))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n

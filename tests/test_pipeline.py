@@ -77,3 +77,17 @@ def test_pretty_printed_feeds_in_reference_layout(spark, tmp):
     run_gold(spark, "watchlist", store)
     g = store.read(spark, "gold", "title_popularity").first()
     assert (g.adds, g.removes) == (4, 3)
+
+
+def test_shuffle_sizing_from_landed_bytes(spark, tmp):
+    from marquee.session import input_bytes, size_shuffle
+    land = write_landing(spark, {"users": fx.bronze(spark, SF_SMALL, "users")},
+                         os.path.join(tmp, "land"))
+    n = input_bytes(spark, land)
+    assert n > 0
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffle(spark, 100 * 2**40) == 409600
+        assert size_shuffle(spark, n) == 200
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
