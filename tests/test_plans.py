@@ -78,3 +78,32 @@ def test_bucketed_catalog_marts_join_without_shuffle(spark, tmp):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert p.count("SortMergeJoin") == 5
     assert not re.search(r"Exchange", p)
+
+
+def test_movie_360_shares_the_aggregate_shuffles(spark, tmp):
+    """From stored (unbucketed) silver tables with broadcast off, the five
+    aggregates' hash partitioning on movie_key is reused by the five joins:
+    one exchange per aggregate plus one for the base, nothing else."""
+    import re
+
+    from marquee.operators import cleaners as cl
+    from marquee.operators import marts as mt
+    from marquee.plans import fixtures as fx
+    from marquee.sources.sinks import Store
+
+    names = ("movies", "ratings", "scores", "watchlist", "awards", "reviews")
+    store = Store(f"{tmp}/lake")
+    for ds in names:
+        store.write(cl.CLEANERS[ds](fx.bronze(spark, SF_SMALL, ds)), "silver", ds)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        s = {ds: store.read(spark, "silver", ds) for ds in names}
+        m = mt.movie_360(s["movies"], mt.fact_ratings(s["ratings"]),
+                         mt.score_summary(s["scores"]), mt.title_popularity(s["watchlist"]),
+                         mt.awards_won(s["awards"]), mt.review_summary(s["reviews"]))
+        p = _plan(m)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert p.count("SortMergeJoin") == 5
+    assert len(re.findall(r"Exchange hashpartitioning", p)) == 6
