@@ -2,7 +2,7 @@
 
 Each cleaner is a single projection (+ filter) followed by one
 deterministic dedupe, so the whole cleaner is one scan, one codegen'd
-projection and one shuffle on the dedupe key.
+projection and one shuffle on the dedupe key (pre-reduced map-side).
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from marquee.functions.numbers import (
     IMDB_RANGE, RATING_RANGE, RT_RANGE, RUNTIME_RANGE, SCORE_RANGE,
 )
 from marquee.functions.text import DEFAULT_CONTENT_TYPE
-from marquee.operators.dedupe import first_per_key, first_per_key_keep_nulls, total_order
+from marquee.operators.dedupe import first_per_key, first_per_key_keep_nulls
 
 
 def project_movies(df: DataFrame, content_type: str = DEFAULT_CONTENT_TYPE) -> DataFrame:
@@ -57,8 +57,7 @@ def project_users(df: DataFrame) -> DataFrame:
 
 def clean_users(df: DataFrame) -> DataFrame:
     """One row per e-mail (lowest ``user_id`` wins); rows without e-mail all kept."""
-    p = project_users(df)
-    return first_per_key_keep_nulls(p, "email", total_order(p, ["email"], first=["user_id"]))
+    return first_per_key_keep_nulls(project_users(df), "email", first=["user_id"])
 
 
 def project_ratings(df: DataFrame) -> DataFrame:

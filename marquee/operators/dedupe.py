@@ -1,14 +1,19 @@
 """Deterministic first-per-key deduplication.
 
 ``dropDuplicates`` keeps an arbitrary survivor; here the survivor is the
-first row by a total order (by default: every non-key column ascending,
-nulls first), so reruns and different partition counts give the same rows.
-
-Plan shape: ``row_number() ... == 1`` is planned as a partial
-``WindowGroupLimit`` before the shuffle and a final one after it, so each
-map task sends at most one row per key.  A key that holds a third of the
-input (for example null) therefore costs one row per map task in the
-shuffle, not a third of the data in one reducer.
+first row by a total order -- the ``first`` columns, then every other
+non-key column, ascending, nulls first -- so reruns and different partition
+counts give the same rows.
+
+Plan shape: the survivor is ``min(struct(order columns...))`` per key, a
+partial aggregate on the map side and a final one after the shuffle (both
+sort-based on the key only).  Each map task therefore sends at most one row
+per key: a key that holds a third of the input (for example null, which
+collapses to one row like ``dropDuplicates``) costs one row per map task in
+the shuffle, not a third of the data in one reducer.  Struct ordering is
+field by field, ascending, nulls first -- exactly the window order
+``row_number() OVER (PARTITION BY keys ORDER BY ...)``, which
+:func:`first_per_key_by` keeps for arbitrary orders.
 """
 
 from __future__ import annotations
@@ -19,6 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _RN = "__marquee_rn"
+_MIN = "__marquee_first"
 
 
 def total_order(df: DataFrame, keys: Sequence[str], first: Sequence[str] = ()) -> list[Column]:
@@ -27,20 +33,29 @@ def total_order(df: DataFrame, keys: Sequence[str], first: Sequence[str] = ()) -
     return [F.col(c).asc_nulls_first() for c in [*first, *rest]]
 
 
-def first_per_key(df: DataFrame, keys: Sequence[str],
-                  order: Sequence[Column] | None = None) -> DataFrame:
-    """One row per distinct ``keys`` value (null keys count as one value)."""
+def first_per_key(df: DataFrame, keys: Sequence[str], first: Sequence[str] = ()) -> DataFrame:
+    """One row per distinct ``keys`` value (null keys count as one value): the
+    row that is smallest by ``first`` columns, then all other columns.  The
+    non-key columns must be orderable (no map columns)."""
     keys = list(keys)
-    order = list(order) if order is not None else total_order(df, keys)
+    order = [*first, *[c for c in df.columns if c not in keys and c not in first]]
+    if not order:
+        return df.select(*keys).distinct()
+    picked = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias(_MIN))
+    return picked.select(*[F.col(c) if c in keys else F.col(_MIN)[c].alias(c)
+                           for c in df.columns])
+
+
+def first_per_key_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+    """First row per key by any ``order`` (e.g. descending), via
+    ``row_number() == 1``; Spark inserts a partial ``WindowGroupLimit`` before
+    the shuffle, so this is skew-safe as well."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(_RN, F.row_number().over(w)).filter(F.col(_RN) == 1).drop(_RN)
 
 
-def first_per_key_keep_nulls(df: DataFrame, key: str,
-                             order: Sequence[Column] | None = None) -> DataFrame:
+def first_per_key_keep_nulls(df: DataFrame, key: str, first: Sequence[str] = ()) -> DataFrame:
     """Like :func:`first_per_key` on one key, but rows whose key is null are
-    all kept.  They bypass the window entirely, so a large null group never
-    lands in one window partition."""
-    order = list(order) if order is not None else total_order(df, [key])
-    kept = first_per_key(df.filter(F.col(key).isNotNull()), [key], order)
+    all kept.  They bypass the aggregation entirely."""
+    kept = first_per_key(df.filter(F.col(key).isNotNull()), [key], first)
     return kept.unionByName(df.filter(F.col(key).isNull()))

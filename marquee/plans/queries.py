@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from marquee import functions as fn
 from marquee.operators import cleaners as cl
 from marquee.operators import marts as mt
-from marquee.operators.dedupe import first_per_key, first_per_key_keep_nulls, total_order
+from marquee.operators.dedupe import first_per_key, first_per_key_keep_nulls
 from marquee.plans import fixtures as fx
 from marquee.session import apply_settings
 
@@ -163,8 +163,8 @@ def q_dedupe_awards(spark, d):
 
 
 def q_dedupe_email(spark, d):
-    p = cl.project_users(fx.bronze(spark, d, "users"))
-    return first_per_key_keep_nulls(p, "email", total_order(p, ["email"], first=["user_id"]))
+    return first_per_key_keep_nulls(cl.project_users(fx.bronze(spark, d, "users")), "email",
+                                    first=["user_id"])
 
 
 # ---- marts, joins, top-k ---------------------------------------------------

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from marquee.operators import cleaners as cl
 from marquee.operators import marts as mt
-from marquee.operators.dedupe import first_per_key, first_per_key_keep_nulls
+from marquee.operators.dedupe import first_per_key, first_per_key_by, first_per_key_keep_nulls
 from marquee.sources.schemas import BRONZE
 
 
@@ -30,11 +30,24 @@ def test_first_per_key_nulls_first_in_order(spark):
 def test_keep_nulls_variant(spark):
     df = spark.createDataFrame([(None, 3), (None, 3), ("", 2), ("", 1), ("a", 5)],
                                "e string, id int")
-    out = first_per_key_keep_nulls(df, "e", [F.col("id").asc_nulls_first()])
+    out = first_per_key_keep_nulls(df, "e", first=["id"])
     assert sorted(("-" if r.e is None else r.e, r.id) for r in out.collect()) == [("", 1), ("-", 3), ("-", 3),
                                                                                  ("a", 5)]
 
 
+def test_aggregate_and_window_dedupe_agree(spark):
+    rows = [(i % 11 if i % 5 else None, None if i % 7 == 0 else f"v{(i * 31) % 17}",
+             None if i % 3 == 0 else float(i % 4), i % 2 == 0) for i in range(400)]
+    df = spark.createDataFrame(rows, "k int, a string, b double, c boolean")
+    key = lambda r: tuple(str(x) for x in r)
+    agg = sorted(first_per_key(df, ["k"], first=["b"]).collect(), key=key)
+    win = sorted(first_per_key_by(df, ["k"], [F.col("b").asc_nulls_first(),
+                                              F.col("a").asc_nulls_first(),
+                                              F.col("c").asc_nulls_first()]).collect(), key=key)
+    assert agg == win
+    assert first_per_key(df, ["k"]).columns == df.columns
+
+
 def test_dedupe_is_deterministic_across_partitionings(spark):
     rows = [(i % 37, f"v{(i * 7919) % 1000}") for i in range(3000)]
     df = spark.createDataFrame(rows, "k int, v string")

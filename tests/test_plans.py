@@ -11,10 +11,11 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_dedupe_uses_partial_window_group_limit(spark):
+def test_dedupe_is_combined_before_the_shuffle(spark):
     p = _plan(queries()["clean_ratings"](spark, SF_SMALL))
-    assert "WindowGroupLimit" in p
-    assert p.count("WindowGroupLimit") >= 2          # partial before, final after the shuffle
+    assert "partial_min" in p                         # map-side: one row per key per task
+    assert p.count("Exchange hashpartitioning") == 1
+    assert "Window" not in p
 
 
 def test_trending_is_take_ordered(spark):
