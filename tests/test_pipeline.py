@@ -91,3 +91,21 @@ def test_shuffle_sizing_from_landed_bytes(spark, tmp):
         assert size_shuffle(spark, n) == 200
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_cli_run_and_single_steps(spark, tmp, capsys):
+    import json
+
+    from marquee.__main__ import main
+    from marquee.plans.registry import DATASETS
+
+    land = write_landing(spark, {ds: fx.bronze(spark, SF_SMALL, ds) for ds in DATASETS},
+                         os.path.join(tmp, "land"))
+    lake = os.path.join(tmp, "lake")
+    assert main(["run", "--landing", land, "--lake", lake]) == 0
+    out = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    store = Store(lake)
+    assert out["movie_360"] == store.read(spark, "gold", "movie_360").count() > 0
+    assert main(["metrics", "--lake", lake]) == 0
+    assert store.read(spark, "gold", "run_metrics").count() == 2
+    assert main(["bronze", "--dataset", "scores", "--landing", land, "--lake", lake]) == 0
