@@ -54,13 +54,14 @@ def run_bronze(spark: SparkSession, name: str, landing: str, store: Store,
 
 
 def run_silver(spark: SparkSession, name: str, store: Store,
-               audit_log: AuditLog | None = None) -> int | None:
+               audit_log: AuditLog | None = None, bronze_rows: int | None = None) -> int | None:
     """Clean bronze into silver.  An empty bronze table leaves silver as it is
-    (audited as SKIPPED); the check reads at most one row."""
+    (audited as SKIPPED).  Emptiness comes from the bronze step's observed
+    count when given, else from a probe that reads at most one row."""
     ds = dataset(name)
     with _StepLog(spark, store, audit_log) as a:
         bronze = store.read(spark, "bronze", ds.bronze_table)
-        if bronze.isEmpty():
+        if (bronze_rows == 0) if bronze_rows is not None else bronze.isEmpty():
             a.add(name, "silver", ds.silver_table, 0, status="SKIPPED")
             return None
         n = store.write(ds.cleaner(bronze), "silver", ds.silver_table,
@@ -95,35 +96,46 @@ def run_marts(spark: SparkSession, store: Store, audit_log: AuditLog | None = No
     return n
 
 
-def metrics_snapshot(spark: SparkSession, store: Store) -> DataFrame:
-    """Row counts of the silver tables (0 for a missing table) and the run time."""
+def metrics_snapshot(spark: SparkSession, store: Store,
+                     known: dict[str, int] | None = None) -> DataFrame:
+    """Row counts of the silver tables (0 for a missing table) and the run time.
+    ``known`` holds counts already observed when this run wrote those tables;
+    only the others are counted."""
+    known = {t: n for t, n in (known or {}).items() if t in METRIC_TABLES and n is not None}
     tables = {t: (store.read(spark, "silver", t) if store.exists(spark, "silver", t) else None)
-              for t in METRIC_TABLES}
+              for t in METRIC_TABLES if t not in known}
+    lits = {t: F.lit(n).cast("bigint") for t, n in known.items()}
     if all(v is None for v in tables.values()):
+        cols = {t: lits.get(t, F.lit(0).cast("bigint")) for t in METRIC_TABLES}
         return spark.range(1).select(F.current_timestamp().alias("run_time"),
-                                     *[F.lit(0).cast("bigint").alias(f"total_{t}")
-                                       for t in METRIC_TABLES])
-    return table_counts(tables).select(F.current_timestamp().alias("run_time"),
-                                       *[f"total_{t}" for t in METRIC_TABLES])
+                                     *[c.alias(f"total_{t}") for t, c in cols.items()])
+    counted = table_counts(tables)
+    return counted.select(F.current_timestamp().alias("run_time"),
+                          *[(lits[t] if t in lits else F.col(f"total_{t}")).alias(f"total_{t}")
+                            for t in METRIC_TABLES])
 
 
 def record_run_metrics(spark: SparkSession, store: Store,
-                       audit_log: AuditLog | None = None) -> int:
+                       audit_log: AuditLog | None = None,
+                       known: dict[str, int] | None = None) -> int:
     """Append one snapshot row to gold.run_metrics (history, never replaced)."""
     with _APPEND_LOCK:
-        n = store.write(metrics_snapshot(spark, store).coalesce(1), "gold", METRICS_TABLE,
-                        mode="append")
+        n = store.write(metrics_snapshot(spark, store, known).coalesce(1), "gold",
+                        METRICS_TABLE, mode="append")
     with _StepLog(spark, store, audit_log) as a:
         a.add("marts", "gold", METRICS_TABLE, n)
     return n
 
 
 def run_dataset(spark: SparkSession, name: str, landing: str, store: Store,
-                audit_log: AuditLog | None = None, json_multiline: bool = False) -> None:
-    run_bronze(spark, name, landing, store, audit_log, json_multiline)
-    if (run_silver(spark, name, store, audit_log) is not None
-            or store.exists(spark, "silver", name)):
+                audit_log: AuditLog | None = None, json_multiline: bool = False) -> int | None:
+    """bronze -> silver -> gold for one dataset; returns the silver rows written
+    (None when silver was skipped)."""
+    b = run_bronze(spark, name, landing, store, audit_log, json_multiline)
+    n = run_silver(spark, name, store, audit_log, bronze_rows=b)
+    if n is not None or store.exists(spark, "silver", name):
         run_gold(spark, name, store, audit_log)
+    return n
 
 
 def run_pipeline(spark: SparkSession, landing: str, store: Store, parallelism: int | None = None,
@@ -135,12 +147,11 @@ def run_pipeline(spark: SparkSession, landing: str, store: Store, parallelism: i
     audit_log = AuditLog(spark, store)
     try:
         with ThreadPoolExecutor(max_workers=parallelism or len(DATASETS)) as pool:
-            futures = [pool.submit(run_dataset, spark, ds, landing, store, audit_log,
-                                   json_multiline) for ds in DATASETS]
-            for f in futures:
-                f.result()
+            futures = {ds: pool.submit(run_dataset, spark, ds, landing, store, audit_log,
+                                       json_multiline) for ds in DATASETS}
+            silver_rows = {ds: f.result() for ds, f in futures.items()}
         n = run_marts(spark, store, audit_log)
-        record_run_metrics(spark, store, audit_log)
+        record_run_metrics(spark, store, audit_log, known=silver_rows)
     finally:
         audit_log.flush()
     return n

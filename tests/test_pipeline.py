@@ -109,3 +109,13 @@ def test_cli_run_and_single_steps(spark, tmp, capsys):
     assert main(["metrics", "--lake", lake]) == 0
     assert store.read(spark, "gold", "run_metrics").count() == 2
     assert main(["bronze", "--dataset", "scores", "--landing", land, "--lake", lake]) == 0
+
+
+def test_metrics_mix_known_and_counted(spark, tmp):
+    store = Store(os.path.join(tmp, "lake"))
+    store.write(spark.range(4), "silver", "users")
+    store.write(spark.range(9), "silver", "ratings")
+    r = metrics_snapshot(spark, store, known={"movies": 7, "ratings": 9, "reviews": None}).first()
+    assert (r.total_movies, r.total_users, r.total_ratings, r.total_reviews) == (7, 4, 9, 0)
+    r = metrics_snapshot(spark, Store(os.path.join(tmp, "none")), known={"movies": 3}).first()
+    assert (r.total_movies, r.total_users) == (3, 0)
