@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import threading
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from marquee.operators import marts as mt
@@ -151,6 +151,21 @@ def q_gold_step(spark, d):
     return store.read(spark, "gold", "fact_ratings")
 
 
+def q_empty_guard(spark, d):
+    """Silver is left as it was when a later bronze load is empty (F8): the
+    whole ratings table from the first load is what remains."""
+    store = Store(scratch_path(spark, "lake"))
+    full = _landing(spark, d, ["ratings"])
+    run_bronze(spark, "ratings", full, store)
+    run_silver(spark, "ratings", store)
+    empty = write_landing(spark, {"ratings": fx.bronze(spark, d, "ratings").limit(0)},
+                          scratch_path(spark, "landing-empty"))
+    if run_bronze(spark, "ratings", empty, store) != 0 or \
+            run_silver(spark, "ratings", store) is not None:
+        raise AssertionError("empty bronze load was not skipped")
+    return store.read(spark, "silver", "ratings")
+
+
 def q_audit_log(spark, d):
     store = _pipeline_run(spark, d)
     return read_audit(spark, store).drop("created_at")
@@ -189,6 +204,7 @@ def io_queries() -> dict:
         "bronze_step": q_bronze_step,
         "silver_step": q_silver_step,
         "gold_step": q_gold_step,
+        "empty_guard": q_empty_guard,
         "audit_log": q_audit_log,
         "run_metrics": q_run_metrics,
         "pipeline_end_to_end": q_pipeline_end_to_end,
@@ -252,6 +268,7 @@ def io_oracles() -> dict[str, str]:
         "bronze_step": o.bronze_sql("ratings"),
         "silver_step": o.silver_sql("ratings"),
         "gold_step": o.gold_sql("fact_ratings"),
+        "empty_guard": o.silver_sql("ratings"),
         "audit_log": _audit_sql(),
         # two snapshots were appended by the shared run
         "run_metrics": f"SELECT * FROM ({o.RUN_METRICS}) UNION ALL SELECT * FROM ({o.RUN_METRICS})",
