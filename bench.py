@@ -36,7 +36,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     reps = int(os.environ.get("BENCH_REPS", "3"))
     spark = get_spark("marquee-bench", master=f"local[{cpus}]", shuffle_partitions=2 * cpus,
-                      extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "8g"),
+                      extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "7g"),
                              "spark.checkpoint.dir": tempfile.mkdtemp(prefix="marquee-bench-")})
     from __spark_entry__ import queries
     from marquee.plans import fixtures as fx
