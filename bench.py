@@ -15,7 +15,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
@@ -36,8 +35,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     reps = int(os.environ.get("BENCH_REPS", "3"))
     spark = get_spark("marquee-bench", master=f"local[{cpus}]", shuffle_partitions=2 * cpus,
-                      extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "7g"),
-                             "spark.checkpoint.dir": tempfile.mkdtemp(prefix="marquee-bench-")})
+                      extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "7g")})
     from __spark_entry__ import queries
     from marquee.plans import fixtures as fx
     from marquee.plans.pipeline import run_pipeline, write_landing
