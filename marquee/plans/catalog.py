@@ -2,25 +2,15 @@
 
 from __future__ import annotations
 
+from marquee.plans.io_queries import io_oracles, io_queries
 from marquee.plans.oracle_sql import plan_oracles
 from marquee.plans.queries import Query, plan_queries, with_settings
 
 
 def all_queries() -> dict[str, Query]:
-    qs = dict(plan_queries())
-    try:
-        from marquee.plans.io_queries import io_queries
-        qs.update(io_queries())
-    except ImportError:
-        pass
+    qs = {**plan_queries(), **io_queries()}
     return {k: with_settings(v) for k, v in qs.items()}
 
 
 def all_oracles() -> dict[str, str]:
-    out = dict(plan_oracles())
-    try:
-        from marquee.plans.io_queries import io_oracles
-        out.update(io_oracles())
-    except ImportError:
-        pass
-    return out
+    return {**plan_oracles(), **io_oracles()}
