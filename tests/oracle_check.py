@@ -2,7 +2,7 @@
 
     python tests/oracle_check.py [sf_dir] [key ...]
 
-Prints one line per key: rows (spark/oracle), column match, value match.
+Prints one line per key: rows (spark/oracle), column-name, column-type and value match.
 """
 
 from __future__ import annotations
@@ -43,6 +43,11 @@ def norm(v):
     return str(v)
 
 
+# Spark simpleString -> DuckDB type name, for the column-type comparison.
+TYPE_NAMES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+              "date": "DATE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
+
+
 def rows_of_spark(df):
     cols = df.columns
     return cols, [tuple(norm(r[c]) for c in cols) for r in df.collect()]
@@ -65,6 +70,13 @@ def compare(spark, sf_dir: str, key: str, query, sql: str | None, con) -> dict:
     o_cols, o_rows = rows_of_duck(con, sql)
     out["oracle_rows"] = len(o_rows)
     out["cols_match"] = sorted(s_cols) == sorted(o_cols)
+    s_types = {f.name: TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString())
+               for f in df.schema}
+    rel = con.sql(sql)
+    o_types = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    out["types_match"] = s_types == o_types
+    if not out["types_match"]:
+        out["types"] = (s_types, o_types)
     if out["cols_match"]:
         order = [o_cols.index(c) for c in s_cols]
         o_rows = [tuple(r[i] for i in order) for r in o_rows]
@@ -92,7 +104,8 @@ def main(argv):
             r = compare(spark, sf_dir, k, qs[k], sqls.get(k), con)
         except Exception as e:  # report and go on
             r = {"key": k, "error": repr(e)[:400]}
-        ok = r.get("values_match", r.get("oracle", 0) is None) and "error" not in r
+        ok = (r.get("values_match", r.get("oracle", 0) is None) and "error" not in r
+              and r.get("types_match", True))
         bad += not ok
         print(("OK  " if ok else "BAD ") + str(r), flush=True)
     print(f"{bad} bad of {len(keys or qs)}")

@@ -24,6 +24,7 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, key):
     r = compare(spark, SF_SMALL, key, queries()[key], oracle_sql()[key], con)
     assert r["cols_match"], r
+    assert r["types_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["values_match"], r
 
