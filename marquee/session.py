@@ -68,8 +68,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for lineage cuts and scratch tables.
 
     Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir).
-    Only when neither is set -- a local test session -- a private temp
-    folder is created and registered as the checkpoint dir.
+    Only when neither is set in a local-mode session (tests) is a private temp
+    folder created and registered; on a cluster that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
@@ -78,6 +78,10 @@ def shared_dir(spark: SparkSession) -> str:
         except Exception:  # Spark Connect has no SparkContext
             d = None
     if not d:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a folder every executor "
+                               "shares (a machine-local temp folder would not be)")
         d = tempfile.mkdtemp(prefix="marquee-ckpt-")
         try:
             spark.sparkContext.setCheckpointDir(d)
