@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from marquee import functions as fn
@@ -107,3 +109,20 @@ def test_nan_to_null(spark):
 def test_round_avg_half_up(spark, vals, expect):
     df = spark.createDataFrame([(v,) for v in vals], "x double")
     assert df.agg(fn.round_avg("x", 2)).first()[0] == expect
+
+
+_date_like = st.text(alphabet="0123456789-/, MarchJnuyDec", min_size=0, max_size=14)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.one_of(_date_like,
+                          st.builds(lambda y, m, d, sep: sep.join([y, m, d]),
+                                    st.from_regex(r"[0-9]{1,5}", fullmatch=True),
+                                    st.from_regex(r"[0-9]{1,3}", fullmatch=True),
+                                    st.from_regex(r"[0-9]{1,4}", fullmatch=True),
+                                    st.sampled_from(["-", "/"]))),
+                min_size=1, max_size=40))
+def test_property_shape_guards_do_not_change_results(spark, vals):
+    plain = lambda c: F.coalesce(*[F.try_to_date(F.trim(c), p) for p in fn.DATE_PATTERNS])
+    iso = lambda f: (lambda c: F.date_format(f(c), "yyyy-MM-dd"))
+    assert _apply(spark, vals, iso(fn.parse_date)) == _apply(spark, vals, iso(plain))
