@@ -27,30 +27,31 @@ def _typed(*fields) -> StructType:
     return StructType([StructField(n, t, True) for n, t in fields])
 
 
-S, D, I, L, F, B = StringType(), DateType(), IntegerType(), LongType(), DoubleType(), BooleanType()
+STR, DATE, INT, LONG, DBL, BOOL = (StringType(), DateType(), IntegerType(), LongType(), DoubleType(),
+                                   BooleanType())
 
 SILVER = {
-    "movies": _typed(("movie_key", S), ("title", S), ("type", S), ("genre", S), ("language", S),
-                     ("release_date", D), ("runtime_min", I), ("rating", F), ("votes", I),
-                     ("director", S)),
-    "scores": _typed(("movie_key", S), ("imdb_score", F), ("rt_score", I), ("source", S),
-                     ("collected_at", D)),
-    "watchlist": _typed(("username", S), ("movie_key", S), ("action", S), ("event_date", D),
-                        ("device", S)),
-    "awards": _typed(("movie_key", S), ("category", S), ("year", I), ("result", S)),
-    "users": _typed(("user_id", L), ("username", S), ("email", S), ("country", S),
-                    ("signup_date", D), ("is_premium", B)),
-    "ratings": _typed(("rating_id", L), ("user_id", L), ("movie_key", S), ("score", F),
-                      ("watched_date", D)),
-    "reviews": _typed(("review_id", L), ("user_id", L), ("movie_key", S), ("sentiment", S),
-                      ("body", S), ("created_date", D)),
+    "movies": _typed(("movie_key", STR), ("title", STR), ("type", STR), ("genre", STR), ("language", STR),
+                     ("release_date", DATE), ("runtime_min", INT), ("rating", DBL), ("votes", INT),
+                     ("director", STR)),
+    "scores": _typed(("movie_key", STR), ("imdb_score", DBL), ("rt_score", INT), ("source", STR),
+                     ("collected_at", DATE)),
+    "watchlist": _typed(("username", STR), ("movie_key", STR), ("action", STR), ("event_date", DATE),
+                        ("device", STR)),
+    "awards": _typed(("movie_key", STR), ("category", STR), ("year", INT), ("result", STR)),
+    "users": _typed(("user_id", LONG), ("username", STR), ("email", STR), ("country", STR),
+                    ("signup_date", DATE), ("is_premium", BOOL)),
+    "ratings": _typed(("rating_id", LONG), ("user_id", LONG), ("movie_key", STR), ("score", DBL),
+                      ("watched_date", DATE)),
+    "reviews": _typed(("review_id", LONG), ("user_id", LONG), ("movie_key", STR), ("sentiment", STR),
+                      ("body", STR), ("created_date", DATE)),
 }
 
 # Append-only logs.
 AUDIT = StructType([
-    StructField("dataset", S, True), StructField("layer", S, True),
-    StructField("table_name", S, True), StructField("total_rows", L, True),
-    StructField("status", S, True),
+    StructField("dataset", STR, True), StructField("layer", STR, True),
+    StructField("table_name", STR, True), StructField("total_rows", LONG, True),
+    StructField("status", STR, True),
 ])
 
 # Wrapped watchlist feed: {"events": [ {...}, ... ]}
