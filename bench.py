@@ -3,7 +3,7 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Each query is fully executed (``noop`` sink) once as a warm-up and then
-``BENCH_REPS`` times; the reported time is the median.  The pipeline query
+``BENCH_REPS`` (default 5) times; the reported time is the median.  The pipeline query
 times a whole run -- landing feeds -> bronze -> silver -> gold -> marts ->
 metrics -- into a fresh store each repetition (landing feeds are written
 once, before timing, as the sources would deliver them).
@@ -33,7 +33,7 @@ def _noop(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    reps = int(os.environ.get("BENCH_REPS", "3"))
+    reps = int(os.environ.get("BENCH_REPS", "5"))
     spark = get_spark("marquee-bench", master=f"local[{cpus}]", shuffle_partitions=2 * cpus,
                       extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "7g")})
     from __spark_entry__ import queries
