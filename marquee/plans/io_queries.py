@@ -37,6 +37,8 @@ def _pipeline_run(spark: SparkSession, sf_dir: str) -> Store:
     """One full run per (application, sf_dir), reused by the inspecting queries."""
     key = (*session_key(spark), sf_dir)
     with _LOCK:
+        if key in _RUNS and not _RUNS[key][1].exists(spark, "gold", "movie_360"):
+            del _RUNS[key]                     # scratch output went away: run again
         if key not in _RUNS:
             landing = _landing(spark, sf_dir)
             store = Store(scratch_path(spark, "lake"))
