@@ -128,3 +128,9 @@ def test_catalog_store_buckets_gold(spark, tmp):
     assert spark.catalog.tableExists("t_gold.m")
     desc = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED t_gold.m").collect()}
     assert desc.get("Num Buckets") == "4"
+
+
+def test_partitioned_jdbc_read_needs_bounds(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        rd.read_jdbc(spark, "jdbc:none://x", "t", {}, partition_column="id", num_partitions=4)
