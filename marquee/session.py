@@ -1,7 +1,7 @@
 """Spark session settings shared by every layer.
 
 The engine never hard-codes a master: under ``spark-submit`` the cluster
-manager supplies it, and only a bare ``python`` process falls back to
+manager supplies it, and a bare ``python`` process gets Spark's default
 ``local[*]``.  Runtime SQL settings that change results (time zone, date
 parser policy, ANSI mode) are applied to any session handed to us, so the
 same code behaves identically on a driver-supplied session.
@@ -10,7 +10,6 @@ same code behaves identically on a driver-supplied session.
 from __future__ import annotations
 
 import math
-import os
 import tempfile
 import uuid
 
@@ -44,14 +43,13 @@ def get_spark(app: str = "marquee", master: str | None = None,
               extra: dict[str, str] | None = None) -> SparkSession:
     """Build (or reuse) a session with the engine's settings.
 
-    ``master`` is only set when given or when nothing else provides one
-    (plain ``python`` without ``spark-submit``).
+    ``master`` is only set when given: under ``spark-submit`` the cluster
+    master comes from its configuration (setting one here would override
+    it), and a plain ``python`` process gets Spark's own ``local[*]``.
     """
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
-    elif "PYSPARK_SUBMIT_ARGS" not in os.environ and "SPARK_MASTER" not in os.environ:
-        b = b.master("local[*]")
     b = b.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in {**RESULT_SETTINGS, **EXECUTION_SETTINGS}.items():
         b = b.config(k, v)
