@@ -33,7 +33,7 @@ def _landing(spark: SparkSession, sf_dir: str, datasets=None) -> str:
     return write_landing(spark, feeds, scratch_path(spark, "landing"))
 
 
-def _pipeline_run(spark: SparkSession, sf_dir: str) -> Store:
+def _shared_run(spark: SparkSession, sf_dir: str) -> Store:
     """One full run per (application, sf_dir), reused by the inspecting queries."""
     key = (*session_key(spark), sf_dir)
     with _LOCK:
@@ -169,22 +169,22 @@ def q_empty_guard(spark, d):
 
 
 def q_audit_log(spark, d):
-    store = _pipeline_run(spark, d)
+    store = _shared_run(spark, d)
     return read_audit(spark, store).drop("created_at")
 
 
 def q_run_metrics(spark, d):
-    store = _pipeline_run(spark, d)
+    store = _shared_run(spark, d)
     return store.read(spark, "gold", "run_metrics").drop("run_time")
 
 
-def q_pipeline_end_to_end(spark, d):
-    store = _pipeline_run(spark, d)
+def q_end_to_end_run(spark, d):
+    store = _shared_run(spark, d)
     return store.read(spark, "gold", "movie_360")
 
 
-def q_pipeline_trending(spark, d):
-    store = _pipeline_run(spark, d)
+def q_stored_trending_titles(spark, d):
+    store = _shared_run(spark, d)
     return store.read(spark, "gold", "trending_titles")
 
 
@@ -209,8 +209,8 @@ def io_queries() -> dict:
         "empty_guard": q_empty_guard,
         "audit_log": q_audit_log,
         "run_metrics": q_run_metrics,
-        "pipeline_end_to_end": q_pipeline_end_to_end,
-        "pipeline_trending": q_pipeline_trending,
+        "end_to_end_run": q_end_to_end_run,
+        "stored_trending_titles": q_stored_trending_titles,
     })
     return qs
 
@@ -274,7 +274,7 @@ def io_oracles() -> dict[str, str]:
         "audit_log": _audit_sql(),
         # two snapshots were appended by the shared run
         "run_metrics": f"SELECT * FROM ({o.RUN_METRICS}) UNION ALL SELECT * FROM ({o.RUN_METRICS})",
-        "pipeline_end_to_end": o.MOVIE_360,
-        "pipeline_trending": o.TRENDING,
+        "end_to_end_run": o.MOVIE_360,
+        "stored_trending_titles": o.TRENDING,
     }
     return out
