@@ -115,10 +115,16 @@ class Store:
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite",
               bucket_by: str | None = None) -> int:
         """Write (replace by default) and return the observed row count."""
+        bucketed = self.catalog and bucket_by and self.buckets
+        if bucketed:
+            # Same hash as the bucket id: each task writes exactly one bucket, so a
+            # bucketed table has one file per bucket instead of tasks x buckets.
+            df = df.repartition(self.buckets, bucket_by)
+
         def run(d: DataFrame) -> None:
             w = d.write.mode(mode).format(self.fmt)
             if self.catalog:
-                if bucket_by and self.buckets:
+                if bucketed:
                     w = w.bucketBy(self.buckets, bucket_by).sortBy(bucket_by)
                 w.saveAsTable(self.name(layer, table))
             else:

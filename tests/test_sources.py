@@ -123,11 +123,14 @@ def test_store_write_counts_and_exists(spark, tmp):
 def test_catalog_store_buckets_gold(spark, tmp):
     store = Store(os.path.join(tmp, "cat"), catalog=True, prefix="t_", buckets=4)
     assert store.prepare(spark) == ["t_bronze", "t_silver", "t_gold"]
-    df = spark.range(20).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("movie_key"))
-    assert store.write(df, "gold", "m", bucket_by="movie_key") == 20
+    df = spark.range(0, 200, 1, 8).select(
+        F.concat(F.lit("k"), F.col("id").cast("string")).alias("movie_key"))
+    assert store.write(df, "gold", "m", bucket_by="movie_key") == 200
     assert spark.catalog.tableExists("t_gold.m")
     desc = {r.col_name: r.data_type for r in spark.sql("DESCRIBE TABLE EXTENDED t_gold.m").collect()}
     assert desc.get("Num Buckets") == "4"
+    files = spark.table("t_gold.m").inputFiles()
+    assert 0 < len(files) <= 4                       # one file per bucket, not tasks x buckets
 
 
 def test_partitioned_jdbc_read_needs_bounds(spark):
