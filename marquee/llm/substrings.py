@@ -202,7 +202,7 @@ def suffix_array(pieces: list[bytes], length: int):
     ranks: list[tuple[int, np.ndarray]] = []
     size = 7
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)                       # equal keys are equal strings so far
         s = key[order]
         rank = np.empty(n + 256, np.int64)
         rank[n:] = 0
@@ -253,7 +253,11 @@ def maximal_repeats(pieces: list[bytes], length: int) -> Iterator[tuple[int, np.
     # occurrences that differ in the byte before them; a piece's start differs from all
     change = np.concatenate(([0], np.cumsum((before[1:] != before[:-1])
                                             | (before[1:] == 0) | (before[:-1] == 0))))
-    for a, b, depth in repeat_intervals(lcp.tolist(), length):
+    # only neighbours that share enough take part in the scan
+    shares = lcp >= length
+    part = np.flatnonzero(shares | np.append(shares[1:], False))
+    for a, b, depth in repeat_intervals(np.where(shares, lcp, 0)[part].tolist(), length):
+        a, b = part[a], part[b]
         if change[a] != change[b]:
             yield depth, sa[a:b + 1]
 
