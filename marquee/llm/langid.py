@@ -16,13 +16,15 @@ equal predictions.
 
 from __future__ import annotations
 
+import math
 import unicodedata
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import LETTERS, crc_mod, small_batches, table
+from marquee.llm.common import LETTERS, crc_mod, small_batches, table, written
 
 LONGEST, BITS, LANDMARKS, SAMPLE, RIDGE = 4, 14, 240, 4000, 1e-3
 #: Languages that may be learned (the most frequent), which bounds the model.
@@ -90,9 +92,15 @@ def train(docs: DataFrame, text: Column, lang: Column, keep: Column, order: Colu
     if not langs:
         return None
     each, few = -(-sample // len(langs)), -(-landmarks // len(langs))
-    # a bounded number per language, cut before anything is gathered
+    # of a frequent language only the share of hashes that gives about twice the rows needed
+    # is looked at, so no language is gathered; then a bounded number of each is ranked
+    share = F.create_map(*[F.lit(v) for r in counts for v in (
+        r.lang, min(1 << 20, math.ceil((2 * each + 20) / r.n * (1 << 20))))])
     part = Window.partitionBy("lang").orderBy("o", "text")
-    drawn = rows.filter(F.col("lang").isin(langs)).withColumn("k", F.row_number().over(part))
+    drawn = (rows.filter(F.col("lang").isin(langs))
+             .filter(F.pmod(F.xxhash64("o"), F.lit(1 << 20)) < share[F.col("lang")])
+             .withColumn("k", F.row_number().over(part)).filter(F.col("k") <= each))
+    drawn = written(drawn, "language-sample")
 
     @F.pandas_udf("binary")
     def pack(texts: pd.Series) -> pd.Series:
