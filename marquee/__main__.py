@@ -30,7 +30,7 @@ def main(argv=None) -> int:
     ap.add_argument("--size-shuffle", action="store_true",
                     help="size shuffle partitions from the landed bytes (~256 MB each)")
     ap.add_argument("--json-multiline", action="store_true",
-                    help="JSON feeds are pretty-printed documents, not JSON lines")
+                    help="JSON feeds are documents spread over lines (default: found from the files)")
     a = ap.parse_args(argv)
 
     spark = get_spark("marquee")
@@ -40,10 +40,10 @@ def main(argv=None) -> int:
     store.prepare(spark)
     if a.step == "run":
         out = {"movie_360": pl.run_pipeline(spark, a.landing, store, a.parallelism,
-                                                 a.json_multiline)}
+                                                 a.json_multiline or None)}
     elif a.step == "bronze":
         out = {"rows": pl.run_bronze(spark, a.dataset, a.landing, store,
-                                          json_multiline=a.json_multiline)}
+                                          json_multiline=a.json_multiline or None)}
     elif a.step == "silver":
         out = {"rows": pl.run_silver(spark, a.dataset, store)}
     elif a.step == "gold":

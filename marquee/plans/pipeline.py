@@ -16,13 +16,16 @@ from pyspark.sql import functions as F
 
 from marquee.operators.marts import movie_360, table_counts, trending_titles
 from marquee.plans.registry import DATASETS, dataset
+from marquee.session import input_bytes, size_shuffle
 from marquee.sources.readers import read_feed
+from marquee.sources.schemas import SILVER
 from marquee.sources.sinks import (
     _APPEND_LOCK, AUDIT_TABLE, METRICS_TABLE, AuditLog, Store, write_feed, write_wrapped_json,
 )
 
 log = logging.getLogger(__name__)
 
+SPARK_DEFAULT_PARTITIONS = "200"
 METRIC_TABLES = ("movies", "users", "ratings", "reviews")
 
 
@@ -42,7 +45,7 @@ class _StepLog:
 
 
 def run_bronze(spark: SparkSession, name: str, landing: str, store: Store,
-               audit_log: AuditLog | None = None, json_multiline: bool = False) -> int:
+               audit_log: AuditLog | None = None, json_multiline: bool | None = None) -> int:
     """Read one landing feed as-is and replace its bronze table."""
     ds = dataset(name)
     with _StepLog(spark, store, audit_log) as a:
@@ -64,7 +67,11 @@ def run_silver(spark: SparkSession, name: str, store: Store,
         if (bronze_rows == 0) if bronze_rows is not None else bronze.isEmpty():
             a.add(name, "silver", ds.silver_table, 0, status="SKIPPED")
             return None
-        n = store.write(ds.cleaner(bronze), "silver", ds.silver_table,
+        clean = ds.cleaner(bronze)
+        if [(f.name, f.dataType) for f in clean.schema] != [(f.name, f.dataType)
+                                                            for f in SILVER[name]]:
+            raise TypeError(f"{name}: {clean.schema.simpleString()} is not the silver schema")
+        n = store.write(clean, "silver", ds.silver_table,
                         bucket_by="movie_key" if name == "movies" else None)
         a.add(name, "silver", ds.silver_table, n)
     return n
@@ -128,7 +135,7 @@ def record_run_metrics(spark: SparkSession, store: Store,
 
 
 def run_dataset(spark: SparkSession, name: str, landing: str, store: Store,
-                audit_log: AuditLog | None = None, json_multiline: bool = False) -> int | None:
+                audit_log: AuditLog | None = None, json_multiline: bool | None = None) -> int | None:
     """bronze -> silver -> gold for one dataset; returns the silver rows written
     (None when silver was skipped)."""
     b = run_bronze(spark, name, landing, store, audit_log, json_multiline)
@@ -139,10 +146,16 @@ def run_dataset(spark: SparkSession, name: str, landing: str, store: Store,
 
 
 def run_pipeline(spark: SparkSession, landing: str, store: Store, parallelism: int | None = None,
-                 json_multiline: bool = False) -> int:
+                 json_multiline: bool | None = None) -> int:
     """The whole run; returns the movie_360 row count.  The first failure in
     any dataset chain is raised after the others finish; audit rows of the
-    steps that did finish are written either way."""
+    steps that did finish are written either way.
+
+    Shuffles are sized from the landed bytes, unless the session sets a number of
+    partitions other than Spark's default."""
+    sized = spark.conf.get("spark.sql.shuffle.partitions") == SPARK_DEFAULT_PARTITIONS
+    if sized:
+        size_shuffle(spark, input_bytes(spark, landing))
     store.prepare(spark)
     audit_log = AuditLog(spark, store)
     try:
@@ -154,6 +167,8 @@ def run_pipeline(spark: SparkSession, landing: str, store: Store, parallelism: i
         record_run_metrics(spark, store, audit_log, known=silver_rows)
     finally:
         audit_log.flush()
+        if sized:
+            spark.conf.set("spark.sql.shuffle.partitions", SPARK_DEFAULT_PARTITIONS)
     return n
 
 

@@ -5,17 +5,21 @@ raw tokens survive as text: a JSON number ``95`` is read into a string
 column as ``"95"``, an empty XML element as ``""``, padded CSV values keep
 their spaces.
 
-Scale notes: a pretty-printed JSON document (``multiline=True``) is read by
-one task per file, so large feeds should land as JSON lines
-(``multiline=False``) or as many files; CSV, JSON lines, XML (split on the
-row tag) and Parquet split across tasks.
+Broken input fails: malformed JSON or XML and missing Parquet columns raise, and
+no reader returns fewer rows than the feed holds.
+
+Scale notes: a JSON document spread over lines is read by one task per file, and
+so is CSV with line breaks inside values (``multiline=True``), so large feeds
+should land as JSON lines, as CSV without them (``multiline=False``) or as many
+files; JSON lines, such CSV, XML (split on the row tag) and Parquet split across
+tasks.  Which layout a JSON feed has is found by a pass over its lines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType
+from pyspark.sql.types import DoubleType, FloatType, StructType
 
 from marquee.functions.numbers import nan_to_null
 from marquee.sources.schemas import BRONZE, WATCHLIST_WRAPPED
@@ -29,38 +33,88 @@ def nan_to_null_columns(df: DataFrame) -> DataFrame:
 
 
 def as_bronze(df: DataFrame, dataset: str) -> DataFrame:
-    """Cast to the dataset's all-string bronze schema (missing columns -> null)."""
-    have = set(df.columns)
-    return df.select(*[(F.col(f.name) if f.name in have else F.lit(None)).cast("string")
-                       .alias(f.name) for f in BRONZE[dataset]])
-
-
-def read_movies_json(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Movie catalogue: a JSON array of objects (or JSON lines when ``multiline=False``)."""
-    return (spark.read.schema(BRONZE["movies"]).option("multiLine", multiline)
-                 .option("mode", "PERMISSIVE").json(path))
-
-
-def read_scores_csv(spark: SparkSession, path: str) -> DataFrame:
-    """External scores: CSV with a header row; header names must match the schema."""
-    return (spark.read.schema(BRONZE["scores"]).option("header", True)
-                 .option("enforceSchema", False).csv(path))
+    """Cast to the dataset's all-string bronze schema.  Whole floating-point numbers
+    (integer columns that once held nulls) become integer text; a missing column
+    raises."""
+    wanted = [f.name for f in BRONZE[dataset]]
+    missing = [c for c in wanted if c not in df.columns]
+    if missing:
+        raise ValueError(f"{dataset} feed lacks the columns {', '.join(missing)}")
+
+    def text(name: str) -> Column:
+        c = F.col(name)
+        if isinstance(df.schema[name].dataType, (DoubleType, FloatType)):
+            whole = (c == F.floor(c)) & (F.abs(c) < 1e18)
+            return F.when(whole, c.try_cast("bigint").cast("string")).otherwise(c.cast("string"))
+        return c.cast("string")
+    return df.select(*[text(c).alias(c) for c in wanted])
+
+
+def spread_over_lines(spark: SparkSession, path: str, multiline: bool | None = None) -> bool:
+    """Whether the JSON documents under ``path`` are spread over lines (else every line
+    holds a whole one).  Raises where reading in that way would lose documents: files
+    of both layouts, several documents in a file that are spread over lines, or JSON
+    lines when ``multiline=True`` is asked for.  ``multiline=False`` is taken as given:
+    a line that is no document then fails the read."""
+    if multiline is False:
+        return False
+    line, text = F.col("value"), F.trim("value")
+    whole = (text.startswith("{") & text.endswith("}")) | (text.startswith("[") & text.endswith("]"))
+    place = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    files = (spark.read.text(path).filter(text != "")
+             .select(F.col("_metadata.file_path").alias("file"), place.alias("place"),
+                     whole.alias("whole"), line.startswith("{").alias("opens"))
+             .groupBy("file").agg(F.min_by("whole", "place").alias("whole"),
+                                  F.min_by("opens", "place").alias("object"),
+                                  F.count("*").alias("lines"), F.count_if("opens").alias("opened")))
+    r = files.agg(F.count_if(~F.col("whole")).alias("spread"),
+                  F.count_if(F.col("whole") & (F.col("lines") > 1)).alias("by_line"),
+                  F.count_if(~F.col("whole") & F.col("object") & (F.col("opened") > 1))
+                   .alias("several")).first()
+    if r.by_line and (r.spread or multiline):
+        raise ValueError(f"{path}: JSON lines where documents spread over lines are expected")
+    if r.several:
+        raise ValueError(f"{path}: several documents spread over lines in one file")
+    return bool(r.spread)
+
+
+def _read_json(spark: SparkSession, path: str, schema: StructType,
+               multiline: bool | None) -> DataFrame:
+    return (spark.read.schema(schema).option("mode", "FAILFAST")
+                 .option("multiLine", spread_over_lines(spark, path, multiline)).json(path))
+
+
+def read_movies_json(spark: SparkSession, path: str, multiline: bool | None = None) -> DataFrame:
+    """Movie catalogue: a JSON array of objects, on one or many lines, or JSON lines."""
+    return _read_json(spark, path, BRONZE["movies"], multiline)
+
+
+def read_scores_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """External scores: CSV with a header row; header names must match the schema.
+    Quotes inside values are doubled.  ``multiline=False`` splits files across tasks,
+    for feeds without line breaks inside values."""
+    return (spark.read.schema(BRONZE["scores"]).option("header", True).option("escape", '"')
+                 .option("multiLine", multiline).option("enforceSchema", False).csv(path))
 
 
 def read_watchlist_json(spark: SparkSession, path: str, wrapped: bool = True,
-                        multiline: bool = True) -> DataFrame:
+                        multiline: bool | None = None) -> DataFrame:
     """Watchlist events: ``{"events": [...]}`` documents flattened to one row per
-    event (``wrapped=False`` for plain event records)."""
+    event (``wrapped=False`` for plain event records).  A document without events
+    raises."""
     if not wrapped:
-        return spark.read.schema(BRONZE["watchlist"]).option("multiLine", multiline).json(path)
-    docs = spark.read.schema(WATCHLIST_WRAPPED).option("multiLine", multiline).json(path)
-    return docs.select(F.inline("events"))
+        return _read_json(spark, path, BRONZE["watchlist"], multiline)
+    docs = _read_json(spark, path, WATCHLIST_WRAPPED, multiline)
+    events = F.when(F.col("events").isNotNull(), F.col("events")).otherwise(
+        F.raise_error(F.lit("a watchlist document has no events")).cast(docs.schema["events"].dataType))
+    return docs.select(F.inline(events))
 
 
 def read_awards_xml(spark: SparkSession, path: str, row_tag: str = "award") -> DataFrame:
     """Awards: one row per ``<award>`` element; child text kept with its spaces."""
     return (spark.read.format("xml").option("rowTag", row_tag)
-                 .option("ignoreSurroundingSpaces", False).schema(BRONZE["awards"]).load(path))
+                 .option("ignoreSurroundingSpaces", False).option("mode", "FAILFAST")
+                 .schema(BRONZE["awards"]).load(path))
 
 
 def read_parquet_feed(spark: SparkSession, path: str, dataset: str) -> DataFrame:
@@ -99,9 +153,8 @@ FEEDS = {
 
 
 def read_feed(spark: SparkSession, landing: str, dataset: str,
-              json_multiline: bool = False) -> DataFrame:
-    """Bronze rows of one landing feed.  JSON feeds are JSON lines by default
-    (one record or one array per line -- splittable); ``json_multiline=True``
-    reads pretty-printed documents, one task per file."""
+              json_multiline: bool | None = None) -> DataFrame:
+    """Bronze rows of one landing feed.  The layout of JSON feeds is found from the
+    files, unless ``json_multiline`` states it."""
     name, reader = FEEDS[dataset]
     return reader(spark, f"{landing.rstrip('/')}/{name}", json_multiline)

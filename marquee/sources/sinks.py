@@ -9,11 +9,12 @@ counts again, then writes).
 from __future__ import annotations
 
 import threading
+import uuid
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampNTZType
 
@@ -29,7 +30,7 @@ def write_feed(df: DataFrame, path: str, fmt: str, mode: str = "overwrite",
     """Write a raw feed as csv / json / xml / parquet, keeping values verbatim."""
     w = df.write.mode(mode)
     if fmt == "csv":
-        w = (w.option("header", True).option("ignoreLeadingWhiteSpace", False)
+        w = (w.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
               .option("ignoreTrailingWhiteSpace", False))
     elif fmt == "xml":
         w = w.format("xml").option("rootTag", options.pop("root_tag", "rows")) \
@@ -45,12 +46,29 @@ def write_feed(df: DataFrame, path: str, fmt: str, mode: str = "overwrite",
 def write_wrapped_json(df: DataFrame, path: str, field: str = "events",
                        rows_per_doc: int = 10_000, mode: str = "overwrite") -> None:
     """JSON documents ``{"<field>": [row, ...]}``, one per line, each holding at
-    most ``rows_per_doc`` consecutive rows of one input partition -- the wrapped
-    layout without ever gathering the whole feed into one document."""
-    doc = F.floor(F.monotonically_increasing_id() / F.lit(rows_per_doc))
-    (df.withColumn("__doc", doc)
-       .groupBy("__doc").agg(F.collect_list(F.struct(*df.columns)).alias(field))
-       .select(field).write.mode(mode).json(path))
+    most ``rows_per_doc`` rows -- the wrapped layout without ever gathering the whole
+    feed into one document."""
+    wrapped(df, field, rows_per_doc).select(field).write.mode(mode).json(path)
+
+
+def write_indented_json(df: DataFrame, path: str, field: str = "events",
+                        rows_per_doc: int = 10_000, mode: str = "overwrite") -> None:
+    """The wrapped layout as indented documents, each in a file of its own."""
+    docs = wrapped(df, field, rows_per_doc)
+    (docs.select(F.concat_ws("-", "__hash", "__doc").alias("doc"),
+                 F.to_json(F.struct(field), {"pretty": "true"}).alias("value"))
+         .repartition("doc").write.mode(mode).partitionBy("doc").text(path))
+
+
+def wrapped(df: DataFrame, field: str, rows_per_doc: int) -> DataFrame:
+    """Rows gathered into documents: by a hash of the row, which is the same whenever a
+    task runs again, and then in order, ``rows_per_doc`` at a time."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    row = F.struct(*df.columns)
+    keyed = df.select(row.alias("__row"), F.pmod(F.xxhash64(row), F.lit(n)).alias("__hash"))
+    place = F.row_number().over(Window.partitionBy("__hash").orderBy("__row")) - 1
+    return (keyed.withColumn("__place", place).withColumn("__doc", F.expr(f"__place div {int(rows_per_doc)}"))
+            .groupBy("__hash", "__doc").agg(F.collect_list("__row").alias(field)))
 
 
 # ---- layer tables (W1, W3, W8) ---------------------------------------------
@@ -108,13 +126,19 @@ class Store:
             spark.read.format(self.fmt).load(self.path(layer, table))
             return True
         except AnalysisException as e:
-            if (e.getCondition() or "").startswith("PATH_NOT_FOUND"):
+            if (e.getCondition() or "").startswith(("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")):
                 return False
             raise
 
     def write(self, df: DataFrame, layer: str, table: str, mode: str = "overwrite",
               bucket_by: str | None = None) -> int:
-        """Write (replace by default) and return the observed row count."""
+        """Write (replace by default) and return the observed row count.
+
+        A replaced table is first written beside the old one, which goes only when the
+        new one is complete: a write that fails leaves it as it was."""
+        spark = df.sparkSession
+        replace = mode == "overwrite"
+        new = f"{table}__new_{uuid.uuid4().hex[:12]}" if replace else table
         bucketed = self.catalog and bucket_by and self.buckets
         if bucketed:
             # Same hash as the bucket id: each task writes exactly one bucket, so a
@@ -126,14 +150,52 @@ class Store:
             if self.catalog:
                 if bucketed:
                     w = w.bucketBy(self.buckets, bucket_by).sortBy(bucket_by)
-                w.saveAsTable(self.name(layer, table))
+                w.saveAsTable(self.name(layer, new))
             else:
-                w.save(self.path(layer, table))
-        return write_observed(df, run)
+                w.save(self.path(layer, new))
+        if not replace:
+            return write_observed(df, run)
+        try:
+            n = write_observed(df, run)
+        except BaseException:
+            self._drop(spark, layer, new)
+            raise
+        if self.catalog:
+            spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
+            spark.sql(f"ALTER TABLE {self.name(layer, new)} RENAME TO {self.name(layer, table)}")
+        else:
+            self._drop(spark, layer, table)
+            fs, path = _file_system(spark, self.path(layer, new))
+            if not fs.rename(path, _hadoop_path(spark, self.path(layer, table))):
+                raise OSError(f"{self.path(layer, new)} could not take the place of {table}")
+        return n
+
+    def _drop(self, spark: SparkSession, layer: str, table: str) -> None:
+        if self.catalog:
+            spark.sql(f"DROP TABLE IF EXISTS {self.name(layer, table)}")
+        else:
+            fs, path = _file_system(spark, self.path(layer, table))
+            fs.delete(path, True)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = _hadoop_path(spark, path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more (a landing of a finished run)."""
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
 
 
 # ---- append-only logs (W4, W5) ---------------------------------------------
 
+# ---- fixed values (must equal the reference's for equal results) ----
 AUDIT_TABLE = "etl_audit_log"
 METRICS_TABLE = "run_metrics"
 # Appends into one table location are serialised: two concurrent file

@@ -68,8 +68,8 @@ def test_pretty_printed_feeds_in_reference_layout(spark, tmp):
     with open(os.path.join(land, "watchlist_events.json"), "w") as f:
         f.write(json.dumps(events, indent=2))
     store = Store(os.path.join(tmp, "lake"))
-    assert run_bronze(spark, "movies", land, store, json_multiline=True) == 2
-    assert run_bronze(spark, "watchlist", land, store, json_multiline=True) == 7
+    assert run_bronze(spark, "movies", land, store) == 2
+    assert run_bronze(spark, "watchlist", land, store) == 7
     run_silver(spark, "movies", store)
     run_silver(spark, "watchlist", store)
     m = store.read(spark, "silver", "movies").collect()
@@ -93,6 +93,20 @@ def test_shuffle_sizing_from_landed_bytes(spark, tmp):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+def test_silver_schema_is_enforced(spark, tmp, monkeypatch):
+    from dataclasses import replace
+
+    from marquee.plans import registry
+    ds = registry.DATASETS["ratings"]
+    store = Store(os.path.join(tmp, "lake"))
+    store.write(fx.bronze(spark, SF_SMALL, "ratings"), "bronze", "ratings")
+    monkeypatch.setitem(registry.DATASETS, "ratings",
+                        replace(ds, cleaner=lambda df: ds.cleaner(df).drop("score")))
+    with pytest.raises(TypeError, match="silver schema"):
+        run_silver(spark, "ratings", store)
+    assert not store.exists(spark, "silver", "ratings")
+
+
 def test_cli_run_and_single_steps(spark, tmp, capsys):
     import json
 

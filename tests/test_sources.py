@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from marquee.sources import readers as rd
@@ -74,15 +76,100 @@ def test_csv_header_and_padding(spark, tmp):
 
 
 def test_parquet_feed_to_bronze_strings(spark, tmp):
-    df = spark.createDataFrame([(1, "a", float("nan")), (2, None, 1.5)], "user_id long, username string, x double")
+    df = spark.createDataFrame([(1.0, "a", float("nan")), (2e7, None, 1.5)],
+                               "user_id double, username string, x double")
+    for c in ("email", "country", "signup_date", "is_premium"):
+        df = df.withColumn(c, F.lit(None).cast("string"))
     p = os.path.join(tmp, "u.parquet")
     df.write.parquet(p)
     out = rd.read_parquet_feed(spark, p, "users")
     assert out.schema == BRONZE["users"]
-    assert sorted((r.user_id, r.username) for r in out.collect()) == [("1", "a"), ("2", None)]
+    assert sorted((r.user_id, r.username) for r in out.collect()) == [("1", "a"), ("20000000", None)]
     assert rd.nan_to_null_columns(spark.read.parquet(p)).where("x IS NULL").count() == 1
 
 
+def test_missing_column_raises(spark, tmp):
+    p = os.path.join(tmp, "r.parquet")
+    spark.createDataFrame([(1, 2)], "ratingid long, user_id long").write.parquet(p)
+    with pytest.raises(ValueError, match="rating_id"):
+        rd.read_parquet_feed(spark, p, "ratings")
+
+
+EVENT = {"event_id": "e1", "user": "u", "title": "t", "action": "add", "event_time": None, "device": ""}
+
+
+def test_json_layouts(spark, tmp):
+    doc = {"events": [EVENT] * 3}
+    line, pretty = json.dumps(doc), json.dumps(doc, indent=2)
+    read = lambda name, text, **k: rd.read_watchlist_json(
+        spark, _write(os.path.join(tmp, name), text), **k).count()
+    assert read("a.json", line) == read("b.json", pretty) == 3
+    assert read("c.json", line + "\n" + line + "\n") == 6
+    with pytest.raises(ValueError):                      # JSON lines asked for as one document
+        read("d.json", line + "\n" + line, multiline=True)
+    with pytest.raises(Exception, match="(?i)malformed"):    # one document read as lines
+        read("e.json", pretty, multiline=False)
+    with pytest.raises(Exception, match="(?i)malformed"):    # a broken line
+        read("f.json", line + "\n" + line[:40])
+    with pytest.raises(Exception, match="(?i)malformed"):    # a broken document
+        read("g.json", pretty[:-30])
+    with pytest.raises(ValueError):                      # a second document would be lost
+        read("h.json", pretty + "\n" + pretty)
+    with pytest.raises(Exception, match="no events"):
+        read("i.json", json.dumps({"event": []}))
+
+
+def test_bare_ampersand_in_xml_raises(spark, tmp):
+    p = _write(os.path.join(tmp, "a.xml"), "<awards><award><award_id>1</award_id><title>A & B</title>"
+                                           "<category>c</category><year>1</year><result>won</result>"
+                                           "</award></awards>")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        rd.read_awards_xml(spark, p).collect()
+
+
+TITLES = ['Good, "Bad" and Ugly', 'say "hi", bye', "two\nlines", "ends in \\", " padded "]
+
+
+def test_csv_as_the_csv_module_writes_it(spark, tmp):
+    path = os.path.join(tmp, "s.csv")
+    with open(path, "w", newline="") as f:
+        w = csv.DictWriter(f, BRONZE["scores"].names)
+        w.writeheader()
+        for t in TITLES:
+            w.writerow({"title": t, "imdb_score": "9.5", "rt_score": "95%", "source": "RT"})
+    rows = rd.read_scores_csv(spark, path).collect()
+    assert [r.title for r in rows] == TITLES and {r.source for r in rows} == {"RT"}
+
+
+def test_csv_writer_is_read_by_the_csv_module(spark, tmp):
+    p = os.path.join(tmp, "out")
+    write_feed(spark.createDataFrame([(t, "x") for t in TITLES], "title string, v string").coalesce(1),
+               p, "csv")
+    part = next(x for x in os.listdir(p) if x.startswith("part-"))
+    with open(os.path.join(p, part), newline="") as f:
+        assert [r["title"] for r in csv.DictReader(f)] == TITLES
+
+
+@pytest.mark.parametrize("catalog", [False, True])
+def test_failed_overwrite_keeps_the_old_table(spark, tmp, catalog):
+    store = Store(os.path.join(tmp, "lake"), catalog=catalog, prefix="fo_")
+    store.prepare(spark)
+    store.write(spark.range(5), "gold", "kept")
+    broken = spark.range(9).select(F.when(F.col("id") < 8, F.col("id")).otherwise(
+        F.raise_error(F.lit("broken")).cast("bigint")).alias("id"))
+    with pytest.raises(Exception, match="broken"):
+        store.write(broken, "gold", "kept")
+    assert store.exists(spark, "gold", "kept") and store.read(spark, "gold", "kept").count() == 5
+    with pytest.raises(Exception, match="broken"):
+        store.write(broken, "gold", "never")
+    assert not store.exists(spark, "gold", "never")
+    assert store.write(spark.range(2), "gold", "kept") == 2
+    assert store.read(spark, "gold", "kept").count() == 2
+    if not catalog:
+        os.makedirs(store.path("gold", "hollow"))
+        assert not store.exists(spark, "gold", "hollow")
+
+
 def test_feed_writers_round_trip(spark, tmp):
     df = spark.createDataFrame([("a", " pad ", ""), ("b", None, "x")], "k string, v string, w string")
     for fmt in ("json", "parquet", "xml"):
