@@ -23,28 +23,29 @@ DATE_PATTERNS = (
 ISO_DATE = "yyyy-MM-dd"
 # ---------------------------------------------------------------------------
 
-# Shape of text each layout can possibly parse (a superset: "yyyy" takes
-# exactly four ASCII digits, "M"/"d" one or more, no signs, month names are
-# letters).  A layout is only attempted on text of its shape, so a row costs
-# one parse instead of up to six failed ones -- same result, far fewer
-# parser exceptions.
+# Leading text that each layout can parse ("yyyy" takes exactly four ASCII digits,
+# "M"/"d" one or more, no signs, month names are letters).  What follows a date --
+# a time, a zone -- is ignored.  A layout is only attempted on text of its shape, so a
+# row costs one parse instead of up to six failed ones.
 _SHAPES = {
-    "yyyy-M-d": r"^[0-9]{4}-[0-9]+-[0-9]+$",
-    "d/M/yyyy": r"^[0-9]+/[0-9]+/[0-9]{4}$",
-    "M-d-yyyy": r"^[0-9]+-[0-9]+-[0-9]{4}$",
-    "yyyy/M/d": r"^[0-9]{4}/[0-9]+/[0-9]+$",
+    "yyyy-M-d": r"^[0-9]{4}-[0-9]+-[0-9]+",
+    "d/M/yyyy": r"^[0-9]+/[0-9]+/[0-9]{4}(?![0-9])",
+    "M-d-yyyy": r"^[0-9]+-[0-9]+-[0-9]{4}(?![0-9])",
+    "yyyy/M/d": r"^[0-9]{4}/[0-9]+/[0-9]+",
+    "MMMM d, yyyy": r"^[A-Za-z]+ [0-9]+, [0-9]{4}(?![0-9])",
+    "MMM d yyyy": r"^[A-Za-z]+ [0-9]+ [0-9]{4}(?![0-9])",
 }
-_TEXT_SHAPE = r"^[A-Za-z]"
 
 
 def parse_date(c, patterns=DATE_PATTERNS) -> Column:
     """First layout that parses the trimmed text, as a DateType; else null.
 
     ``try_to_date`` keeps ANSI mode on without failing on bad input.
-    Text after a valid date (``2021-03-04T10:00``) does not parse.
+    Text after a valid date (``2021-03-04T10:00``) is ignored.
     """
     t = F.trim(col(c))
-    return F.coalesce(*[F.when(t.rlike(_SHAPES.get(p, _TEXT_SHAPE)), F.try_to_date(t, p))
+    return F.coalesce(*[F.when(t.rlike(_SHAPES[p]),
+                               F.try_to_date(F.regexp_extract(t, _SHAPES[p], 0), p))
                         for p in patterns])
 
 

@@ -16,6 +16,8 @@ from marquee.functions._col import col
 # (so "120 min" -> 120, "95%" -> 95, "-5" -> 5, "95.5" -> 955 as an integer).
 NON_DIGITS = "[^0-9]"
 NON_DECIMAL = "[^0-9.]"
+# Whole part of a decimal number.
+DECIMALS = r"^(\s*[+-]?[0-9]+)\.[0-9]*\s*$"
 # Rating text keeps the part before the first "/" ("8.5/10" -> 8.5).
 RATING_SPLIT = "/"
 # Inclusive valid ranges; values outside become null (the row is kept).
@@ -49,18 +51,18 @@ def range_or_null(c, lo, hi) -> Column:
 
 
 def cast_ids(c) -> Column:
-    """Identifier text -> bigint, null when not a number or out of range."""
-    return col(c).try_cast("bigint")
+    """Identifier text -> bigint, null when not a number or out of range.  Decimals
+    are cut off ("12.0" -> 12)."""
+    return F.regexp_replace(col(c), DECIMALS, "$1").try_cast("bigint")
 
 
 def round_avg(c, digits: int) -> Column:
     """Average rounded half-up to ``digits`` decimals, returned as double.
 
-    The average goes through ``decimal(18,6)`` before rounding so the
-    result does not depend on binary floating-point ties (``round`` of a
-    double and of a decimal disagree on values such as 1.005).
+    Values are summed as decimals, exactly and in any order, and the average is rounded
+    once.
     """
-    return F.round(F.avg(col(c)).cast("decimal(18,6)"), digits).cast("double")
+    return F.round(F.avg(col(c).cast("decimal(20,10)")), digits).cast("double")
 
 
 def nan_to_null(c) -> Column:

@@ -42,10 +42,9 @@ def str_initcap(c) -> Column:
 
 
 def movie_key(title, content_type: str = DEFAULT_CONTENT_TYPE) -> Column:
-    """Join key ``Initcap(title)|type``; null when the title is null/blank."""
-    t = str_initcap(title)
-    return F.when(t.isNotNull() & (t != ""),
-                  F.concat_ws(KEY_SEPARATOR, t, F.lit(content_type)))
+    """Join key ``Initcap(title)|type``; null when the title is null/blank (a null part
+    makes the whole concatenation null)."""
+    return F.concat(F.nullif(str_initcap(title), F.lit("")), F.lit(KEY_SEPARATOR + content_type))
 
 
 def movie_key_pair(title, content_type) -> Column:
@@ -53,17 +52,20 @@ def movie_key_pair(title, content_type) -> Column:
     return F.concat_ws(KEY_SEPARATOR, col(title), col(content_type))
 
 
+def _meaning(c, words: dict) -> Column:
+    """What a spelling stands for, compared after trim + lower-case; null if unknown."""
+    pairs = F.create_map(*[F.lit(x) for pair in words.items() for x in pair])
+    return F.try_element_at(pairs, str_lower_trim(c))
+
+
 def bool_map(c, true_words=TRUE_WORDS, false_words=FALSE_WORDS) -> Column:
     """Three-valued boolean: known spellings map to true/false, the rest null."""
-    v = str_lower_trim(c)
-    return (F.when(v.isin(*true_words), F.lit(True))
-             .when(v.isin(*false_words), F.lit(False)))
+    return _meaning(c, {w: True for w in true_words} | {w: False for w in false_words})
 
 
 def source_canon(c) -> Column:
     """``rt``/``rotten_tomatoes`` -> rotten_tomatoes; anything else (null too) -> imdb."""
-    return (F.when(str_lower_trim(c).isin(*ROTTEN_TOMATOES_WORDS), F.lit(ROTTEN_TOMATOES))
-             .otherwise(F.lit(IMDB)))
+    return coalesce_default(_meaning(c, dict.fromkeys(ROTTEN_TOMATOES_WORDS, ROTTEN_TOMATOES)), IMDB)
 
 
 def coalesce_default(c, default=UNKNOWN) -> Column:

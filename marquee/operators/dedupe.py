@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 
 _RN = "__marquee_rn"
 _MIN = "__marquee_first"
+# Equal rows that one step of the expansion makes.
+_COPIES = 1 << 16
 
 
 def total_order(df: DataFrame, keys: Sequence[str], first: Sequence[str] = ()) -> list[Column]:
@@ -55,7 +57,23 @@ def first_per_key_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]
 
 
 def first_per_key_keep_nulls(df: DataFrame, key: str, first: Sequence[str] = ()) -> DataFrame:
-    """Like :func:`first_per_key` on one key, but rows whose key is null are
-    all kept.  They bypass the aggregation entirely."""
-    kept = first_per_key(df.filter(F.col(key).isNotNull()), [key], first)
-    return kept.unionByName(df.filter(F.col(key).isNull()))
+    """Like :func:`first_per_key` on one key, but rows whose key is null are all kept.
+
+    One pass: rows without a key are grouped by all their columns and counted, so they
+    are spread over the shuffle, and the count is expanded again (in two steps, so that
+    no array grows with the table)."""
+    null = F.col(key).isNull()
+    order = [*first, *[c for c in df.columns if c != key and c not in first]]
+    if not order:
+        return df.select(key).filter(~null).distinct().unionByName(df.select(key).filter(null))
+    own = [F.when(null, F.col(c)).alias(f"{_MIN}_{i}") for i, c in enumerate(order)]
+    groups = df.groupBy(F.col(key), *own).agg(
+        F.min(F.struct(*order)).alias(_MIN),
+        F.count(F.when(null, F.lit(1))).alias(_RN))
+    last = F.greatest(F.col(_RN) - 1, F.lit(0))
+    step = F.lit(_COPIES)
+    chunks = groups.select(key, _MIN, F.explode(F.sequence(F.lit(0), last, step)).alias("from"),
+                           last.alias("last"))
+    rows = chunks.select(key, _MIN, F.explode(F.sequence(
+        "from", F.least(F.col("from") + step - 1, F.col("last")))).alias(_RN))
+    return rows.select(*[F.col(c) if c == key else F.col(_MIN)[c].alias(c) for c in df.columns])

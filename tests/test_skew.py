@@ -65,14 +65,22 @@ def test_hot_value_key_dedupe(spark):
     assert first_per_key(df, ["k"]).where("k = -1").first().v == 0
 
 
-def test_null_emails_never_enter_the_shuffle(spark):
+def test_null_emails_are_spread_over_the_shuffle(spark):
     df = _base(spark).select(
         F.col("id").alias("user_id"),
         F.when(F.col("id") % 3 == 0, F.lit(None))
          .otherwise(F.concat(F.lit("u"), (F.col("id") % 1000).cast("string"))).alias("email"))
     out = first_per_key_keep_nulls(df, "email", first=["user_id"])
-    assert _shuffled(spark, out) <= 1000 * MAPS
-    assert out.count() == ROWS // 3 + 1000
+    assert _shuffled(spark, out) <= 1000 * MAPS + ROWS // 3
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == ROWS // 3 + 1000 and len(sizes) >= 8
+    assert max(sizes) <= 1.5 * sum(sizes) / len(sizes)
+    same = spark.range(200_000).select(F.lit(None).cast("string").alias("email"), F.lit(1).alias("user_id"))
+    assert first_per_key_keep_nulls(same, "email").count() == 200_000      # equal rows are counted
 
 
 def test_hot_title_is_pre_aggregated_in_fact_ratings(spark):
