@@ -25,7 +25,11 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 # ---- fixed values of the fixture layout (documented in FIXTURES.md) -------
 CASE_STYLES = 4          # as-is / lower / upper / padded with one space
-DATE_STYLES = ("yyyy-MM-dd", "dd/MM/yyyy", "MMMM dd, yyyy", "MM-dd-yyyy")  # 5th style: null
+# the 9th style is null
+DATE_STYLES = ("yyyy-MM-dd", "dd/MM/yyyy", "MMMM dd, yyyy", "MM-dd-yyyy", "yyyy/MM/dd",
+               "MMM dd yyyy", "yyyy-M-d", "d/M/yyyy")
+# Copies of the title table in the join of events on their few title numbers.
+TITLE_SALTS = 32
 DAY_ZERO = "2016-01-01"
 DAY_SPAN = 3000
 # ---------------------------------------------------------------------------
@@ -93,6 +97,12 @@ def _pick(m: Column, values) -> Column:
     return out
 
 
+def _copies(df: DataFrame, name: str, when: dict[int, Column]) -> DataFrame:
+    """One row for each number whose condition holds, read and joined once."""
+    numbers = F.array(*[F.when(c, F.lit(k)) for k, c in when.items()])
+    return df.withColumn(name, F.explode(F.filter(numbers, lambda x: x.isNotNull())))
+
+
 def _bronze(df: DataFrame, dataset: str) -> DataFrame:
     return df.select(*[F.col(f.name).cast("string").alias(f.name) for f in BRONZE[dataset]])
 
@@ -100,9 +110,7 @@ def _bronze(df: DataFrame, dataset: str) -> DataFrame:
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part")
     p = F.col("p_partkey")
-    src = (part.withColumn("cp", F.lit(0))
-               .unionByName(part.where(p % 7 == 0).withColumn("cp", F.lit(1)))
-               .unionByName(part.where(p % 31 == 5).withColumn("cp", F.lit(2))))
+    src = _copies(part, "cp", {0: F.lit(True), 1: p % 7 == 0, 2: p % 31 == 5})
     m = p + F.col("cp")
     s = (F.col("p_size") * 13).cast("string")
     r = tenths_text(F.pmod(p, F.lit(100)))
@@ -117,7 +125,7 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
         _pick(p, [s, F.concat(s, F.lit(" min")), F.concat(s, F.lit(".0")), None]).alias("runtime"),
         _pick(p, [r, F.concat(r, F.lit("/10")), F.lit("999"), F.concat(F.lit(" "), r)])
          .alias("rating"),
-        F.when(p % 5 != 0, p * 37).alias("votes"),
+        F.when(p % 5 != 0, F.pmod(p, F.lit(1_000_000)) * 37).alias("votes"),
         dirty_case(F.col("p_brand"), m).alias("director"))
     return _bronze(out, "movies")
 
@@ -127,7 +135,7 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation")
     c = F.col("c_custkey")
     j = cust.join(nation, cust.c_nationkey == nation.n_nationkey, "left")
-    src = j.unionByName(j.where(c % 101 == 0))           # exact duplicate rows
+    src = _copies(j, "rep", {0: F.lit(True), 1: c % 101 == 0})      # exact duplicate rows
     e = F.when(c % 13 == 1, c - 1).otherwise(c)
     out = src.select(
         c.alias("user_id"),
@@ -170,11 +178,11 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.col("doc_id")
     j = (docs.join(labels, "doc_id", "left")
              .join(part, (d / 3).cast("bigint") == part.p_partkey, "left"))
-    src = j.withColumn("rep", F.lit(0)).unionByName(j.where(d % 9 == 0).withColumn("rep", F.lit(1)))
+    src = _copies(j, "rep", {0: F.lit(True), 1: d % 9 == 0})
     m = d + F.col("rep")
     out = src.select(
         d.alias("review_id"),
-        F.pmod(d * 7, F.lit(1500)).alias("user_id"),
+        (d + 1).alias("user_id"),
         dirty_case(title_of(F.col("p_name"), F.col("p_partkey")), m).alias("movie_title"),
         F.when(F.col("quality") == 1, F.lit(" POSITIVE "))
          .when(F.col("quality") == 0, F.lit("negative"))
@@ -188,10 +196,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part")
     p = F.col("p_partkey")
-    src = (part.withColumn("src", F.lit(0))
-               .unionByName(part.withColumn("src", F.lit(1)))
-               .unionByName(part.where(p % 5 == 0).withColumn("src", F.lit(2)))
-               .unionByName(part.where(p % 37 == 0).withColumn("src", F.lit(3))))
+    src = _copies(part, "src", {0: F.lit(True), 1: F.lit(True), 2: p % 5 == 0, 3: p % 37 == 0})
     sc = F.col("src")
     m = p + sc
     out = src.select(
@@ -210,9 +215,13 @@ def watchlist(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events")
     part = read_table(spark, sf_dir, "part")
     k = F.get_json_object("props", "$.k").try_cast("bigint")
-    j = ev.withColumn("k", k).join(part, F.col("k") == part.p_partkey, "left")
     e = F.col("event_id")
-    src = j.withColumn("rep", F.lit(0)).unionByName(j.where(e % 50 == 0).withColumn("rep", F.lit(1)))
+    # events name few titles: each title's events are spread over several join keys
+    salted = part.select("p_partkey", "p_name", F.explode(F.sequence(
+        F.lit(0), F.lit(TITLE_SALTS - 1))).alias("part_salt"))
+    j = ev.withColumn("k", k).withColumn("salt", F.pmod(e, F.lit(TITLE_SALTS)).cast("int")).join(
+        salted, (F.col("k") == F.col("p_partkey")) & (F.col("salt") == F.col("part_salt")), "left")
+    src = _copies(j, "rep", {0: F.lit(True), 1: e % 50 == 0})
     m = e + F.col("rep")
     t = F.col("event_type")
     out = src.select(
@@ -232,7 +241,7 @@ def awards(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part")
     o = F.col("o_orderkey")
     j = orders.join(part, (o / 8).cast("bigint") == part.p_partkey, "left")
-    src = j.withColumn("rep", F.lit(0)).unionByName(j.where(o % 11 == 0).withColumn("rep", F.lit(1)))
+    src = _copies(j, "rep", {0: F.lit(True), 1: o % 11 == 0})
     m = o + F.col("rep")
     y = F.year("o_orderdate").cast("string")
     st = F.col("o_orderstatus")
@@ -248,6 +257,18 @@ def awards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _bronze(out, "awards")
 
 
+def quoted(c: Column, m: Column) -> Column:
+    """Text with what CSV must quote: quotes, commas, line breaks, a backslash at the end."""
+    return _pick(m, [c, F.concat(F.lit('Good, "Bad" and '), c), F.concat(F.lit('say "hi", '), c),
+                     F.concat(c, F.lit("\nII")), F.concat(c, F.lit("\\"))])
+
+
+def quoted_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scores feed with such titles."""
+    s = bronze(spark, sf_dir, "scores")
+    return s.withColumn("title", quoted(F.col("title"), F.length("title")))
+
+
 BUILDERS = {
     "movies": movies,
     "users": users,

@@ -12,7 +12,9 @@ import threading
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from marquee.functions import parse_date
 from marquee.operators import marts as mt
+from marquee.operators.cleaners import CLEANERS
 from marquee.plans import fixtures as fx
 from marquee.plans import oracles as o
 from marquee.plans.pipeline import (
@@ -21,7 +23,9 @@ from marquee.plans.pipeline import (
 from marquee.plans.registry import DATASETS
 from marquee.sources import readers as rd
 from marquee.sources.schemas import SILVER
-from marquee.sources.sinks import Store, read_audit, write_feed, write_wrapped_json
+from marquee.sources.sinks import (
+    Store, read_audit, remove_path, write_feed, write_indented_json, write_wrapped_json,
+)
 from marquee.session import scratch_path, session_key
 
 _RUNS: dict[tuple[str, str], tuple[str, Store]] = {}
@@ -43,6 +47,7 @@ def _shared_run(spark: SparkSession, sf_dir: str) -> Store:
             landing = _landing(spark, sf_dir)
             store = Store(scratch_path(spark, "lake"))
             run_pipeline(spark, landing, store)
+            remove_path(spark, landing)
             record_run_metrics(spark, store)          # a second snapshot: history appends
             _RUNS[key] = (landing, store)
         return _RUNS[key][1]
@@ -58,7 +63,7 @@ def q_scan_json_movies(spark, d):
 
 def q_scan_csv_scores(spark, d):
     p = scratch_path(spark, "scores_csv")
-    write_feed(fx.bronze(spark, d, "scores"), p, "csv")
+    write_feed(fx.quoted_scores(spark, d), p, "csv")
     return rd.read_scores_csv(spark, p)
 
 
@@ -90,6 +95,8 @@ def _roundtrip(fmt: str):
         from marquee.operators.cleaners import clean_movies
         p = scratch_path(spark, f"movies_{fmt}")
         silver = clean_movies(fx.bronze(spark, d, "movies"))
+        if fmt == "csv":
+            silver = silver.withColumn("director", fx.quoted(F.col("director"), F.length("title")))
         if fmt == "xml":
             write_feed(silver, p, "xml", root_tag="movies", row_tag="movie")
             return (spark.read.format("xml").option("rowTag", "movie")
@@ -97,7 +104,7 @@ def _roundtrip(fmt: str):
         write_feed(silver, p, fmt)
         r = spark.read.schema(SILVER["movies"])
         if fmt == "csv":
-            r = r.option("header", True)
+            r = r.option("header", True).option("escape", '"').option("multiLine", True)
         return getattr(r, fmt)(p)
     q.__name__ = f"q_roundtrip_{fmt}"
     return q
@@ -138,6 +145,27 @@ def q_bronze_step(spark, d):
     return store.read(spark, "bronze", "ratings")
 
 
+def q_bronze_indented_watchlist(spark, d):
+    """Indented documents, read with the defaults."""
+    landing = scratch_path(spark, "landing")
+    write_indented_json(fx.bronze(spark, d, "watchlist"), f"{landing}/{DATASETS['watchlist'].feed}",
+                        "events", rows_per_doc=2000)
+    store = Store(scratch_path(spark, "lake"))
+    run_bronze(spark, "watchlist", landing, store)
+    remove_path(spark, landing)
+    return store.read(spark, "bronze", "watchlist")
+
+
+def q_clean_typed_ratings(spark, d):
+    """A Parquet export with floating-point ids and timestamps."""
+    typed = fx.bronze(spark, d, "ratings").withColumns({
+        "rating_id": F.col("rating_id").cast("double"), "user_id": F.col("user_id").cast("double"),
+        "watched_date": parse_date("watched_date").cast("timestamp")})
+    p = scratch_path(spark, "typed_ratings")
+    typed.write.parquet(p)
+    return CLEANERS["ratings"](rd.read_parquet_feed(spark, p, "ratings"))
+
+
 def q_silver_step(spark, d):
     store = Store(scratch_path(spark, "lake"))
     run_bronze(spark, "ratings", _landing(spark, d, ["ratings"]), store)
@@ -179,7 +207,11 @@ def q_run_metrics(spark, d):
 
 
 def q_end_to_end_run(spark, d):
-    store = _shared_run(spark, d)
+    """A run of its own, on every call."""
+    landing = _landing(spark, d)
+    store = Store(scratch_path(spark, "lake"))
+    run_pipeline(spark, landing, store)
+    remove_path(spark, landing)
     return store.read(spark, "gold", "movie_360")
 
 
@@ -204,6 +236,8 @@ def io_queries() -> dict:
         "sink_ctas_roundtrip": q_sink_ctas_roundtrip,
         "observed_count": q_observed_count,
         "bronze_step": q_bronze_step,
+        "bronze_indented_watchlist": q_bronze_indented_watchlist,
+        "clean_typed_ratings": q_clean_typed_ratings,
         "silver_step": q_silver_step,
         "gold_step": q_gold_step,
         "empty_guard": q_empty_guard,
@@ -227,12 +261,10 @@ def _audit_sql() -> str:
         for c in (*o.BRONZE_CTES[ds], *o.SILVER_CTES[ds]):
             if c not in ctes:
                 ctes.append(c)
-    marts = {"movies": "genre_summary", "ratings": "fact_ratings", "reviews": "review_summary",
-             "scores": "score_summary", "watchlist": "title_popularity",
-             "awards": "awards_won", "users": "users_by_country"}
+    marts = {name: ds.gold_table for name, ds in DATASETS.items()}
     for mart in marts.values():
         ctes.append(o.gold_cte(mart))
-    ctes.append(o.M360_CTES[-1])
+    ctes.extend(o.M360_CTES[-2:])
     rows = []
     for ds, mart in marts.items():
         rows.append(f"SELECT '{ds}' AS dataset, 'bronze' AS layer, '{ds}' AS table_name, "
@@ -251,14 +283,16 @@ def io_oracles() -> dict[str, str]:
         "scan_json_movies": o.bronze_sql("movies"),
         # CSV has no null: empty fields (null or '') read back as null
         "scan_csv_scores": "SELECT " + ", ".join(
-            f"NULLIF({c}, '') AS {c}" for c in o.BRONZE_COLS["scores"].split(", "))
+            f"NULLIF({o.quoted('title', 'length(title)') if c == 'title' else c}, '') AS {c}"
+            for c in o.BRONZE_COLS["scores"].split(", "))
         + f" FROM ({o.bronze_sql('scores')})",
         "scan_json_watchlist": o.bronze_sql("watchlist"),
         "scan_xml_awards": o.bronze_sql("awards"),
         "scan_parquet_users": o.bronze_sql("users"),
         "scan_parquet_ratings": o.bronze_sql("ratings"),
         "scan_parquet_reviews": o.bronze_sql("reviews"),
-        "roundtrip_csv": silver_movies,
+        "roundtrip_csv": f"SELECT * REPLACE ({o.quoted('director', 'length(title)')} AS director) "
+                         f"FROM ({silver_movies})",
         "roundtrip_json": silver_movies,
         "roundtrip_xml": silver_movies,
         "roundtrip_parquet": silver_movies,
@@ -268,6 +302,8 @@ def io_oracles() -> dict[str, str]:
             f"SELECT '{ds}' AS dataset, CAST(COUNT(*) AS BIGINT) AS silver_rows "
             f"FROM ({o.silver_sql(ds)})" for ds in DATASETS),
         "bronze_step": o.bronze_sql("ratings"),
+        "bronze_indented_watchlist": o.bronze_sql("watchlist"),
+        "clean_typed_ratings": o.silver_sql("ratings"),
         "silver_step": o.silver_sql("ratings"),
         "gold_step": o.gold_sql("fact_ratings"),
         "empty_guard": o.silver_sql("ratings"),

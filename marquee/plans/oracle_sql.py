@@ -69,15 +69,20 @@ def _keyed(ctes: tuple[str, ...], name: str, cols: list[str]) -> str:
     return with_(*ctes) + f"SELECT {', '.join(cols)} FROM {name}"
 
 
+def _last(ctes: tuple[str, ...], src: str, cols: list[str], keys: list[str]) -> str:
+    return with_(*ctes) + o.first_per_key(src, cols, keys, [c for c in cols if c not in keys],
+                                          "DESC NULLS LAST")
+
+
 DEDUPE = {
-    "dedupe_movies": o.silver_sql("movies"),
-    "dedupe_ratings": o.silver_sql("ratings"),
-    "dedupe_reviews": o.silver_sql("reviews"),
-    "dedupe_scores": o.silver_sql("scores"),
+    "dedupe_movies": _last((o.M_ALL, o.M_CLEAN), "m_clean", o.MOVIE_COLS, ["movie_key"]),
+    "dedupe_ratings": _last((o.R_ALL, o.R_CLEAN), "r_clean", o.RATING_COLS, ["user_id", "movie_key"]),
+    "dedupe_reviews": _last((o.V_ALL, o.V_CLEAN), "v_clean", o.REVIEW_COLS, ["review_id"]),
+    "dedupe_scores": _last((o.SC_ALL, o.SC_CLEAN), "sc_clean", o.SCORE_COLS, ["movie_key", "source"]),
     "dedupe_watchlist": _keyed((o.W_ALL, o.W_CLEAN, o.S_WATCHLIST_K), "s_watchlist_k",
                                o.WATCH_COLS),
     "dedupe_awards": _keyed((o.A_ALL, o.A_CLEAN, o.S_AWARDS_K), "s_awards_k", o.AWARD_COLS),
-    "dedupe_email": o.silver_sql("users"),
+    "dedupe_email": _last((o.U_ALL, o.U_CLEAN), "u_clean", o.USER_COLS, ["email"]),
 }
 
 

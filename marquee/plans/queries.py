@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from marquee import functions as fn
 from marquee.operators import cleaners as cl
 from marquee.operators import marts as mt
-from marquee.operators.dedupe import first_per_key, first_per_key_keep_nulls
+from marquee.operators.dedupe import first_per_key, first_per_key_by
 from marquee.plans import fixtures as fx
 from marquee.session import apply_settings
 
@@ -138,20 +138,28 @@ def q_filter_key_not_null(spark, d):
 
 # ---- dedupe ----------------------------------------------------------------
 
+def _last_per_key(df, keys):
+    """The window form with the order turned round: the last row of each key."""
+    return first_per_key_by(df, keys, [F.col(c).desc_nulls_last() for c in df.columns
+                                       if c not in keys])
+
+
 def q_dedupe_movies(spark, d):
-    return first_per_key(cl.project_movies(fx.bronze(spark, d, "movies")), ["movie_key"])
+    return _last_per_key(cl.project_movies(fx.bronze(spark, d, "movies")), ["movie_key"])
 
 
 def q_dedupe_ratings(spark, d):
-    return first_per_key(cl.project_ratings(fx.bronze(spark, d, "ratings")), ["rating_id"])
+    """The last rating of each user for each title."""
+    return _last_per_key(cl.project_ratings(fx.bronze(spark, d, "ratings")),
+                         ["user_id", "movie_key"])
 
 
 def q_dedupe_reviews(spark, d):
-    return first_per_key(cl.project_reviews(fx.bronze(spark, d, "reviews")), ["review_id"])
+    return _last_per_key(cl.project_reviews(fx.bronze(spark, d, "reviews")), ["review_id"])
 
 
 def q_dedupe_scores(spark, d):
-    return first_per_key(cl.project_scores(fx.bronze(spark, d, "scores")), ["movie_key", "source"])
+    return _last_per_key(cl.project_scores(fx.bronze(spark, d, "scores")), ["movie_key", "source"])
 
 
 def q_dedupe_watchlist(spark, d):
@@ -163,8 +171,8 @@ def q_dedupe_awards(spark, d):
 
 
 def q_dedupe_email(spark, d):
-    return first_per_key_keep_nulls(cl.project_users(fx.bronze(spark, d, "users")), "email",
-                                    first=["user_id"])
+    """One row per e-mail, null e-mails as one key, the highest user id first."""
+    return _last_per_key(cl.project_users(fx.bronze(spark, d, "users")), ["email"])
 
 
 # ---- marts, joins, top-k ---------------------------------------------------

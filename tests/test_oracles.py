@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from marquee.plans.catalog import all_oracles as oracle_sql
+from marquee.plans.catalog import all_queries as queries
 from conftest import SF_SMALL
 from oracle_check import compare, duck
 

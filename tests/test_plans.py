@@ -18,6 +18,20 @@ def test_dedupe_is_combined_before_the_shuffle(spark):
     assert "Window" not in p
 
 
+SOURCES = {"movies": 1, "users": 2, "ratings": 3, "reviews": 3, "scores": 1, "watchlist": 2, "awards": 2}
+
+
+def test_each_table_is_read_once(spark, tmp):
+    from marquee.operators.cleaners import clean_users
+    from marquee.plans import fixtures as fx
+    for ds, tables in SOURCES.items():
+        p = queries()[f"clean_{ds}"](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
+        assert p.count("FileScan") == tables, ds
+    fx.bronze(spark, SF_SMALL, "users").write.parquet(f"{tmp}/users")
+    p = clean_users(spark.read.parquet(f"{tmp}/users"))._jdf.queryExecution().sparkPlan().toString()
+    assert p.count("FileScan") == 1
+
+
 def test_trending_is_take_ordered(spark):
     p = _plan(queries()["trending_titles"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
