@@ -296,6 +296,8 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, n: int
             cand = np.setdiff1d(np.concatenate(list(by_q[q])), np.frombuffer(ids, _I))
             worst = np.frombuffer(sims, _F)
             limit = float(worst[-1]) if len(worst) >= pool else -3.0
+            if not len(cand):
+                continue
             of = block_of(cand, blocks)
             order = np.argsort(of, kind="stable")
             cand, of = cand[order].astype(_I), of[order]

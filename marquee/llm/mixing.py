@@ -13,7 +13,7 @@ is a seeded hash, cut into ranges whose token sums are pre-aggregated; only the
 range in which a leaf's budget ends is ordered row by row.
 
 Defined cases: null or empty texts have no tokens and are taken where their place in the
-order is before the cut; null levels form a node of their own; a weight that is
+order is before the cut; a leaf without any tokens costs nothing and is taken once; null levels form a node of their own; a weight that is
 missing is 1 and a weight of 0 takes nothing; repeated rows are taken or left together;
 a budget above the supply takes all epochs of all leaves.
 """
@@ -127,9 +127,10 @@ def mix(df: DataFrame, total: float, weights: dict[tuple, float], domain: Column
         .select(*[F.col(f"b.{c}").alias(c) for c in LEVELS], "budget",
                 F.col("tokens").alias("supply"))
         .withColumn("whole", F.when(F.col("supply") > 0, F.least(
-            F.floor(F.col("budget") / F.col("supply")), F.lit(max_epochs))).otherwise(0)
+            F.floor(F.col("budget") / F.col("supply")), F.lit(max_epochs))).otherwise(1)
             .cast("int"))
-        .withColumn("rest", F.when(F.col("whole") >= max_epochs, F.lit(0.0)).otherwise(
+        .withColumn("rest", F.when((F.col("whole") >= max_epochs) | (F.col("supply") == 0),
+                                   F.lit(0.0)).otherwise(
             F.col("budget") - F.col("whole") * F.col("supply"))), "mix-plan")
 
     def order(epoch: Column) -> Column:
