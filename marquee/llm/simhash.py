@@ -249,8 +249,9 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **params) -
     stay = written(stay, "near-kept")
     repeated = stay.filter("n > 1").limit(1).count() > 0
     rows = packed(df, id=F.col(f"`{key}`"))
-    kept = rows.join(stay.select(F.col("id").alias("stay")), F.col("id").eqNullSafe(F.col("stay")),
-                     "left_semi")
+    # one plan at every size: texts meet the ids that stay by a shuffle, never by broadcast
+    kept = rows.join(stay.select(F.col("id").alias("stay")).hint("merge"),
+                     F.col("id").eqNullSafe(F.col("stay")), "left_semi")
     if repeated:                   # rows of one id: the first in row order stands for all
         kept = kept.groupBy("id").agg(F.min("row").alias("row"))
     return kept.select("row.*")
