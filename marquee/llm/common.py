@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from marquee.session import scratch_path
 
 #: Rows per Arrow batch for Python stages; long texts make larger batches heavy.
-ARROW_ROWS = 500
+ARROW_ROWS = 250
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
