@@ -49,7 +49,7 @@ def presence(text: str, out: np.ndarray) -> None:
 
 
 def has_letters(text: str | None) -> bool:
-    return bool(text) and LETTERS.search(text) is not None
+    return bool(text) and any(any(map(str.isalpha, m.group())) for m in LETTERS.finditer(text))
 
 
 def matrix(texts: list[str]) -> np.ndarray:
