@@ -41,8 +41,8 @@ from marquee.llm.common import LETTERS, crc_mod, small_batches, table
 from marquee.llm.quality import labelled
 
 SAMPLE, STEMS, SHORTEST, LONGEST, MIN_G = 15_000, 3000, 3, 8, 25.0
-#: Counted stems handed on at once.
-EMITTED = 50_000
+#: Texts whose stems are counted at once in a task.
+COUNTED = 50
 #: Weight of a seed word that the labels do not speak about.
 SEED_WEIGHT = 3.0
 THRESHOLD = 0.3
@@ -192,9 +192,15 @@ class Grammar:
 
 # -- learning ---------------------------------------------------------------------------
 
+def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        for at in range(0, len(b), COUNTED):
+            yield b.iloc[at:at + COUNTED]
+
+
 def _count_stems(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Texts of either label that hold a word with the stem (whole words end in a blank)."""
-    for b in batches:
+    for b in _slices(batches):
         counts: tuple[Counter, Counter] = (Counter(), Counter())
         for text, y in zip(b["text"], b["y"]):
             words = set(LETTERS.findall((text or "").lower()))
@@ -202,11 +208,9 @@ def _count_stems(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             stems.update(w + " " for w in words)
             counts[int(y > 0)].update(stems)
         keys = list(counts[0].keys() | counts[1].keys())
-        for at in range(0, len(keys), EMITTED):
-            part = keys[at:at + EMITTED]
-            yield pd.DataFrame({"stem": part, "toxic": [counts[1][k] for k in part],
-                                "clean": [counts[0][k] for k in part]},
-                               ).astype({"toxic": "int64", "clean": "int64"})
+        yield pd.DataFrame({"stem": keys, "toxic": [counts[1][k] for k in keys],
+                            "clean": [counts[0][k] for k in keys]},
+                           ).astype({"toxic": "int64", "clean": "int64"})
 
 
 def learn_lexicon(rows: DataFrame) -> dict[str, tuple[int, float]]:
