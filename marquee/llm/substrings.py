@@ -272,7 +272,7 @@ def _bucketed(df: DataFrame, buckets: int, by: str) -> DataFrame:
     (df.write.bucketBy(buckets, by).sortBy(by).option("path", scratch_path(spark, "llm-texts"))
        .option("compression", "zstd").saveAsTable(name))
     out = spark.table(name)
-    out.schema                                    # resolved: the catalog entry is not needed again
+    spark.sql(f"DROP TABLE {name}")               # resolved; the files of its path stay
     return out
 
 
