@@ -14,7 +14,7 @@ Items are cut into blocks of bounded size; each block's automaton is broadcast a
 over all documents, so memory does not grow with the benchmark.
 
 Defined cases: null and empty texts have no words and no hits; an item without words has
-no window; repeated items are reported once each by id (null ids as empty text); a
+no window; items of one id are reported once (null ids as empty text); a
 document of fewer words than a window can still hold a short item; an empty benchmark
 leaves all documents as they are.
 """
@@ -220,7 +220,7 @@ def _scanner(shared, window: int):
                 words = words_of(t)
                 spans, found = bench.scan(words)
                 rows.append((len(words), [{"start": a, "stop": b} for a, b in spans],
-                             sorted(bench.items[k] for k in found), None))
+                             sorted({bench.items[k] for k in found}), None))
             yield pd.DataFrame(rows, columns=["n_words", "spans", "items", "clean"])
     return scan
 
@@ -278,7 +278,7 @@ def find_windows(df: DataFrame, text: Column, items: DataFrame, item_id: Column,
         state = step
     if n_blocks > 1:
         state = state.withColumn("spans", _merge(F.col("spans"))).withColumn(
-            "items", F.array_sort("items"))
+            "items", F.array_sort(F.array_distinct("items")))
     return state
 
 
