@@ -16,10 +16,13 @@ bytes.  About one anchor in 40 bytes is shuffled (24 bytes each), dealt by its h
   those whose occurrences differ to the left are maximal repeats, and all their
   occurrences but the earliest are repeats.
 
-Hashes that are common in a small, bounded sample of documents are hot: their anchors are split into
-their single windows, dealt by the window's own hash, so that a passage in a third of all
-documents does not meet in one task.  The sample only routes; results do not depend on it.
-Repeats inside one Arrow batch are settled there, before any shuffle.
+Hashes that are common in a sample of documents are hot: their anchors are split into their single
+windows, dealt by the window's own hash, so that a passage in a third of all documents does not meet
+in one task.  The sample only routes; results do not depend on it.  It grows with the corpus, so
+that a hash of more than about ``HOT_DOCS`` documents is found at any size (of a small corpus, one
+of more than ``HOT_SHARE``); should there be over ``MAX_HOT`` of them, the most frequent are taken,
+and any other holds at most a ``MAX_HOT``-th of all anchors.
+Repeats inside one task are settled there, before any shuffle.
 
 Defined cases: null text is empty; null ids come before all others; rows of one id come
 in order of their text, as parts of one document between which nothing matches; of equal
@@ -43,8 +46,12 @@ from marquee.llm.common import small_batches, table, written
 from marquee.session import scratch_path
 
 LENGTH, GRAM = 100, 20
-#: Documents looked at for hot hashes, and the share of them that makes a hash hot.
+#: Documents looked at for hot hashes (or more, see HOT_DOCS), and the share that makes one hot.
 HOT_SAMPLE, HOT_SHARE = 2000, 0.01
+#: Documents that may share a hash that is not hot, and the most hot hashes (8 bytes each, broadcast).
+HOT_DOCS, MAX_HOT = 50_000, 1 << 20
+#: Anchors, and documents, that a task settles at once.
+TASK_ANCHORS, TASK_DOCS = 1 << 20, 60_000
 #: Bytes of anchors, and of border strings, that one group of a shuffle holds on average.
 ANCHOR_BUCKET, BORDER_BUCKET = 8 << 20, 1 << 20
 #: Bytes hashed at once.
@@ -276,17 +283,21 @@ def _bucketed(df: DataFrame, buckets: int, by: str) -> DataFrame:
     return out
 
 
-def hot_grams(texts: DataFrame, length: int, gram: int) -> np.ndarray:
-    """Sorted anchor hashes common among ``HOT_SAMPLE`` documents."""
+def hot_grams(texts: DataFrame, n: int, length: int, gram: int) -> np.ndarray:
+    """Sorted anchor hashes that are common in a sample of the ``n`` documents."""
     def grams(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             r = text_anchors([bytes(t) for t in b["raw"]], length, gram, None)
             once = np.unique(r[["gram", "doc"]])["gram"]
             yield pd.DataFrame({"gram": once.view(np.int64)})
-    sample = texts.orderBy(F.xxhash64("d", "base")).limit(HOT_SAMPLE).select("raw")
     least = max(8, int(HOT_SHARE * HOT_SAMPLE))
+    size = max(HOT_SAMPLE, math.ceil(least * n / HOT_DOCS))
+    fine = 1 << 40
+    draw = F.pmod(F.xxhash64(F.lit(13), "d", "base"), F.lit(fine))
+    sample = texts.filter(draw < min(fine, math.ceil(size / max(1, n) * fine))).select("raw")
     rows = (sample.mapInPandas(grams, "gram long").groupBy("gram").agg(F.count("*").alias("n"))
-            .filter(F.col("n") >= least).select("gram").collect())
+            .filter(F.col("n") >= least).orderBy(F.desc("n"), "gram").limit(MAX_HOT)
+            .select("gram").collect())
     return np.sort(np.array([r.gram for r in rows], np.int64).view(_U))
 
 
@@ -303,30 +314,46 @@ def _spans(d, start, stop, gram=None, lo=None) -> pd.DataFrame:
 
 def _emit(batches: Iterator[pd.DataFrame], length: int, gram: int, hot: np.ndarray,
           buckets: int) -> Iterator[pd.DataFrame]:
-    """Anchors of a batch of documents, packed by bucket, with the batch's own repeats settled.
-
-    A blob is: the number of documents, their (id, base) pairs, records.  Records marked by
-    ``kind`` 1 are repeats already: they only pass through to the spans."""
+    """Anchors of a task's documents, packed by bucket, with the task's own repeats settled."""
+    found, docs, n_found, n_docs = [], [], 0, 0
     for b in batches:
-        b = b.sort_values(["d", "base"])
-        docs = np.column_stack([b["d"].to_numpy(np.int64), b["base"].to_numpy(np.int64)])
-        r = text_anchors([bytes(t) for t in b["raw"]], length, gram, hot)
-        order = np.lexsort((r["pos"], r["doc"], r["ctx"], r["gram"]))
-        r = r[order]
-        again = np.zeros(len(r), bool)
-        again[1:] = (r["gram"][1:] == r["gram"][:-1]) & (r["ctx"][1:] == r["ctx"][:-1])
-        bucket = (r["gram"] >> _U(40)) % _U(buckets)
-        rows = []
-        for kind, part, where in ((0, r[~again], bucket[~again]), (1, r[again], bucket[again])):
-            o = np.argsort(where, kind="stable")
-            part, where = part[o], where[o]
-            cut = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1]))) if len(where) else []
-            for i, j in zip(cut, np.append(cut[1:], len(where)) if len(cut) else []):
-                sub = part[i:j].copy()
-                used, sub["doc"] = np.unique(sub["doc"], return_inverse=True)
-                rows.append((int(where[i]), kind, len(used),
-                             docs[used].tobytes() + sub.tobytes()))
-        yield pd.DataFrame(rows, columns=["bucket", "kind", "n", "blob"])
+        for at in range(0, len(b), TASK_DOCS):
+            part = b.iloc[at:at + TASK_DOCS]
+            r = text_anchors([bytes(t) for t in part["raw"]], length, gram, hot)
+            if n_docs and (n_found + len(r) > TASK_ANCHORS or n_docs + len(part) > TASK_DOCS):
+                yield _packed(np.concatenate(found), np.concatenate(docs), buckets)
+                found, docs, n_found, n_docs = [], [], 0, 0
+            r["doc"] += np.uint16(n_docs)
+            found.append(r)
+            docs.append(np.column_stack([part["d"].to_numpy(np.int64),
+                                         part["base"].to_numpy(np.int64)]))
+            n_found, n_docs = n_found + len(r), n_docs + len(part)
+    if n_docs:
+        yield _packed(np.concatenate(found), np.concatenate(docs), buckets)
+
+
+def _packed(r: np.ndarray, docs: np.ndarray, buckets: int) -> pd.DataFrame:
+    """Blobs of anchors by bucket: ``n`` (id, base) pairs of documents, then records.  Of records
+    that agree the earliest is of ``kind`` 0; the others (1) are repeats already and only pass
+    through to the spans."""
+    by_id = np.lexsort((docs[:, 1], docs[:, 0]))
+    place = np.empty(len(docs), np.uint16)
+    place[by_id] = np.arange(len(docs), dtype=np.uint16)
+    docs, r["doc"] = docs[by_id], place[r["doc"]]
+    r = r[np.lexsort((r["pos"], r["doc"], r["ctx"], r["gram"]))]
+    again = np.zeros(len(r), bool)
+    again[1:] = (r["gram"][1:] == r["gram"][:-1]) & (r["ctx"][1:] == r["ctx"][:-1])
+    bucket = (r["gram"] >> _U(40)) % _U(buckets)
+    rows = []
+    for kind, part, where in ((0, r[~again], bucket[~again]), (1, r[again], bucket[again])):
+        o = np.argsort(where, kind="stable")
+        part, where = part[o], where[o]
+        cut = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1]))) if len(where) else []
+        for i, j in zip(cut, np.append(cut[1:], len(where)) if len(cut) else []):
+            sub = part[i:j].copy()
+            used, sub["doc"] = np.unique(sub["doc"], return_inverse=True)
+            rows.append((int(where[i]), kind, len(used), docs[used].tobytes() + sub.tobytes()))
+    return pd.DataFrame(rows, columns=["bucket", "kind", "n", "blob"])
 
 
 def _settle(b: pd.DataFrame, length: int) -> pd.DataFrame:
@@ -398,8 +425,9 @@ def repeats(df: DataFrame, id_: Column, text: Column, length: int = LENGTH,
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = _bucketed(rows.repartition(parts, "d").withColumn("base", F.coalesce(
         F.sum(F.octet_length("raw").cast("long") + 1).over(earlier), F.lit(0))), parts, "d")
-    total = texts.agg(F.sum(F.octet_length("raw").cast("long"))).first()[0] or 0
-    hot = spark.sparkContext.broadcast(hot_grams(texts, length, gram))
+    total, n = texts.agg(F.sum(F.octet_length("raw").cast("long")), F.count("*")).first()
+    total = total or 0
+    hot = spark.sparkContext.broadcast(hot_grams(texts, n, length, gram))
     stride = (length - gram + 2) / 2
     buckets = max(1, parts, math.ceil(total / stride * _RECORD.itemsize / ANCHOR_BUCKET))
 

@@ -8,6 +8,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from hypothesis import given, settings
@@ -196,10 +197,52 @@ def test_hot_passages_are_split_and_still_exact(spark, monkeypatch):
     df = spark.createDataFrame(rows, DOC)
     raw = df.select(F.col("doc_id").alias("d"), F.lit(0).alias("base"),
                     F.col("text").cast("binary").alias("raw"))
-    assert len(ss.hot_grams(raw, 100, 20))
+    assert len(ss.hot_grams(raw, len(rows), 100, 20))
     assert cut(spark, rows, 100) == slow_cut(rows, 100)
 
 
+def test_hot_sample_grows_with_the_corpus(spark, monkeypatch):
+    """A passage that too few of a fixed sample hold is found as the documents it may hold fall."""
+    monkeypatch.setattr(ss, "HOT_SAMPLE", 40)
+    rng = random.Random(6)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    line = word(180)
+    rows = [(i, word(150) + (line if i % 20 == 0 else "") + word(150)) for i in range(400)]
+    df = spark.createDataFrame(rows, DOC)
+    raw = df.select(F.col("doc_id").alias("d"), F.lit(0).alias("base"),
+                    F.col("text").cast("binary").alias("raw"))
+    assert not len(ss.hot_grams(raw, len(rows), 100, 20))
+    monkeypatch.setattr(ss, "HOT_DOCS", 10)
+    found = ss.hot_grams(raw, len(rows), 100, 20)
+    assert len(found)
+    monkeypatch.setattr(ss, "MAX_HOT", 2)
+    assert len(ss.hot_grams(raw, len(rows), 100, 20)) == 2
+    assert cut(spark, rows, 100) == slow_cut(rows, 100)
+
+
+def test_tasks_settle_any_number_at_once():
+    """The earliest of equal strings stays, whatever the order and the limits of a task."""
+    rng = random.Random(8)
+    word = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    line = word(300)
+    docs = [(d, 0, (word(120) + line).encode()) for d in rng.sample(range(90), 90)]
+    frame = pd.DataFrame(docs, columns=["d", "base", "raw"])
+    parts = [frame.iloc[a:a + 7] for a in range(0, len(frame), 7)]
+
+    def spans(anchors, most):
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(ss, "TASK_ANCHORS", anchors)
+            m.setattr(ss, "TASK_DOCS", most)
+            got = list(ss._emit(iter(parts), 100, 20, np.empty(0, np.uint64), 1))
+        out = ss._settle(pd.concat(got, ignore_index=True), 100)
+        return len(got), sorted(map(str, out.to_numpy().tolist()))
+
+    one, two = spans(1 << 20, 60_000), spans(40, 5)
+    assert one[0] == 1 and two[0] > 10 and one[1] == two[1]
+    sure = [s for s in one[1] if "<NA>" in s]
+    assert len(sure) > 80 and not any(s.startswith("[0, ") for s in sure)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.text(alphabet="ab", max_size=30), max_size=6), st.integers(2, 6))
 def test_maximal_repeats_are_complete(pieces, size):
@@ -261,7 +304,7 @@ def hits(spark, docs, items, **params):
     bench = spark.createDataFrame(items, "item_id long, text string")
     out = dc.find_windows(df, F.col("text"), bench, F.col("item_id"), F.col("text"), **params)
     rows = out.select(F.col("row.doc_id").alias("d"), "n_words", dc.hit_words().alias("n"),
-                      F.array_distinct("items").alias("items")).collect()
+                      "items").collect()
     return sorted(((r.d, r.n_words, r.n, list(r["items"])) for r in rows), key=str)
 
 
