@@ -8,7 +8,7 @@ for each node, until few lists change.  Pairs that were compared before are not
 Query: greedy search by rounds for all queries at once.  A query's pool holds the best ``pool``
 nodes found; each round expands its best ``width`` unexpanded ones: a join gives their
 neighbours, which go to the blocks of the vectors' table to be scored there, in blocks of
-queries, and come back.  It ends when all nodes of all pools are expanded.  The best of
+queries, and come back (a block that many queries ask for is held by several tasks).  It ends when all nodes of all pools are expanded.  The best of
 the pool are scored anew on the original vectors, in double precision.
 
 Vectors are scaled by the largest norm and given one more component, which makes all of
@@ -37,6 +37,8 @@ DEGREE, SAMPLED, ROUNDS, STOP, CANDIDATES = 32, 12, 10, 0.04, 6
 POOL, WIDTH, RESCORED, ENTRIES = 320, 64, 48, 128
 #: Vectors of one block, and queries of one block: both are bounded groups of a join.
 BLOCK, QUERY_BLOCK = 2048, 64
+#: Requests (of a query to a block) that one task scores; blocks of hubs are split over several.
+ASKED = 1 << 15
 MAX_SEARCH_ROUNDS = 200
 
 
@@ -343,13 +345,21 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, n: int
         busy = state.filter("open > 0")
         asked = (busy.mapInPandas(frontier, "qb long, q long, node long")
                  .join(near, "node").select("qb", "q", "near"))
-        wanted = busy.groupBy("qb").cogroup(asked.groupBy("qb")).applyInPandas(
-            gather, "qb long, q long, vec binary, least float, cand binary, block long")
-        got = wanted.groupBy("block").cogroup(placed.groupBy("block")).applyInPandas(
+        wanted = written(busy.groupBy("qb").cogroup(asked.groupBy("qb")).applyInPandas(
+            gather, "qb long, q long, vec binary, least float, cand binary, block long"),
+            "ann-wanted")
+        split = (wanted.groupBy("block").agg(F.count("*").alias("n")).filter(F.col("n") > ASKED)
+                 .select("block", F.ceil(F.col("n") / ASKED).cast("int").alias("parts")))
+        parts = F.coalesce("parts", F.lit(1))
+        dealt = wanted.join(split, "block", "left").withColumn(
+            "part", F.pmod(F.xxhash64(F.lit(9), "q"), parts).cast("int")).drop("parts")
+        held = placed.join(split, "block", "left").withColumn(
+            "part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts")
+        got = dealt.groupBy("block", "part").cogroup(held.groupBy("block", "part")).applyInPandas(
             score, "qb long, q long, ids binary, sims binary")
         step = written(busy.groupBy("qb").cogroup(got.groupBy("qb")).applyInPandas(merge, STATE)
                        .union(state.filter("open <= 0")), "ann-state")
-        forget(state)
+        forget(state, wanted)
         state = step
         if not state.filter("open > 0").limit(1).count():
             break
