@@ -237,15 +237,6 @@ def test_inner_product_recall_with_unequal_lengths(spark):
     assert len(got) == len(want) and hits / len(want) > 0.95
 
 
-def test_blocks_that_many_queries_ask_for_are_split(spark, monkeypatch):
-    rng = np.random.default_rng(6)
-    rows = [(i, r.tolist()) for i, r in enumerate(rng.normal(size=(900, 8)))]
-    monkeypatch.setattr(ann, "BLOCK", 200)
-    whole = search(spark, rows)
-    monkeypatch.setattr(ann, "ASKED", 20)
-    same(search(spark, rows), whole)
-
-
 def test_neighbour_query_recall(spark):
     rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     got = [tuple(r) for r in ann.op1_nearest_neighbours(spark, SF).collect()]
