@@ -226,34 +226,40 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_duplicates(df: DataFrame, id_: Column, text: Column, shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS, seed: int = HASH_SEED) -> DataFrame:
-    """One row a document: ``id``, ``fp`` (signed 64 bits), ``component_id``."""
+    """One row a document: ``id``, ``fp`` (signed 64 bits), ``component_id``; and ``group``, which
+    tells components apart even without ids, and ``th``, a hash of the text."""
     spark = df.sparkSession
     small_batches(spark)
-    prints = written(df.select(id_.alias("id"), fingerprint_udf(shingle, seed)(text).alias("fp")),
-                     "fingerprints")
+    prints = written(df.select(id_.alias("id"), fingerprint_udf(shingle, seed)(text).alias("fp"),
+                               F.xxhash64(text).alias("th")), "fingerprints")
     classes = written(prints.groupBy("fp").agg(F.min("id").alias("least")), "print-classes")
     links = written(near_links(classes, max_bits), "print-links")
     label = components(links)
     small = (classes.join(label, "fp", "left")
              .withColumn("label", F.coalesce("label", "fp")))
     least = small.groupBy("label").agg(F.min("least").alias("component_id"))
-    of = written(small.join(least, "label").select("fp", "component_id"), "print-components")
-    return prints.join(of, "fp").select("id", "fp", "component_id")
+    of = written(small.join(least, "label").select("fp", "component_id", F.col("label").alias("group")),
+                 "print-components")
+    return prints.join(of, "fp").select("id", "fp", "component_id", "group", "th")
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **params) -> DataFrame:
-    """``df`` with one document of each group: the one of the smallest id."""
+    """``df`` with one document of each group: the one of the smallest id (a group without ids
+    keeps one as well), and of several texts under that id the one of the smallest hash.
+    Of rows of one id and text, the first in row order stands for all."""
     dup = written(near_duplicates(df, F.col(f"`{key}`"), F.col(f"`{text}`"), **params), "near")
-    stay = dup.filter(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("id").agg(
-        F.count("*").alias("n"), F.min("fp").alias("fp"))
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "th")
+    stay = dup.groupBy("group").agg(F.min(first).alias("m")).select("m.id", "m.th")
     stay = written(stay, "near-kept")
-    repeated = stay.filter("n > 1").limit(1).count() > 0
-    rows = packed(df, id=F.col(f"`{key}`"))
+    same = F.col("id").eqNullSafe(F.col("stay")) & (F.col("th") == F.col("stay_th"))
+    ids = stay.select(F.col("id").alias("stay"), F.col("th").alias("stay_th")).hint("merge")
     # one plan at every size: texts meet the ids that stay by a shuffle, never by broadcast
-    kept = rows.join(stay.select(F.col("id").alias("stay")).hint("merge"),
-                     F.col("id").eqNullSafe(F.col("stay")), "left_semi")
-    if repeated:                   # rows of one id: the first in row order stands for all
-        kept = kept.groupBy("id").agg(F.min("row").alias("row"))
+    repeated = (dup.join(ids, same, "left_semi").groupBy("id", "th").count()
+                .filter("count > 1").limit(1).count() > 0)
+    rows = packed(df, id=F.col(f"`{key}`"), th=F.xxhash64(F.col(f"`{text}`")))
+    kept = rows.join(ids, same, "left_semi")
+    if repeated:
+        kept = kept.groupBy("id", "th").agg(F.min("row").alias("row"))
     return kept.select("row.*")
 
 

@@ -133,6 +133,17 @@ def test_one_of_each_group_stays(spark):
     assert set(CLASH) <= set(out.columns)
 
 
+def test_one_of_each_group_stays_without_ids_or_with_ids_of_several_texts(spark):
+    rows = [(None, "first text of its own"), (None, "a second one, not alike"), (None, None),
+            (None, ""), (7, "x y z w"), (7, "words that no other row has"), (8, "x y z w"),
+            (None, "x y z w")]
+    out = sh.keep_one(clashing(spark.createDataFrame(rows, DOC))).collect()
+    got = sorted((r.doc_id or 0, r.text or "") for r in out)
+    assert got == [(0, ""), (0, "a second one, not alike"), (0, "first text of its own"),
+                   (7, "words that no other row has"), (7, "x y z w")]
+    assert not sh.keep_one(spark.createDataFrame([], DOC)).collect()
+
+
 # -- substrings ---------------------------------------------------------------------------
 
 def slow_cut(rows, size):
