@@ -11,7 +11,8 @@ Only words within stretches of item n-grams are streamed: a window needs all its
 to occur in items, so nothing is lost (an exact, vectorised filter).
 
 Items are cut into blocks of bounded size; each block's automaton is broadcast and passes
-over all documents, so memory does not grow with the benchmark.
+over all documents, so memory does not grow with the benchmark.  With several blocks only the
+documents that a block hits are written for it, and they meet the texts again in one join.
 
 Defined cases: null and empty texts have no words and no hits; an item without words has
 no window; items of one id are reported once (null ids as empty text); a
@@ -22,7 +23,9 @@ leaves all documents as they are.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
+from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -209,11 +212,25 @@ def _cut(text: str, spans: list[tuple[int, int]]) -> str:
     return b"".join([*out, raw[last:]]).decode("utf-8", "surrogatepass")
 
 
+#: The automaton built last in this Python process, by its token.
+_BUILT: dict[str, Benchmark] = {}
+
+
+def _built(token: str, shared, window: int) -> Benchmark:
+    """The automaton of a block, built once for all tasks of a Python process in a row."""
+    if token not in _BUILT:
+        _BUILT.clear()
+        _BUILT[token] = Benchmark(shared.value, window)
+    return _BUILT[token]
+
+
 def _scanner(shared, window: int):
-    """Scan texts with one block's automaton, built once in each Python process."""
+    """Scan texts with one block's automaton."""
+    token = uuid.uuid4().hex
+
     @F.pandas_udf(_RESULT)
     def scan(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bench = Benchmark(shared.value, window)
+        bench = _built(token, shared, window)
         for batch in texts:
             rows = []
             for t in batch:
@@ -225,6 +242,10 @@ def _scanner(shared, window: int):
     return scan
 
 
+def _count_words(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+")), F.lit(0))
+
+
 def _cleaned(text: str, starts: Column, stops: Column) -> Column:
     @F.pandas_udf("string")
     def cut(texts: pd.Series, starts: pd.Series, stops: pd.Series) -> pd.Series:
@@ -252,34 +273,35 @@ def find_windows(df: DataFrame, text: Column, items: DataFrame, item_id: Column,
     and ``items`` (ids as text, sorted, of the items with windows in the text)."""
     spark = df.sparkSession
     small_batches(spark)
-    words = F.coalesce(F.regexp_count(item_text, F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+")), F.lit(0))
     bench = written(items.select(F.coalesce(item_id.cast("string"), F.lit("")).alias("id"),
-                                 item_text.alias("text"), words.alias("n"))
-                    .filter("n > 0"), "items")
+                                 item_text.alias("text")).distinct()
+                    .withColumn("n", _count_words(F.col("text"))).filter("n > 0"), "items")
     total = bench.agg(F.sum("n")).first()[0] or 0
     n_blocks = max(1, -(-total // block_words))
-    state = packed(df, text=text)
-    last = None
-    for k in range(n_blocks):
+
+    def scan(k: int) -> Column:
         block = bench.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)) == k)
         shared = spark.sparkContext.broadcast([(r[0], r[1]) for r in block.select(
             "id", "text").collect()])
-        step = state.withColumn("hit", _scanner(shared, window)("text"))
-        if k:
-            step = step.select("row", "text", "n_words",
-                               F.concat("spans", "hit.spans").alias("spans"),
-                               F.concat("items", "hit.items").alias("items"))
-        else:
-            step = step.select("row", "text", "hit.n_words", "hit.spans", "hit.items")
-        if n_blocks > 1:
-            step = written(step, "decontaminate")
-            forget(*([last] if last is not None else []))
-            last = step
-        state = step
-    if n_blocks > 1:
-        state = state.withColumn("spans", _merge(F.col("spans"))).withColumn(
-            "items", F.array_sort(F.array_distinct("items")))
-    return state
+        return _scanner(shared, window)("text").alias("hit")
+
+    docs = packed(df, text=text)
+    if n_blocks == 1:
+        return docs.select("row", "text", scan(0)).select(
+            "row", "text", "hit.n_words", "hit.spans", "hit.items")
+    docs = written(docs.withColumn("key", F.monotonically_increasing_id()), "decontaminate")
+    parts = []
+    for k in range(n_blocks):
+        hits = docs.select("key", scan(k)).filter(F.size("hit.spans") > 0)
+        parts.append(written(hits.select("key", "hit.spans", "hit.items"), "decontaminate-hits"))
+    found = reduce(DataFrame.union, parts).groupBy("key").agg(
+        _merge(F.flatten(F.collect_list("spans"))).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    none = F.array().cast("array<struct<start:int,stop:int>>")
+    return docs.join(found, "key", "left").select(
+        "row", "text", _count_words(F.col("text")).cast("long").alias("n_words"),
+        F.coalesce("spans", none).alias("spans"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
 def decontaminate(df: DataFrame, text: str, items: DataFrame, item_id: Column, item_text: Column,
