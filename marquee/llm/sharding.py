@@ -6,6 +6,9 @@ array) and writes it.  A row's shard is the rendezvous winner of its key: the sh
 whose seeded hash with the key is largest.  One more shard therefore takes rows only
 into itself.
 
+Each shard has buckets by its own bytes, so that a shard with a hot key (or very long texts)
+has more of them, not larger ones.
+
 Defined cases: a null text counts no bytes and has crc32 0; a null key is a key like any
 other; repeated rows each keep a slot; an empty table gives an empty result; columns
 of the input may have any names.
@@ -53,12 +56,17 @@ def shard_documents(df: DataFrame, n_shards: int, key: str = "doc_id", text: str
         raise ValueError("n_shards must be positive")
     spark = df.sparkSession
     k, t = F.col(f"`{key}`"), F.col(f"`{text}`")
-    total = df.agg(F.sum(text_bytes(t))).first()[0] or 0
-    per_shard = max(1, math.ceil(total / n_shards / bucket_bytes))
-    h = F.xxhash64(F.lit(seed + 1), k, t)
-    rows = packed(df, shard=rendezvous(k, n_shards, seed), h=h,
-                  bucket=F.pmod(F.xxhash64(F.lit(seed + 2), k, t, F.spark_partition_id()),
-                                F.lit(per_shard)).cast("int"))
+    shard = rendezvous(k, n_shards, seed)
+    plan = written(df.groupBy(shard.alias("shard")).agg(F.sum(text_bytes(t)).alias("bytes"))
+                   .withColumn("buckets", F.ceil(F.col("bytes") / bucket_bytes)), "shard-sizes")
+    total, n_buckets = plan.agg(F.coalesce(F.sum("bytes"), F.lit(0)),
+                                F.coalesce(F.sum("buckets"), F.lit(0))).first()
+    small = F.broadcast if n_buckets <= BROADCAST_BUCKETS else (lambda x: x)
+    scatter = F.xxhash64(F.lit(seed + 2), k, t, F.spark_partition_id())
+    rows = (packed(df, shard=shard, h=F.xxhash64(F.lit(seed + 1), k, t), scatter=scatter)
+            .join(small(plan.select("shard", "buckets")), "shard")
+            .select("row", "shard", "h",
+                    F.pmod("scatter", F.col("buckets")).cast("int").alias("bucket")))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                 math.ceil(total / (4 * bucket_bytes)))
     buckets = (rows.repartition(parts, "shard", "bucket")
@@ -72,9 +80,7 @@ def shard_documents(df: DataFrame, n_shards: int, key: str = "doc_id", text: str
     before = written(sizes.alias("a")
                      .select("shard", "bucket", F.sum("n").over(_earlier()).alias("before")),
                      "bucket-offsets")
-    if per_shard * n_shards <= BROADCAST_BUCKETS:
-        before = F.broadcast(before)
-    return (shuffled.join(before, ["shard", "bucket"])
+    return (shuffled.join(small(before), ["shard", "bucket"])
             .select("row", "shard", "bucket",
                     (F.coalesce("before", F.lit(0)) + F.col("pos")).cast("long").alias("slot")))
 

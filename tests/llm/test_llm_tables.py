@@ -61,6 +61,19 @@ def test_shuffled_order_differs_from_the_hash_order(spark):
     assert 0.3 < np.mean([a < b for a, b in zip(ids, ids[1:])]) < 0.7
 
 
+def test_a_hot_key_has_more_buckets_not_larger_ones(spark):
+    rows = [(None if i % 3 else i, f"text {i} " + "w" * 80) for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = sharding.shard_documents(df, 8, bucket_bytes=5000).collect()
+    assert Counter((r.row.doc_id, r.row.text) for r in got) == Counter(rows)
+    sizes = Counter()
+    for r in got:
+        sizes[r.shard, r.bucket] += len(r.row.text) + sharding.ROW_BYTES
+    hot = max(sizes, key=sizes.get)[0]
+    assert sum(r.shard == hot for r in got) > 2000
+    assert max(sizes.values()) < 3 * 5000
+
+
 def test_sharding_query(spark):
     rows = sharding.op3_sharding(spark, SF).collect()
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
