@@ -248,14 +248,14 @@ def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **params) -
     keeps one as well), and of several texts under that id the one of the smallest hash.
     Of rows of one id and text, the first in row order stands for all."""
     dup = written(near_duplicates(df, F.col(f"`{key}`"), F.col(f"`{text}`"), **params), "near")
-    first = F.struct(F.col("id").isNull().alias("none"), "id", "th")
-    stay = dup.groupBy("group").agg(F.min(first).alias("m")).select("m.id", "m.th")
-    stay = written(stay, "near-kept")
+    first = F.struct(F.col("id").isNull().alias("none"), "id", "th", "n")
+    stay = written(dup.groupBy("group", "id", "th").agg(F.count("*").alias("n"))
+                   .groupBy("group").agg(F.min(first).alias("m")).select("m.id", "m.th", "m.n"),
+                   "near-kept")
+    repeated = stay.filter("n > 1").limit(1).count() > 0
     same = F.col("id").eqNullSafe(F.col("stay")) & (F.col("th") == F.col("stay_th"))
-    ids = stay.select(F.col("id").alias("stay"), F.col("th").alias("stay_th")).hint("merge")
     # one plan at every size: texts meet the ids that stay by a shuffle, never by broadcast
-    repeated = (dup.join(ids, same, "left_semi").groupBy("id", "th").count()
-                .filter("count > 1").limit(1).count() > 0)
+    ids = stay.select(F.col("id").alias("stay"), F.col("th").alias("stay_th")).hint("merge")
     rows = packed(df, id=F.col(f"`{key}`"), th=F.xxhash64(F.col(f"`{text}`")))
     kept = rows.join(ids, same, "left_semi")
     if repeated:
