@@ -11,10 +11,13 @@ neighbours, which go to the blocks of the vectors' table to be scored there, in
 queries, and come back.  It ends when all nodes of all pools are expanded.  The best of
 the pool are scored anew on the original vectors, in double precision.
 
-Vectors are scaled by the largest norm and given one more component, which makes all of
-equal length: then the nearest by angle are those of the largest inner product.  The graph
-and the search use half precision (2 bytes a component).  Equal vectors are one
-node, which stands for the smallest ``k + 1`` of their ids.
+Each vector is kept as its direction, in half precision (2 bytes a component), beside its own
+norm in double precision, so that no vector sets the precision of the others.  The search ranks by
+norm times cosine.  For the graph, vectors are scaled by a high norm (``norm_cap``) and given one
+more component, which makes all of equal length: then the nearest by angle are those of the
+largest inner product.  Of longer vectors only the direction counts there, which are found by
+the search's entries of large norm.  Equal vectors are one node, which stands for the smallest
+``k + 1`` of their ids.
 
 Defined cases: rows with null ids, and vectors that are null, empty, zero, of another length
 than most, or hold null or non-finite components take no part; repeated rows count once, and of
@@ -24,6 +27,7 @@ come back; ties go to the smaller id; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,6 +39,10 @@ from marquee.llm.common import forget, small_batches, table, written
 
 DEGREE, SAMPLED, ROUNDS, STOP, CANDIDATES = 32, 12, 10, 0.04, 6
 POOL, WIDTH, RESCORED, ENTRIES = 320, 64, 48, 128
+#: Nearest drawn entries, and nearest of the entries of largest norm, that a query starts from.
+NEAR_DRAWN, NEAR_LONG = 8, 32
+#: The graph's norms end at this share of the nodes, or at so many medians, and start at so much of that.
+CAP_SHARE, CAP_MEDIANS, CAP_LEAST = 0.99, 4, 1 / 64
 #: Vectors of one block, and queries of one block: both are bounded groups of a join.
 BLOCK, QUERY_BLOCK = 2048, 64
 MAX_SEARCH_ROUNDS = 200
@@ -70,39 +78,66 @@ def nodes_of(vectors: DataFrame, k: int) -> tuple[DataFrame, DataFrame]:
     return nodes, written(members, "ann-members")
 
 
-def scaled(vec: Column, most: float, lift: bool) -> Column:
-    """Half-precision bytes of vec / most with the component that makes its length 1."""
-    @F.pandas_udf("binary")
-    def pack(vs: pd.Series) -> pd.Series:
+def size_of(vec: Column) -> Column:
+    """The largest absolute component."""
+    return F.array_max(F.transform(vec, lambda x: F.abs(x)))
+
+
+def halves(vec: Column, most: float) -> Column:
+    """``half``: the norm over ``most`` (the largest component of the table) in 8 bytes and the
+    direction in half precision; ``norm``: the same norm."""
+    @F.pandas_udf("half binary, norm double")
+    def pack(vs: pd.Series) -> pd.DataFrame:
         if not len(vs):
-            return pd.Series([], dtype=object)
+            return pd.DataFrame({"half": pd.Series([], dtype=object), "norm": np.empty(0)})
         x = np.stack(vs.to_numpy()).astype(np.float64)
-        if lift:
-            x = x / most
-            extra = np.sqrt(np.maximum(0.0, 1 - (x * x).sum(axis=1)))
-        else:
-            x = x / np.maximum(np.sqrt((x * x).sum(axis=1, keepdims=True)), 1e-300)
-            extra = np.zeros(len(x))
-        h = np.column_stack([x, extra]).astype(np.float16)
-        return pd.Series([r.tobytes() for r in h], dtype=object)
+        size = np.abs(x).max(axis=1)
+        x /= size[:, None]                              # squares neither overflow nor vanish
+        length = np.sqrt((x * x).sum(axis=1))
+        norm = np.maximum(size / most * length, np.finfo(np.float64).tiny)
+        h = (x / length[:, None]).astype(np.float16)
+        return pd.DataFrame({"half": [n.tobytes() + r.tobytes() for n, r in zip(norm, h)],
+                             "norm": norm})
     return pack(vec)
 
 
-def unpacked(col: pd.Series) -> np.ndarray:
+def unpacked(col: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Norms and directions."""
     if not len(col):
-        return np.empty((0, 0), np.float32)
-    return np.frombuffer(b"".join(col), np.float16).reshape(len(col), -1).astype(np.float32)
+        return np.empty(0), np.empty((0, 0), np.float32)
+    rows = np.frombuffer(b"".join(col), np.uint8).reshape(len(col), -1)
+    return (np.ascontiguousarray(rows[:, :8]).view(np.float64)[:, 0],
+            np.ascontiguousarray(rows[:, 8:]).view(np.float16).astype(np.float32))
+
+
+def lifted(col: pd.Series, cap: float) -> np.ndarray:
+    """Vectors over ``cap`` with the component that makes their length 1."""
+    norm, x = unpacked(col)
+    norm = np.clip(norm / cap, CAP_LEAST, 1.0)
+    return np.column_stack([x * norm[:, None], np.sqrt(1 - norm * norm)]).astype(np.float32)
+
+
+def norm_cap(halves: DataFrame, n: int) -> float:
+    """The norm that ``CAP_SHARE`` of the nodes do not exceed, ``CAP_MEDIANS`` medians at most (by
+    a histogram of 32 steps an octave)."""
+    steps = (halves.groupBy(F.floor(F.log2("norm") * 32).alias("step"))
+             .agg(F.count("*").alias("n"), F.max("norm").alias("norm")).orderBy("step").collect())
+    upto = np.cumsum([r.n for r in steps])
+
+    def at(share: float) -> float:
+        return steps[int(np.searchsorted(upto, share * n))].norm
+    return min(at(CAP_SHARE), CAP_MEDIANS * at(0.5)) if steps else 1.0
 
 
 # -- NN-descent -------------------------------------------------------------------------
 
-def _local_join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _local_join(batches: Iterator[pd.DataFrame], cap: float) -> Iterator[pd.DataFrame]:
     """Rows (u, v, fresh, worst, vec) sorted by u: compare the v of one u with each other and
     return, for each, the best that would improve its list (worst: its last similarity)."""
     def compare(b: pd.DataFrame) -> pd.DataFrame:
         u, v = b["u"].to_numpy(), b["v"].to_numpy()
         fresh, worst = b["fresh"].to_numpy(bool), b["worst"].to_numpy(np.float32)
-        vec = unpacked(b["vec"])
+        vec = lifted(b["vec"], cap)
         starts = np.flatnonzero(np.concatenate(([True], u[1:] != u[:-1])))
         sizes = np.diff(np.append(starts, len(u)))
         out = []
@@ -164,8 +199,8 @@ def _first_edges(nodes: DataFrame, n: int, degree: int, seed: int) -> DataFrame:
 
 def nn_descent(nodes: DataFrame, n: int, degree: int = DEGREE, sampled: int = SAMPLED,
                rounds: int = ROUNDS, seed: int = 3) -> DataFrame:
-    """``nodes``: node, half (bytes).  Edges (u, v, sim): the best ``degree`` found for each u."""
-    sim0 = F.lit(-2.0).cast("float")
+    """``nodes``: node, half (bytes), norm.  Edges (u, v, sim): the best ``degree`` found for each u."""
+    sim0, cap = F.lit(-2.0).cast("float"), norm_cap(nodes, n)
     edges = written(_best(_first_edges(nodes, n, degree, seed).select(
         "u", "v", sim0.alias("sim"), F.lit(True).alias("fresh")), degree, sampled, seed), "ann-edges")
     for r in range(rounds):
@@ -183,7 +218,7 @@ def nn_descent(nodes: DataFrame, n: int, degree: int = DEGREE, sampled: int = SA
         found = (pairs.join(known, "v")
                  .select("u", "v", "fresh", "worst", F.col("half").alias("vec"))
                  .repartition("u").sortWithinPartitions("u", "v")
-                 .mapInPandas(_local_join, "u long, v long, sim float"))
+                 .mapInPandas(lambda b: _local_join(b, cap), "u long, v long, sim float"))
         old = edges.select("u", "v", "sim", (F.col("fresh") & ~F.col("drawn")).alias("fresh"))
         step = written(_best(old.union(found.withColumn("fresh", F.lit(True))), degree, sampled,
                              seed + r), "ann-edges")
@@ -210,7 +245,7 @@ def _best(edges: DataFrame, degree: int, sampled: int, seed: int) -> DataFrame:
 # -- greedy search ----------------------------------------------------------------------
 
 STATE = "qb long, q long, vec binary, ids binary, sims binary, done binary, open int"
-_I, _F, _B = np.int64, np.float32, np.bool_
+_I, _F, _B = np.int64, np.float64, np.bool_
 
 
 def _top(ids: np.ndarray, sims: np.ndarray, done: np.ndarray, pool: int, width: int):
@@ -250,25 +285,26 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, n: int
     placed = written(nodes.select(_block(blocks)("node").alias("block"), "node", "half"),
                      "ann-blocks")
     marks = nodes.orderBy(F.xxhash64(F.lit(8), "node")).limit(entries).collect()
-    first = spark.sparkContext.broadcast((np.array([m.node for m in marks], _I),
-                                          unpacked(pd.Series([m.half for m in marks]))))
+    longest = nodes.orderBy(F.desc("norm"), "node").limit(entries).collect()
+    first = spark.sparkContext.broadcast([
+        (np.array([m.node for m in of], _I), *unpacked(pd.Series([m.half for m in of])), near_)
+        for of, near_ in ((marks, NEAR_DRAWN), (longest, NEAR_LONG)) if of])
 
     def begin(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids0, x0 = first.value
         for b in batches:
             rows = []
-            x = unpacked(b["half"])
+            x = unpacked(b["half"])[1]
             for qb, q, half, start, v in zip(b["qb"], b["q"], b["half"], b["start"], x):
-                sims = x0 @ v
-                ids, done = ids0, np.zeros(len(ids0), _B)
-                if not pd.isna(start):
-                    other = ids0 != int(start)
-                    ids = np.append(ids0[other], int(start))
-                    sims, done = np.append(sims[other], _F(2)), np.zeros(len(ids), _B)
-                # the start and the nearest entries
-                order = np.lexsort((ids, -sims))[:8]
-                rows.append((qb, q, half, ids[order].tobytes(), sims[order].astype(_F).tobytes(),
-                             done[order].tobytes(), len(order)))
+                # the start and the nearest entries of each kind
+                best = {} if pd.isna(start) else {int(start): np.inf}
+                for ids0, norm0, x0, near_ in first.value:
+                    sims = norm0 * (x0 @ v)
+                    for i in np.lexsort((ids0, -sims))[:near_].tolist():
+                        best.setdefault(int(ids0[i]), sims[i])
+                ids, sims = np.array(list(best), _I), np.array(list(best.values()), _F)
+                order = np.lexsort((ids, -sims))
+                rows.append((qb, q, half, ids[order].tobytes(), sims[order].tobytes(),
+                             np.zeros(len(ids), _B).tobytes(), len(ids)))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in STATE.split(", ")])
 
     small_batches(spark, 1000)
@@ -295,7 +331,7 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, n: int
                 continue
             cand = np.setdiff1d(np.concatenate(list(by_q[q])), np.frombuffer(ids, _I))
             worst = np.frombuffer(sims, _F)
-            limit = float(worst[-1]) if len(worst) >= pool else -3.0
+            limit = float(worst[-1]) if len(worst) >= pool else -np.inf
             if not len(cand):
                 continue
             of = block_of(cand, blocks)
@@ -309,13 +345,13 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, n: int
     def score(asked: pd.DataFrame, vectors: pd.DataFrame) -> pd.DataFrame:
         rows = []
         vectors = vectors.sort_values("node")
-        node, x = vectors["node"].to_numpy(_I), unpacked(vectors["half"])
-        for qb, q, v, limit, cand in zip(asked["qb"], asked["q"], unpacked(asked["vec"]),
+        node, (norm, x) = vectors["node"].to_numpy(_I), unpacked(vectors["half"])
+        for qb, q, v, limit, cand in zip(asked["qb"], asked["q"], unpacked(asked["vec"])[1],
                                          asked["least"], asked["cand"]):
             ids = np.frombuffer(cand, _I)
             at = np.searchsorted(node, ids)
             at = at[(at < len(node)) & (node[np.minimum(at, len(node) - 1)] == ids)]
-            sims = x[at] @ v
+            sims = norm[at] * (x[at] @ v)
             good = sims > limit
             if good.any():
                 rows.append((qb, q, node[at][good].tobytes(), sims[good].astype(_F).tobytes()))
@@ -344,7 +380,7 @@ def greedy_search(queries: DataFrame, nodes: DataFrame, edges: DataFrame, n: int
         asked = (busy.mapInPandas(frontier, "qb long, q long, node long")
                  .join(near, "node").select("qb", "q", "near"))
         wanted = busy.groupBy("qb").cogroup(asked.groupBy("qb")).applyInPandas(
-            gather, "qb long, q long, vec binary, least float, cand binary, block long")
+            gather, "qb long, q long, vec binary, least double, cand binary, block long")
         got = wanted.groupBy("block").cogroup(placed.groupBy("block")).applyInPandas(
             score, "qb long, q long, ids binary, sims binary")
         step = written(busy.groupBy("qb").cogroup(got.groupBy("qb")).applyInPandas(merge, STATE)
@@ -363,6 +399,18 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
 
+def scores(q: Column, vec: Column, most: float) -> tuple[Column, Column]:
+    """``by``: the inner product with both sides over powers of two, which neither overflows nor
+    changes the order; ``score``: as it is (infinite where it exceeds double precision)."""
+    up = math.ldexp(1.0, max(-1000, min(1000, math.frexp(most)[1])))
+    own = F.pow(F.lit(2.0), F.greatest(F.lit(-1000.0), F.least(F.lit(1000.0), F.ceil(
+        F.log2(size_of(q))).cast("double"))))
+    by = dot(F.transform(q, lambda x: x / own), F.transform(vec, lambda x: x / F.lit(up)))
+    plain = dot(q, vec)
+    return by.alias("by"), F.when(F.abs(plain) < float("inf"), plain).otherwise(
+        by * own * F.lit(up)).alias("score")
+
+
 def nearest(df: DataFrame, id_: Column, vector: Column, is_query: Column, k: int = 20,
             **params) -> DataFrame:
     """(query_id, rank, vec_id, score) of the ``k`` nearest rows other than the query itself.
@@ -370,13 +418,14 @@ def nearest(df: DataFrame, id_: Column, vector: Column, is_query: Column, k: int
     ``is_query`` is a condition on ``id``."""
     vectors = written(clean_vectors(df, id_, vector), "ann-vectors")
     nodes, members = nodes_of(vectors, k)
-    most, n = nodes.agg(F.max(F.sqrt(dot(F.col("vec"), F.col("vec")))), F.count("*")).first()
+    most, n = nodes.agg(F.max(size_of(F.col("vec"))), F.count("*")).first()
     most = most or 1.0
-    half = written(nodes.select("node", scaled(F.col("vec"), most, True).alias("half")), "ann-half")
+    half = written(nodes.select("node", halves(F.col("vec"), most).alias("h"))
+                   .select("node", "h.half", "h.norm"), "ann-half")
     edges = nn_descent(half, n, **params)
     asked = vectors.filter(is_query).select(F.col("id").alias("q"), F.col("vec").alias("qvec"))
     queries = asked.join(nodes, F.col("qvec") == F.col("vec"), "left").select(
-        "q", scaled(F.col("qvec"), most, False).alias("half"), F.col("node").alias("start"))
+        "q", halves(F.col("qvec"), most).getField("half").alias("half"), F.col("node").alias("start"))
     found = greedy_search(written(queries, "ann-queries"), half, edges, n)
 
     @F.pandas_udf("array<long>")
@@ -385,9 +434,9 @@ def nearest(df: DataFrame, id_: Column, vector: Column, is_query: Column, k: int
 
     pairs = found.select("q", F.explode(best("ids")).alias("node"))
     scored = (pairs.join(nodes, "node").join(asked, "q")
-              .select("q", "node", dot(F.col("qvec"), F.col("vec")).alias("score")))
+              .select("q", "node", *scores(F.col("qvec"), F.col("vec"), most)))
     rows = scored.join(members, "node").filter("id <> q")
-    w = Window.partitionBy("q").orderBy(F.desc("score"), "id")
+    w = Window.partitionBy("q").orderBy(F.desc("by"), "id")
     return (rows.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
             .select(F.col("q").alias("query_id"), F.col("rank").cast("int").alias("rank"),
                     F.col("id").alias("vec_id"), "score"))

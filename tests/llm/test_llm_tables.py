@@ -250,6 +250,40 @@ def test_inner_product_recall_with_unequal_lengths(spark):
     assert len(got) == len(want) and hits / len(want) > 0.95
 
 
+def recall(spark, x, every, k=20):
+    """Of ``nearest`` against inner products with each side over its own power of two."""
+    df = spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<double>")
+    out = ann.nearest(df, F.col("vec_id"), F.col("embedding"), F.col("id") % every == 0, k).collect()
+    small = x / 2.0 ** np.ceil(np.log2(np.abs(x).max()))
+    got = defaultdict(set)
+    for r in out:
+        got[r.query_id].add(r.vec_id)
+    hits = 0
+    for q in range(0, len(x), every):
+        s = small @ (x[q] / np.abs(x[q]).max())
+        s[q] = -np.inf
+        assert len(got[q]) == k
+        hits += len(got[q] & set(np.argsort(-s)[:k].tolist()))
+    return hits / (k * len(got))
+
+
+@pytest.mark.parametrize("longest", [1e4, 1e200])
+def test_recall_with_one_very_long_vector(spark, longest):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(3000, 24))
+    x *= (rng.uniform(0.5, 1.5, 3000) / np.linalg.norm(x, axis=1))[:, None]
+    x[7] *= longest
+    assert recall(spark, x, 30) > 0.95
+
+
+def test_recall_with_lognormal_norms_and_an_outlier(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3000, 24))
+    x *= (rng.lognormal(0, 0.7, 3000) / np.linalg.norm(x, axis=1))[:, None]
+    x[7] *= 1e8
+    assert recall(spark, x, 30) > 0.95
+
+
 def test_neighbour_query_recall(spark):
     rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{SF}/embeddings.parquet").collect()]
     got = [tuple(r) for r in ann.op1_nearest_neighbours(spark, SF).collect()]
