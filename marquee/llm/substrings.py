@@ -22,7 +22,9 @@ in one task.  The sample only routes; results do not depend on it.  It grows wit
 that a hash of more than about ``HOT_DOCS`` documents is found at any size (of a small corpus, one
 of more than ``HOT_SHARE``); should there be over ``MAX_HOT`` of them, the most frequent are taken,
 and any other holds at most a ``MAX_HOT``-th of all anchors.
-Repeats inside one task are settled there, before any shuffle.
+Repeats inside one task are settled there, before any shuffle: of records that agree only the
+earliest is dealt by its hash, the others travel as merged spans to any bucket.  So a run of one
+byte or of a short period, which has an anchor a byte, is one record a task.
 
 Defined cases: null text is empty; null ids come before all others; rows of one id come
 in order of their text, as parts of one document between which nothing matches; of equal
@@ -52,6 +54,8 @@ HOT_SAMPLE, HOT_SHARE = 2000, 0.01
 HOT_DOCS, MAX_HOT = 50_000, 1 << 20
 #: Anchors, and documents, that a task settles at once.
 TASK_ANCHORS, TASK_DOCS = 1 << 20, 60_000
+#: Merged spans of one blob (24 bytes each).
+BLOB_SPANS = 1 << 15
 #: Bytes of anchors, and of border strings, that one group of a shuffle holds on average.
 ANCHOR_BUCKET, BORDER_BUCKET = 8 << 20, 1 << 20
 #: Bytes hashed at once.
@@ -175,8 +179,31 @@ def _chunks(texts: list[bytes], length: int) -> Iterator[tuple[np.ndarray, np.nd
         yield flush()
 
 
-def text_anchors(texts: list[bytes], length: int, gram: int, hot: np.ndarray | None) -> np.ndarray:
-    """Anchor records of the texts; ``pos`` is the first window's offset in its text."""
+def _again(*keys: np.ndarray) -> np.ndarray:
+    """Which rows, sorted by the keys, equal the one before."""
+    out = np.zeros(len(keys[0]), bool)
+    if len(out):
+        out[1:] = np.logical_and.reduce([k[1:] == k[:-1] for k in keys])
+    return out
+
+
+def _merged(d: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Rows (d, start, stop) in which spans of one d that meet or overlap are one."""
+    if not len(d):
+        return np.empty((0, 3), np.int64)
+    o = np.lexsort((s, d))
+    d, s, e = d[o], s[o], e[o]
+    new = ~_again(d)
+    reach = pd.Series(e).groupby(np.cumsum(new)).cummax().to_numpy()
+    first = np.flatnonzero(new | np.concatenate(([True], s[1:] > reach[:-1])))
+    return np.column_stack([d[first], s[first], reach[np.append(first[1:], len(d)) - 1]])
+
+
+def text_anchors(texts: list[bytes], length: int, gram: int, hot: np.ndarray | None,
+                 settled: list[np.ndarray] | None = None) -> np.ndarray:
+    """Anchor records of the texts; ``pos`` is the first window's offset in its text.  With
+    ``settled``, records that agree with an earlier one of their text and buffer go there, as
+    merged rows (text, start, stop)."""
     out = []
     for buf, part, shift in _chunks(texts, length):
         g, ctx, start, lo, more = anchors(buf, part, length, gram, hot)
@@ -185,6 +212,13 @@ def text_anchors(texts: list[bytes], length: int, gram: int, hot: np.ndarray | N
         if len(g):
             r["doc"] = part[start]
             r["pos"] = start + shift[part[start]]
+        if settled is not None:
+            r = r[np.lexsort((r["pos"], r["ctx"], r["gram"], r["doc"]))]
+            again = _again(r["gram"], r["ctx"], r["doc"])
+            if again.any():
+                done, r = r[again], r[~again]
+                at = done["pos"].astype(np.int64)
+                settled.append(_merged(done["doc"].astype(np.int64), at, at + done["n"] + length))
         out.append(r)
     return np.concatenate(out) if out else np.empty(0, _RECORD)
 
@@ -319,69 +353,89 @@ def _emit(batches: Iterator[pd.DataFrame], length: int, gram: int, hot: np.ndarr
     for b in batches:
         for at in range(0, len(b), TASK_DOCS):
             part = b.iloc[at:at + TASK_DOCS]
-            r = text_anchors([bytes(t) for t in part["raw"]], length, gram, hot)
+            own: list[np.ndarray] = []
+            r = text_anchors([bytes(t) for t in part["raw"]], length, gram, hot, own)
+            of = np.column_stack([part["d"].to_numpy(np.int64), part["base"].to_numpy(np.int64)])
+            if own:
+                t, start, stop = np.concatenate(own).T
+                yield _blobs(_span_blobs(of[t, 0], of[t, 1] + start, of[t, 1] + stop, buckets))
             if n_docs and (n_found + len(r) > TASK_ANCHORS or n_docs + len(part) > TASK_DOCS):
-                yield _packed(np.concatenate(found), np.concatenate(docs), buckets)
+                yield _packed(np.concatenate(found), np.concatenate(docs), buckets, length)
                 found, docs, n_found, n_docs = [], [], 0, 0
             r["doc"] += np.uint16(n_docs)
             found.append(r)
-            docs.append(np.column_stack([part["d"].to_numpy(np.int64),
-                                         part["base"].to_numpy(np.int64)]))
+            docs.append(of)
             n_found, n_docs = n_found + len(r), n_docs + len(part)
     if n_docs:
-        yield _packed(np.concatenate(found), np.concatenate(docs), buckets)
+        yield _packed(np.concatenate(found), np.concatenate(docs), buckets, length)
+
+
+def _blobs(rows: list[tuple]) -> pd.DataFrame:
+    return pd.DataFrame(rows, columns=["bucket", "kind", "n", "blob"])
+
+
+def _span_blobs(d: np.ndarray, s: np.ndarray, e: np.ndarray, buckets: int) -> list[tuple]:
+    """Blobs of merged spans, for buckets that depend on where they are and not on their hash."""
+    spans = _merged(d, s, e)
+    rows = []
+    for i in range(0, len(spans), BLOB_SPANS):
+        part = spans[i:i + BLOB_SPANS]
+        salt = _mix(part[0, :2].astype(_U))
+        rows.append((int((salt[0] ^ (salt[1] >> _U(1))) % _U(buckets)), 1, len(part), part.tobytes()))
+    return rows
 
 
-def _packed(r: np.ndarray, docs: np.ndarray, buckets: int) -> pd.DataFrame:
-    """Blobs of anchors by bucket: ``n`` (id, base) pairs of documents, then records.  Of records
-    that agree the earliest is of ``kind`` 0; the others (1) are repeats already and only pass
-    through to the spans."""
+def _packed(r: np.ndarray, docs: np.ndarray, buckets: int, length: int) -> pd.DataFrame:
+    """Blobs of anchors by bucket: ``n`` (id, base) pairs of documents, then records (``kind`` 0).
+    Of records that agree the earliest is among them; the others are repeats already and only
+    pass through to the spans, as ``n`` triples of id, start and stop (``kind`` 1)."""
     by_id = np.lexsort((docs[:, 1], docs[:, 0]))
     place = np.empty(len(docs), np.uint16)
     place[by_id] = np.arange(len(docs), dtype=np.uint16)
     docs, r["doc"] = docs[by_id], place[r["doc"]]
     r = r[np.lexsort((r["pos"], r["doc"], r["ctx"], r["gram"]))]
-    again = np.zeros(len(r), bool)
-    again[1:] = (r["gram"][1:] == r["gram"][:-1]) & (r["ctx"][1:] == r["ctx"][:-1])
-    bucket = (r["gram"] >> _U(40)) % _U(buckets)
-    rows = []
-    for kind, part, where in ((0, r[~again], bucket[~again]), (1, r[again], bucket[again])):
-        o = np.argsort(where, kind="stable")
-        part, where = part[o], where[o]
-        cut = np.flatnonzero(np.concatenate(([True], where[1:] != where[:-1]))) if len(where) else []
-        for i, j in zip(cut, np.append(cut[1:], len(where)) if len(cut) else []):
-            sub = part[i:j].copy()
-            used, sub["doc"] = np.unique(sub["doc"], return_inverse=True)
-            rows.append((int(where[i]), kind, len(used), docs[used].tobytes() + sub.tobytes()))
-    return pd.DataFrame(rows, columns=["bucket", "kind", "n", "blob"])
+    again = _again(r["gram"], r["ctx"])
+    done, r = r[again], r[~again]
+    start = docs[done["doc"], 1] + done["pos"]
+    rows = _span_blobs(docs[done["doc"], 0], start, start + done["n"] + length, buckets)
+    where = (r["gram"] >> _U(40)) % _U(buckets)
+    o = np.argsort(where, kind="stable")
+    r, where = r[o], where[o]
+    cut = np.flatnonzero(~_again(where))
+    for i, j in zip(cut, np.append(cut[1:], len(where))):
+        sub = r[i:j].copy()
+        used, sub["doc"] = np.unique(sub["doc"], return_inverse=True)
+        rows.append((int(where[i]), 0, len(used), docs[used].tobytes() + sub.tobytes()))
+    return _blobs(rows)
 
 
 def _settle(b: pd.DataFrame, length: int) -> pd.DataFrame:
     """All anchors of a bucket: repeats as spans, and the borders' first ones as requests."""
-    recs, ids, bases, settled = [], [], [], []
+    recs, ids, bases = [np.empty(0, _RECORD)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    done = [np.empty((0, 3), np.int64)]
     for kind, n, blob in zip(b["kind"], b["n"], b["blob"]):
+        if kind == 1:
+            done.append(np.frombuffer(blob, np.int64).reshape(n, 3))
+            continue
         docs = np.frombuffer(blob, np.int64, 2 * n).reshape(n, 2)
         r = np.frombuffer(blob, _RECORD, offset=16 * n)
         recs.append(r)
         ids.append(docs[r["doc"], 0])
         bases.append(docs[r["doc"], 1] + r["pos"])
-        settled.append(np.full(len(r), kind == 1))
     r, d, s = np.concatenate(recs), np.concatenate(ids), np.concatenate(bases)
-    done = np.concatenate(settled)
     e = s + r["n"] + length
-    out = [_spans(d[done], s[done], e[done])]
-    r, d, s, e = r[~done], d[~done], s[~done], e[~done]
+    out = []
     o = np.lexsort((s, d, r["ctx"], r["gram"]))
     r, d, s, e = r[o], d[o], s[o], e[o]
     if len(r):
         new_gram = np.concatenate(([True], r["gram"][1:] != r["gram"][:-1]))
         new_ctx = new_gram | np.concatenate(([True], r["ctx"][1:] != r["ctx"][:-1]))
-        out.append(_spans(d[~new_ctx], s[~new_ctx], e[~new_ctx]))
+        done.append(np.column_stack([d[~new_ctx], s[~new_ctx], e[~new_ctx]]))
         group = np.cumsum(new_gram) - 1
         border = new_ctx & (np.bincount(group, new_ctx)[group] > 1)
         out.append(_spans(d[border], s[border], e[border],
                           r["gram"][border].view(np.int64), r["lo"][border]))
-    return pd.concat(out, ignore_index=True)
+    return pd.concat([_spans(*_merged(*np.concatenate(done).T).T), *out], ignore_index=True)
 
 
 def _border(b: pd.DataFrame, length: int) -> pd.DataFrame:

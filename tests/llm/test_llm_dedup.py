@@ -254,6 +254,24 @@ def test_tasks_settle_any_number_at_once():
     assert len(sure) > 80 and not any(s.startswith("[0, ") for s in sure)
 
 
+def test_a_run_of_one_byte_or_period_is_one_record_a_task(spark):
+    """No bucket of a hash gets the records that a task has settled, however many."""
+    long = [("a" * 1_500_000), "ab " * 300_000, "- " * 200_000 + "end"]
+    blank = [f"{i} begins" + " " * 400 + f"and ends {i}" for i in range(300)]
+    frame = pd.DataFrame([(i, 0, t.encode()) for i, t in enumerate(long + blank)],
+                         columns=["d", "base", "raw"])
+    got = pd.concat(ss._emit(iter([frame]), 100, 20, np.empty(0, np.uint64), 8))
+    records = sum(len(b) - 16 * n for k, n, b in zip(got["kind"], got["n"], got["blob"]) if k == 0) // 24
+    assert records < 20 * len(frame)
+    assert got["blob"].map(len).max() < 1 << 20 and got["blob"].map(len).sum() < 1 << 20
+    rows = [(1, "a" * 3000), (2, "ab " * 900), (3, "x" + "a" * 2000 + "y"), (4, "- " * 700 + "end")]
+    rows += [(10 + i, t) for i, t in enumerate(blank[:40])]
+    assert cut(spark, rows, 100) == slow_cut(rows, 100)
+    out = {r.d: (r.n_bytes, r.n_removed) for r in ss.remove_repeats(
+        spark.createDataFrame(list(enumerate(long)), DOC), F.col("doc_id"), F.col("text")).collect()}
+    assert out[0] == (1_500_000, 1_499_999) and out[1] == (900_000, 899_997)
+
+
 @settings(max_examples=80, deadline=None)
 @given(st.lists(st.text(alphabet="ab", max_size=30), max_size=6), st.integers(2, 6))
 def test_maximal_repeats_are_complete(pieces, size):
