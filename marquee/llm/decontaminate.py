@@ -4,8 +4,8 @@ The words of all benchmark items build one suffix automaton.  The words of a doc
 through it, and at each word the automaton holds the longest run of words, ending there,
 that occurs in an item.  Where that run is a window or longer (``window`` consecutive
 item words; an item of fewer words is one window), its words are hit.  Runs of hit words
-of at least ``max_span`` words are cut out of the text, and documents in which more than
-``max_coverage`` of the words are hit are marked for removal.
+of at least ``max_span`` words, or that hold a whole item, are cut out of the text, and documents
+in which more than ``max_coverage`` of the words are hit are marked for removal.
 
 Only words within stretches of item n-grams are streamed: a window needs all its n-grams
 to occur in items, so nothing is lost (an exact, vectorised filter).
@@ -40,7 +40,7 @@ WINDOW = 10
 BLOCK_WORDS = 100_000
 #: Length of the n-grams of the filter, at most.
 GRAM = 4
-#: Production limits: any run of a whole window is cut; above this share the document goes.
+#: Production limits: any run of a whole window or item is cut; above this share the document goes.
 MAX_SPAN, MAX_COVERAGE = 10, 0.5
 
 #: Bytes to lower case, and every byte that is not part of a word to a blank.
@@ -101,7 +101,9 @@ class SuffixAutomaton:
 class Benchmark:
     """The automaton of one block of items, and what it reports."""
 
-    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW) -> None:
+    def __init__(self, items: list[tuple[str, str | None]], window: int = WINDOW,
+                 whole: int = 0) -> None:
+        """Items of fewer than ``whole`` words (all under ``window``) mark the spans that hold them."""
         self.window = window
         self.vocab: dict[bytes, int] = {}
         self.items = [i for i, _ in items]
@@ -120,7 +122,7 @@ class Benchmark:
                 while u > 0 and k not in self.of[u]:
                     self.of[u].add(k)
                     u = self.sam.link[u]
-            if 0 < len(t) < window:
+            if 0 < len(t) < max(window, whole):
                 short[v].append((len(t), k))
         # short items that end where a state does: its own and those of its suffixes
         self.short = short
@@ -146,8 +148,9 @@ class Benchmark:
             h = (h + ids[k:k + n].astype(np.uint64)) * self.mult[k]
         return (h >> np.uint64(42)).astype(np.int64)
 
-    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int]], set[int]]:
-        """Merged spans [start, end) of hit words, and the items whose windows occur."""
+    def scan(self, words: list[bytes]) -> tuple[list[tuple[int, int, bool]], set[int]]:
+        """Merged spans [start, end) of hit words, with whether they hold a whole short item, and
+        the items whose windows occur."""
         if not self.least or len(words) < self.least:
             return [], set()
         ids = np.array(list(map(self.vocab.get, words, repeat(-1))), np.int64)
@@ -162,17 +165,17 @@ class Benchmark:
         if not open_.any():
             return [], set()
         edge = np.flatnonzero(np.diff(np.concatenate(([0], open_.view(np.int8), [0]))))
-        spans: list[tuple[int, int]] = []
+        spans: list[tuple[int, int, bool]] = []
         found: set[int] = set()
         for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
             if b - a + self.gram - 1 >= self.least:
                 self._stream(ids[a:b + self.gram - 1].tolist(), a, spans, found)
-        merged: list[tuple[int, int]] = []
-        for a, b in sorted(spans):
+        merged: list[tuple[int, int, bool]] = []
+        for a, b, whole in sorted(spans):
             if merged and a <= merged[-1][1]:
-                merged[-1] = (merged[-1][0], max(b, merged[-1][1]))
+                merged[-1] = (merged[-1][0], max(b, merged[-1][1]), whole or merged[-1][2])
             else:
-                merged.append((a, b))
+                merged.append((a, b, whole))
         return merged, found
 
     def _stream(self, ids: list[int], at: int, spans: list, found: set[int]) -> None:
@@ -190,15 +193,15 @@ class Benchmark:
                 while length[link[u]] >= window:
                     u = link[u]
                 found |= self.of[u]
-                spans.append((end - run, end))
+                spans.append((end - run, end, False))
             for size, k in self.short[v]:
                 if size <= run:
                     found.add(k)
-                    spans.append((end - size, end))
+                    spans.append((end - size, end, True))
 
 
-_RESULT = ("n_words long, spans array<struct<start:int,stop:int>>, items array<string>, "
-           "clean string")
+_SPANS = "array<struct<start:int,stop:int,whole:boolean>>"
+_RESULT = f"n_words long, spans {_SPANS}, items array<string>, clean string"
 
 
 def _cut(text: str, spans: list[tuple[int, int]]) -> str:
@@ -216,27 +219,27 @@ def _cut(text: str, spans: list[tuple[int, int]]) -> str:
 _BUILT: dict[str, Benchmark] = {}
 
 
-def _built(token: str, shared, window: int) -> Benchmark:
+def _built(token: str, shared, window: int, whole: int) -> Benchmark:
     """The automaton of a block, built once for all tasks of a Python process in a row."""
     if token not in _BUILT:
         _BUILT.clear()
-        _BUILT[token] = Benchmark(shared.value, window)
+        _BUILT[token] = Benchmark(shared.value, window, whole)
     return _BUILT[token]
 
 
-def _scanner(shared, window: int):
+def _scanner(shared, window: int, whole: int):
     """Scan texts with one block's automaton."""
     token = uuid.uuid4().hex
 
     @F.pandas_udf(_RESULT)
     def scan(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        bench = _built(token, shared, window)
+        bench = _built(token, shared, window, whole)
         for batch in texts:
             rows = []
             for t in batch:
                 words = words_of(t)
                 spans, found = bench.scan(words)
-                rows.append((len(words), [{"start": a, "stop": b} for a, b in spans],
+                rows.append((len(words), [{"start": a, "stop": b, "whole": c} for a, b, c in spans],
                              sorted({bench.items[k] for k in found}), None))
             yield pd.DataFrame(rows, columns=["n_words", "spans", "items", "clean"])
     return scan
@@ -259,18 +262,20 @@ def _merge(spans: Column) -> Column:
     def step(acc, s):
         last = F.element_at(acc, -1)
         joined = F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-            last["start"].alias("start"), F.greatest(last["stop"], s["stop"]).alias("stop"))))
+            last["start"].alias("start"), F.greatest(last["stop"], s["stop"]).alias("stop"),
+            (last["whole"] | s["whole"]).alias("whole"))))
         return (F.when(F.size(acc) == 0, F.array(s))
                  .when(s["start"] <= last["stop"], joined).otherwise(F.concat(acc, F.array(s))))
-    empty = F.array().cast("array<struct<start:int,stop:int>>")
+    empty = F.array().cast(_SPANS)
     return F.aggregate(F.array_sort(spans), empty, step)
 
 
 def find_windows(df: DataFrame, text: Column, items: DataFrame, item_id: Column,
                  item_text: Column, window: int = WINDOW,
-                 block_words: int = BLOCK_WORDS) -> DataFrame:
+                 block_words: int = BLOCK_WORDS, whole: int = 0) -> DataFrame:
     """Columns ``row`` (input row as a struct), ``text``, ``n_words``, ``spans`` of hit words
-    and ``items`` (ids as text, sorted, of the items with windows in the text)."""
+    (``whole``: they hold an item that has fewer words than a window, or than ``whole``) and
+    ``items`` (ids as text, sorted, of the items with windows in the text)."""
     spark = df.sparkSession
     small_batches(spark)
     bench = written(items.select(F.coalesce(item_id.cast("string"), F.lit("")).alias("id"),
@@ -283,7 +288,7 @@ def find_windows(df: DataFrame, text: Column, items: DataFrame, item_id: Column,
         block = bench.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)) == k)
         shared = spark.sparkContext.broadcast([(r[0], r[1]) for r in block.select(
             "id", "text").collect()])
-        return _scanner(shared, window)("text").alias("hit")
+        return _scanner(shared, window, whole)("text").alias("hit")
 
     docs = packed(df, text=text)
     if n_blocks == 1:
@@ -297,7 +302,7 @@ def find_windows(df: DataFrame, text: Column, items: DataFrame, item_id: Column,
     found = reduce(DataFrame.union, parts).groupBy("key").agg(
         _merge(F.flatten(F.collect_list("spans"))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    none = F.array().cast("array<struct<start:int,stop:int>>")
+    none = F.array().cast(_SPANS)
     return docs.join(found, "key", "left").select(
         "row", "text", _count_words(F.col("text")).cast("long").alias("n_words"),
         F.coalesce("spans", none).alias("spans"),
@@ -307,10 +312,11 @@ def find_windows(df: DataFrame, text: Column, items: DataFrame, item_id: Column,
 def decontaminate(df: DataFrame, text: str, items: DataFrame, item_id: Column, item_text: Column,
                   window: int = WINDOW, max_span: int = MAX_SPAN,
                   max_coverage: float = MAX_COVERAGE, **params) -> DataFrame:
-    """``row`` with ``clean`` (the text without spans of ``max_span`` words or more), ``n_hit``,
-    ``items`` and ``reject`` (over ``max_coverage`` of the words are hit)."""
-    found = find_windows(df, F.col(f"`{text}`"), items, item_id, item_text, window, **params)
-    long = F.filter("spans", lambda s: s["stop"] - s["start"] >= max_span)
+    """``row`` with ``clean`` (the text without spans of ``max_span`` words or more, or that hold a
+    whole item), ``n_hit``, ``items`` and ``reject`` (over ``max_coverage`` of the words are hit)."""
+    found = find_windows(df, F.col(f"`{text}`"), items, item_id, item_text, window,
+                         whole=max_span, **params)
+    long = F.filter("spans", lambda s: (s["stop"] - s["start"] >= max_span) | s["whole"])
     return (found.withColumn("n_hit", hit_words())
             .withColumn("cut", long)
             .select("row", "n_words", "n_hit", "items",

@@ -390,3 +390,24 @@ def test_spans_are_cut_and_covered_documents_marked(spark):
     got = {r.row.doc_id: (r.clean, r.n_hit, r.reject) for r in out}
     assert got[1] == ("Before it: ! after " + "w " * 30, 11, False)
     assert got[2] == ("", 11, True) and got[3] == ("clean", 0, False)
+
+
+@pytest.mark.parametrize("block_words", [dc.BLOCK_WORDS, 6])
+def test_whole_short_items_are_cut(spark, block_words):
+    items = [(1, "who wrote the old book"), (2, "alpha beta gamma delta"), (3, "Yes"),
+             (4, " ".join(f"long{i}" for i in range(12)))]
+    rest = " ".join(f"w{i}" for i in range(40))
+    docs = [(1, f"{rest} Who wrote the old book? {rest}"), (2, f"alpha beta gamma, {rest}"),
+            (3, f"{rest}; yes. {rest} alpha beta gamma delta"), (4, f"{rest} {items[3][1]} {rest}")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def clean(**params):
+        out = dc.decontaminate(clashing(spark.createDataFrame(docs, DOC)), "text", bench,
+                               F.col("item_id"), F.col("text"), block_words=block_words, **params)
+        got = out.select("row.doc_id", "clean", "reject").collect()
+        assert not any(r.reject for r in got)
+        return sorted((r.doc_id, r.clean) for r in got)
+
+    want = [(1, f"{rest} ? {rest}"), docs[1], (3, f"{rest}; . {rest} "), (4, f"{rest}  {rest}")]
+    assert clean() == want and clean(max_span=20) == want
+    assert all(h[2] == 0 for h in slow_hits(clean(), items))
