@@ -27,8 +27,10 @@ from pyspark.sql import functions as F
 from marquee.llm.common import LETTERS, crc_mod, small_batches, table, written
 
 LONGEST, BITS, LANDMARKS, SAMPLE, RIDGE = 4, 14, 240, 4000, 1e-3
-#: Languages that may be learned (the most frequent), which bounds the model.
-MAX_LANGS = 200
+#: Training rows of a language, at least.
+LEAST_ROWS = 8
+#: Languages that a model holds (a landmark of each is 64 KB); more are refused.
+MAX_LANGS = 1000
 _MULT = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 #: Texts of one matrix product.
 ROWS = 128
@@ -82,23 +84,25 @@ def solve(k_mm: np.ndarray, k_nm: np.ndarray, y: np.ndarray, ridge: float = RIDG
 
 def train(docs: DataFrame, text: Column, lang: Column, keep: Column, order: Column,
           landmarks: int = LANDMARKS, sample: int = SAMPLE) -> dict | None:
-    """``order`` draws the sample within each language (a seeded hash of the row)."""
+    """``order`` draws the sample within each language (a seeded hash of the row).  Every value of
+    ``lang`` is learned; a ``ValueError`` says if there are more than ``MAX_LANGS``."""
     small_batches(docs.sparkSession)
     rows = docs.select(text.alias("text"), lang.alias("lang"), order.alias("o")).filter(
         keep & lang.isNotNull() & F.coalesce(text, F.lit("")).rlike(r"\p{L}"))
     counts = (rows.groupBy("lang").agg(F.count("*").alias("n"))
-              .orderBy(F.desc("n"), "lang").limit(MAX_LANGS).collect())
+              .limit(MAX_LANGS + 1).collect())
     langs = sorted(r.lang for r in counts)
     if not langs:
         return None
-    each, few = -(-sample // len(langs)), -(-landmarks // len(langs))
+    if len(langs) > MAX_LANGS:
+        raise ValueError(f"over {MAX_LANGS} languages: more than the model can hold")
+    each, few = max(LEAST_ROWS, -(-sample // len(langs))), -(-landmarks // len(langs))
     # of a frequent language only the share of hashes that gives about twice the rows needed
     # is looked at, so no language is gathered; then a bounded number of each is ranked
     share = F.create_map(*[F.lit(v) for r in counts for v in (
         r.lang, min(1 << 20, math.ceil((2 * each + 20) / r.n * (1 << 20))))])
     part = Window.partitionBy("lang").orderBy("o", "text")
-    drawn = (rows.filter(F.col("lang").isin(langs))
-             .filter(F.pmod(F.xxhash64("o"), F.lit(1 << 20)) < share[F.col("lang")])
+    drawn = (rows.filter(F.pmod(F.xxhash64("o"), F.lit(1 << 20)) < share[F.col("lang")])
              .withColumn("k", F.row_number().over(part)).filter(F.col("k") <= each))
     drawn = written(drawn, "language-sample")
 

@@ -93,6 +93,27 @@ def test_language_odd_rows(spark):
         langid.predict(docs, F.col("text"), None).alias("p")).collect()} == {"und"}
 
 
+def test_every_language_is_learned_or_refused(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    rows = []
+    for k in range(230):
+        stems = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5)) for _ in range(8)]
+        rows += [(f"l{k:03}", " ".join(rng.permutation(stems * 3))) for _ in range(6 if k < 205 else 3)]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, text string")
+    args = df, F.col("text"), F.col("lang"), F.lit(True), F.xxhash64("doc_id")
+    model = langid.train(*args)
+    assert len(model["langs"]) == 230
+    got = df.select("lang", langid.predict(df, F.col("text"), model).lang.alias("p")).collect()
+    assert sum(r.lang == r.p for r in got) > 0.95 * len(got)
+    monkeypatch.setattr(langid, "MAX_LANGS", 229)
+    try:
+        langid.train(*args)
+    except ValueError as e:
+        assert "229 languages" in str(e)
+    else:
+        raise AssertionError("not refused")
+
+
 def test_kernel_counts_common_ngrams():
     def grams(t):
         t = t.lower()
