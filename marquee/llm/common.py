@@ -62,3 +62,35 @@ def lower_ascii(c: Column) -> Column:
 #: The same in Python, for use on str.
 ASCII_LOWER = {ord("A") + i: ord("a") + i for i in range(26)}
 LETTERS = re.compile(r"[^\W\d_]+")
+
+
+class Scratch:
+    """Scope of a job: tables written in it are deleted at its end, but for those that are
+    kept, and the session's Arrow batch size is the job's only while it runs.
+
+    Whatever Python stage a job has must therefore run inside its scope: results leave it as
+    kept tables, or as plans over them without Python."""
+
+    def __init__(self, spark: SparkSession, rows: int = ARROW_ROWS):
+        self.spark, self.rows, self.tables = spark, rows, []
+
+    def __enter__(self) -> Scratch:
+        self.before = self.spark.conf.get(_BATCH)
+        self.spark.conf.set(_BATCH, str(self.rows))
+        return self
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        out = written(df, name)
+        self.tables.append(out)
+        return out
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        self.tables = [t for t in self.tables if t is not df]
+        return df
+
+    def __exit__(self, *failure) -> None:
+        self.spark.conf.set(_BATCH, self.before)
+        forget(*self.tables)
+
+
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -10,7 +10,9 @@ from marquee.llm.ann import op1_nearest_neighbours
 from marquee.llm.chat import op7_chat_formatting
 from marquee.llm.decontaminate import op2_decontamination
 from marquee.llm.langid import op6_language_id
+from marquee.llm.merkle import op11_merkle_manifest
 from marquee.llm.mixing import op5_mixing
+from marquee.llm.oracles import ORACLES
 from marquee.llm.quality import op9_quality_classifier
 from marquee.llm.sharding import op3_sharding
 from marquee.llm.simhash import op8_simhash_near_dedup
@@ -19,7 +21,7 @@ from marquee.llm.toxicity import op10_toxicity
 
 _QUERIES = (op1_nearest_neighbours, op2_decontamination, op3_sharding, op4_suffix_array_dedup,
             op5_mixing, op6_language_id, op7_chat_formatting, op8_simhash_near_dedup,
-            op9_quality_classifier, op10_toxicity)
+            op9_quality_classifier, op10_toxicity, op11_merkle_manifest)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -28,8 +30,11 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracles() -> dict[str, str]:
-    """No query here is expressible in DuckDB SQL over the tables: they hold seeded hashes of
-    Spark, trained models, graph searches or components.  All are tested against brute force,
-    round trips or held-out accuracy in ``tests/llm``."""
+    """DuckDB SQL, where SQL can express a query.  The others hold seeded hashes of Spark, trained
+    models or graph searches; they are tested against brute force, round trips or held-out
+    accuracy in ``tests/llm``."""
     import corpus_pipeline
-    return {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    out = dict(ORACLES)
+    if corpus_pipeline.ORACLE_SQL:
+        out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
