@@ -76,9 +76,13 @@ class Scratch:
 
     def __enter__(self) -> Scratch:
         self.before = self.spark.conf.get(_BATCH)
-        self.spark.conf.set(_BATCH, str(self.rows))
+        self.batch(self.rows)
         return self
 
+    def batch(self, rows: int) -> None:
+        """Rows of an Arrow batch from here on."""
+        self.spark.conf.set(_BATCH, str(rows))
+
     def write(self, df: DataFrame, name: str) -> DataFrame:
         out = written(df, name)
         self.tables.append(out)

@@ -62,4 +62,35 @@ FROM docs d JOIN leaves l USING (no) JOIN subroots s ON s.source = l.g
 JOIN fold f ON f.no = d.no AND f.k = len(f.p) + 1 CROSS JOIN (SELECT h FROM top WHERE n = 1) r
 """
 
-ORACLES = {"op11_merkle_manifest": MERKLE}
+PHRASES = f"""
+WITH pieces AS (
+  SELECT lang, row_number() OVER () AS piece, regexp_extract_all(p, '[^ \\t]+') AS w
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+          unnest(regexp_split_to_array({LOWER.format('text')}, '[.,;:!?\\n\\x0B\\f\\r]')) AS p
+        FROM documents WHERE text IS NOT NULL)),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM (
+        SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+        FROM places CROSS JOIN range(1, 5) t(m) WHERE i + m - 1 <= len(w))
+      GROUP BY lang, m, phrase HAVING count(*) >= 30),
+split AS (SELECT lang, m, phrase, f, string_split(phrase, ' ') AS w FROM f),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f AS a, c.k, x.f AS l, y.f AS r,
+         (CAST(c.f AS HUGEINT) * 2000000) // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM split WHERE m > 1) c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:c.k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.k + 1:], ' ')),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM f o WHERE o.lang = b.lang AND 100 * o.f >= 80 * b.a
+      AND len(o.phrase) > len(b.phrase) AND contains(' ' || o.phrase || ' ', ' ' || b.phrase || ' '))),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+ORACLES = {"op11_merkle_manifest": MERKLE, "op12_phrase_collocations": PHRASES}

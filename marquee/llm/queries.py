@@ -13,6 +13,7 @@ from marquee.llm.langid import op6_language_id
 from marquee.llm.merkle import op11_merkle_manifest
 from marquee.llm.mixing import op5_mixing
 from marquee.llm.oracles import ORACLES
+from marquee.llm.phrases import op12_phrase_collocations
 from marquee.llm.quality import op9_quality_classifier
 from marquee.llm.sharding import op3_sharding
 from marquee.llm.simhash import op8_simhash_near_dedup
@@ -21,7 +22,8 @@ from marquee.llm.toxicity import op10_toxicity
 
 _QUERIES = (op1_nearest_neighbours, op2_decontamination, op3_sharding, op4_suffix_array_dedup,
             op5_mixing, op6_language_id, op7_chat_formatting, op8_simhash_near_dedup,
-            op9_quality_classifier, op10_toxicity, op11_merkle_manifest)
+            op9_quality_classifier, op10_toxicity, op11_merkle_manifest,
+            op12_phrase_collocations)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
