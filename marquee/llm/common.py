@@ -84,9 +84,12 @@ class Scratch:
         self.spark.conf.set(_BATCH, str(rows))
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        out = written(df, name)
-        self.tables.append(out)
-        return out
+        return self.adopt(written(df, name))
+
+    def adopt(self, table: DataFrame) -> DataFrame:
+        """Delete a table that was written elsewhere, too."""
+        self.tables.append(table)
+        return table
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.tables = [t for t in self.tables if t is not df]

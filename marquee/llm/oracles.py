@@ -93,4 +93,25 @@ SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
 FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
 """
 
-ORACLES = {"op11_merkle_manifest": MERKLE, "op12_phrase_collocations": PHRASES}
+JACCARD = f"""
+WITH RECURSIVE
+words AS (SELECT doc_id, regexp_extract_all(coalesce({LOWER.format('text')}, ''), '[^ \\t\\n\\x0B\\f\\r]+') AS w
+          FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 2))) AS i FROM words WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+           FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+          WHERE 100 * c >= 85 * (p.n + q.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reached AS (SELECT doc_id AS src, doc_id AS dst FROM documents
+            UNION SELECT r.src, e.y FROM reached r JOIN edges e ON e.x = r.dst)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN sizes z USING (doc_id)
+JOIN (SELECT src AS doc_id, min(dst) AS component_id FROM reached GROUP BY src) c USING (doc_id)
+"""
+
+ORACLES = {"op11_merkle_manifest": MERKLE, "op12_phrase_collocations": PHRASES,
+           "op13_jaccard_join": JACCARD}

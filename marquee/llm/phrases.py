@@ -32,6 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marquee.llm.common import Scratch, table
+from marquee.llm.rolling import scrambled, word_ngrams, word_values, words_between
 
 MAX_WORDS, MIN_COUNT, TOP, ABSORBED = 4, 30, 2000, 80
 #: Bytes of a chunk; of all chunks that a task fills; fingerprints of a bucket, on average.
@@ -42,72 +43,16 @@ RANK_PARTS = 64
 _TABLE = bytes(10 if c in b".,;:!?\n\x0b\x0c\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c
                for c in range(256))
 NEWLINE, BLANK = 10, 32
-#: Odd bases of the polynomials modulo 2^64, over bytes and over words.
-BYTE_BASE, WORD_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
-SEGMENT = 1 << 20
-
 
 # -- fingerprints ------------------------------------------------------------------------
 
-class Powers:
-    """Powers of an odd base and of its inverse modulo 2^64, kept as far as they were needed."""
-
-    def __init__(self, base: int):
-        self.steps = np.array([base, pow(base, -1, 1 << 64)], np.uint64)
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def to(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > len(self.up):
-            grown = []
-            for step in self.steps:
-                row = np.full(max(n, 1 << 16), step, np.uint64)
-                row[0] = 1
-                grown.append(np.multiply.accumulate(row))
-            self.up, self.down = grown
-        return self.up[:n], self.down[:n]
-
-
-_BYTES, _WORDS = Powers(BYTE_BASE), Powers(WORD_BASE)
-
-
-def scrambled(x: np.ndarray) -> np.ndarray:
-    """Every bit of the result depends on every bit of ``x``."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def between(values: np.ndarray, starts: np.ndarray, stops: np.ndarray, powers: Powers) -> np.ndarray:
-    """Polynomial hashes of values[start:stop], from the prefix sums of the polynomial."""
-    up, down = powers.to(len(values) + 1)
-    prefix = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * up[:-1], out=prefix[1:])
-    return (prefix[stops] - prefix[starts]) * down[starts]
-
-
 def words_of(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and stop of every word of a chunk, and the number of its piece."""
     end = raw == NEWLINE
-    gap = np.ones(len(raw) + 2, bool)
-    gap[1:-1] = end | (raw == BLANK)
-    turns = np.flatnonzero(gap[1:] != gap[:-1])
-    starts, stops = turns[::2], turns[1::2]
+    starts, stops = words_between(end | (raw == BLANK))
     return starts, stops, np.searchsorted(np.flatnonzero(end), starts)
 
 
-def word_values(raw: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
-    """A 64-bit value for each word, by segments of the chunk that end with a word."""
-    out = np.empty(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(stops, starts[i] + SEGMENT, "right")))
-        a = starts[i]
-        values = raw[a:stops[j - 1]].astype(np.uint64) + np.uint64(1)
-        out[i:j] = between(values, starts[i:j] - a, stops[i:j] - a, _BYTES)
-        i = j
-    return scrambled(out)
-
-
 def ngrams(raw: np.ndarray, lang: str, longest: int = MAX_WORDS):
     """(starts, stops, [(places, fingerprints) of 1-grams, of 2-grams, ...]) of a chunk; a place is
     the number of the first word."""
@@ -118,7 +63,7 @@ def ngrams(raw: np.ndarray, lang: str, longest: int = MAX_WORDS):
     for n in range(1, longest + 1):
         places = at[:max(0, len(at) - n + 1)]
         places = places[piece[places] == piece[places + n - 1]]
-        prints = between(values, places, places + n, _WORDS)
+        prints = word_ngrams(values, places, places + n)
         out.append((places, scrambled(prints ^ np.uint64(salt * 8 + n))))
     return starts, stops, out
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from marquee.llm.ann import op1_nearest_neighbours
 from marquee.llm.chat import op7_chat_formatting
 from marquee.llm.decontaminate import op2_decontamination
+from marquee.llm.jaccard import op13_jaccard_join
 from marquee.llm.langid import op6_language_id
 from marquee.llm.merkle import op11_merkle_manifest
 from marquee.llm.mixing import op5_mixing
@@ -23,7 +24,7 @@ from marquee.llm.toxicity import op10_toxicity
 _QUERIES = (op1_nearest_neighbours, op2_decontamination, op3_sharding, op4_suffix_array_dedup,
             op5_mixing, op6_language_id, op7_chat_formatting, op8_simhash_near_dedup,
             op9_quality_classifier, op10_toxicity, op11_merkle_manifest,
-            op12_phrase_collocations)
+            op12_phrase_collocations, op13_jaccard_join)
 
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
