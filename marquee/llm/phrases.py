@@ -36,7 +36,9 @@ from marquee.llm.rolling import scrambled, word_ngrams, word_values, words_betwe
 
 MAX_WORDS, MIN_COUNT, TOP, ABSORBED = 4, 30, 2000, 80
 #: Bytes of a chunk; of all chunks that a task fills; fingerprints of a bucket, on average.
-CHUNK, OPEN, BUCKET = 8 << 20, 32 << 20, 1 << 22
+CHUNK, OPEN, BUCKET = 4 << 20, 32 << 20, 1 << 22
+#: Phrases whose counts a task adds up before it hands them on.
+HELD = 500_000
 #: Parts in which a language's phrases are ranked before they meet.
 RANK_PARTS = 64
 #: Byte classes: A-Z lower-cased; ends of pieces become newlines, tabs blanks.
@@ -178,7 +180,7 @@ def _parted(words: np.ndarray, places: np.ndarray, prints: np.ndarray, n: int) -
 
 
 def phrases_of(raw: bytes, lang: str, bits: dict[int, bytes], buckets: int, longest: int) -> Iterator[tuple]:
-    """(n, phrase, count) of the n-grams of a chunk whose fingerprints are marked."""
+    """(phrase, count) of the n-grams of a chunk whose fingerprints are marked."""
     _, _, grams = ngrams(np.frombuffer(raw, np.uint8), lang, longest)
     keys, _ = sent(grams, buckets)
     bucket = keys >> np.uint64(32)
@@ -198,19 +200,31 @@ def phrases_of(raw: bytes, lang: str, bits: dict[int, bytes], buckets: int, long
         hit = keys[at] == d
         if hit.any():
             for p, c in zip(*(x.tolist() for x in _parted(words, places[hit], prints[hit], n))):
-                yield n, b" ".join(text[p:p + n]).decode("utf-8", "surrogatepass"), c
+                yield b" ".join(text[p:p + n]), c
 
 
 def _reader(buckets: int, longest: int):
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[str, dict[bytes, int]] = {}
+
+        def flush() -> Iterator[pd.DataFrame]:
+            for lang, f in held.items():
+                phrases, f = list(f), np.fromiter(f.values(), np.int64, len(f))
+                for at in range(0, len(phrases), 50_000):
+                    some = phrases[at:at + 50_000]
+                    yield pd.DataFrame({"lang": lang, "n": [p.count(b" ") + 1 for p in some],
+                                        "phrase": [p.decode("utf-8", "surrogatepass") for p in some],
+                                        "f": f[at:at + 50_000]})
+            held.clear()
+
         for b in batches:
             for lang, raw, marks in zip(b["lang"], b["raw"], b["marks"]):
-                bits = {m["bucket"]: m["bits"] for m in marks}
-                rows = list(phrases_of(raw, lang, bits, buckets, longest))
-                for at in range(0, len(rows), 50_000):
-                    out = pd.DataFrame(rows[at:at + 50_000], columns=["n", "phrase", "f"])
-                    out.insert(0, "lang", lang)
-                    yield out
+                f = held.setdefault(lang, {})
+                for phrase, count in phrases_of(raw, lang, {m["bucket"]: m["bits"] for m in marks}, buckets, longest):
+                    f[phrase] = f.get(phrase, 0) + count
+                if sum(map(len, held.values())) >= HELD:
+                    yield from flush()
+        yield from flush()
     return read
 
 
