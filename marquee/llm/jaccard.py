@@ -6,10 +6,9 @@ The order is by a count sketch of all shingles (a fixed number of counters, summ
 documents) and by hash among equals: any one order gives the same links, and a rare one
 fewer candidates.
 
-Candidates are held against these bounds before they are verified: the lengths; the positions of the
-first shared prefix shingle; what is left behind the last one, with the number of shared ones;
-and the suffix filter, a lower bound of the symmetric difference by counts of the shingles in
-64 classes.  Verification intersects whole sets, once a pair.
+Candidates are held against these bounds before they are verified: the lengths; the positions of
+a shared prefix shingle, from which enough must be left in both; and the suffix filter, a lower
+bound of the symmetric difference by counts of the shingles in 64 classes.  Verification intersects whole sets, once a pair.
 
 Documents need components, not pairs.  So in a first round every document is verified with one
 other: of all groups by a prefix shingle that it is in, the member of smallest position leads (it
@@ -149,6 +148,12 @@ def _overlap(a: Column, b: Column, percent: int) -> Column:
     return F.ceil(percent * (a + b).cast("long") / F.lit(100 + percent))
 
 
+def _near(na: Column, pa: Column, nb: Column, pb: Column, percent: int) -> Column:
+    """Whether what stands from these positions on is enough.  Linked sets pass it at the first
+    shingle that they share, whatever they do at later ones."""
+    return F.least(na - pa, nb - pb) >= _overlap(na, nb, percent)
+
+
 def _low(c: str) -> Column:
     return F.col(c).bitwiseAND(F.lit((1 << 40) - 1))
 
@@ -167,8 +172,7 @@ def _groups(scratch: Scratch, prefixes: DataFrame) -> DataFrame:
 
 def _first_round(groups: DataFrame, percent: int) -> DataFrame:
     """For each text the leader that it meets most often: a, b, na, nb."""
-    near = (F.least(F.col("n") - F.col("pos"), F.col("lead_n") - F.col("lead_pos"))
-            >= _overlap(F.col("n"), F.col("lead_n"), percent))
+    near = _near(F.col("n"), F.col("pos"), F.col("lead_n"), F.col("lead_pos"), percent)
     met = (groups.filter((F.col("cid") != F.col("lead")) & _long_enough(F.col("n"), F.col("lead_n"), percent) & near)
            .groupBy("cid", "lead").agg(F.count("*").alias("met"), F.min("n").alias("n"), F.min("lead_n").alias("lead_n")))
     rank = F.shiftleft("met", 40).bitwiseOR(_low("lead")).alias("rank")
@@ -188,17 +192,12 @@ def _second_round(scratch: Scratch, groups: DataFrame, labels: DataFrame, percen
     open_ = scratch.write(named.join(mixed.select("h"), "h"), "jaccard-open")
     a = open_.select("h", *[F.col(c).alias(f"{c}_a") for c in ("cid", "label", "n", "pos")])
     b = open_.select("h", *[F.col(c).alias(f"{c}_b") for c in ("cid", "label", "n", "pos")])
-    pairs = a.join(b, "h").filter((F.col("cid_a") < F.col("cid_b")) & (F.col("label_a") != F.col("label_b"))
-                                  & _long_enough(F.col("n_a"), F.col("n_b"), percent))
-    met = pairs.groupBy("cid_a", "cid_b", "n_a", "n_b").agg(
-        F.count("*").alias("met"), F.min("pos_a").alias("first_a"), F.min("pos_b").alias("first_b"),
-        F.max("pos_a").alias("last_a"), F.max("pos_b").alias("last_b"))
-    need = _overlap(F.col("n_a"), F.col("n_b"), percent)
-    ahead = F.least(F.col("n_a") - F.col("first_a"), F.col("n_b") - F.col("first_b"))
-    behind = F.least(F.col("n_a") - F.col("last_a"), F.col("n_b") - F.col("last_b")) - 1
-    return (met.filter((ahead >= need) & (F.col("met") + behind >= need))
-            .select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"),
-                    F.col("n_a").alias("na"), F.col("n_b").alias("nb")))
+    pairs = a.join(b, "h").filter(
+        (F.col("cid_a") < F.col("cid_b")) & (F.col("label_a") != F.col("label_b"))
+        & _long_enough(F.col("n_a"), F.col("n_b"), percent)
+        & _near(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b"), percent))
+    return (pairs.select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b"),
+                         F.col("n_a").alias("na"), F.col("n_b").alias("nb")).distinct())
 
 
 def _candidate_texts(texts: DataFrame, keys: DataFrame) -> DataFrame:
