@@ -36,9 +36,9 @@ from marquee.llm.rolling import scrambled, word_ngrams, word_values, words_betwe
 
 MAX_WORDS, MIN_COUNT, TOP, ABSORBED = 4, 30, 2000, 80
 #: Bytes of a chunk; of all chunks that a task fills; fingerprints of a bucket, on average.
-CHUNK, OPEN, BUCKET = 4 << 20, 32 << 20, 1 << 22
+CHUNK, OPEN, BUCKET = 1 << 20, 32 << 20, 1 << 22
 #: Phrases whose counts a task adds up before it hands them on.
-HELD = 500_000
+HELD = 300_000
 #: Parts in which a language's phrases are ranked before they meet.
 RANK_PARTS = 64
 #: Byte classes: A-Z lower-cased; ends of pieces become newlines, tabs blanks.
