@@ -31,6 +31,9 @@ def main(argv=None) -> int:
                     help="size shuffle partitions from the landed bytes (~256 MB each)")
     ap.add_argument("--json-multiline", action="store_true",
                     help="JSON feeds are documents spread over lines (default: found from the files)")
+    ap.add_argument("--csv-lines", action="store_true",
+                    help="no CSV value holds a line break (default: cut at record ends)")
+    ap.add_argument("--run-id", help="name of the run; started again, it does not append twice")
     a = ap.parse_args(argv)
 
     spark = get_spark("marquee")
@@ -40,10 +43,12 @@ def main(argv=None) -> int:
     store.prepare(spark)
     if a.step == "run":
         out = {"movie_360": pl.run_pipeline(spark, a.landing, store, a.parallelism,
-                                                 a.json_multiline or None)}
+                                                 a.json_multiline or None,
+                                                 False if a.csv_lines else None, a.run_id)}
     elif a.step == "bronze":
         out = {"rows": pl.run_bronze(spark, a.dataset, a.landing, store,
-                                          json_multiline=a.json_multiline or None)}
+                                          json_multiline=a.json_multiline or None,
+                                          csv_multiline=False if a.csv_lines else None)}
     elif a.step == "silver":
         out = {"rows": pl.run_silver(spark, a.dataset, store)}
     elif a.step == "gold":
@@ -51,7 +56,7 @@ def main(argv=None) -> int:
     elif a.step == "marts":
         out = {"movie_360": pl.run_marts(spark, store)}
     else:
-        out = {"rows": pl.record_run_metrics(spark, store)}
+        out = {"rows": pl.record_run_metrics(spark, store, run_id=a.run_id)}
     print(json.dumps(out))
     return 0
 

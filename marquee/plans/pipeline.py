@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from marquee.operators.marts import movie_360, table_counts, trending_titles
 from marquee.plans.registry import DATASETS, dataset
 from marquee.session import input_bytes, size_shuffle
-from marquee.sources.readers import read_feed
+from marquee.sources.readers import absent_fields, read_feed
 from marquee.sources.schemas import SILVER
 from marquee.sources.sinks import (
-    _APPEND_LOCK, AUDIT_TABLE, METRICS_TABLE, AuditLog, Store, write_feed, write_wrapped_json,
+    _APPEND_LOCK, AUDIT_TABLE, METRICS_TABLE, AuditLog, Store, remove_path, write_feed, write_wrapped_json,
 )
 
 log = logging.getLogger(__name__)
@@ -45,12 +45,28 @@ class _StepLog:
 
 
 def run_bronze(spark: SparkSession, name: str, landing: str, store: Store,
-               audit_log: AuditLog | None = None, json_multiline: bool | None = None) -> int:
-    """Read one landing feed as-is and replace its bronze table."""
+               audit_log: AuditLog | None = None, json_multiline: bool | None = None,
+               csv_multiline: bool | None = None) -> int:
+    """Read one landing feed as-is and replace its bronze table.
+
+    A feed with rows that never names one of its fields raises, and the old table stays: a renamed
+    field would else be nulls in every row.  What the write observes says which fields to look for,
+    so that a usual feed is not read for it."""
     ds = dataset(name)
+
+    def complete(seen: dict[str, int]) -> None:
+        empty = [c for c in columns if not seen[f"in_{c}"]] if seen["rows"] else []
+        if missing := absent_fields(spark, landing, name, empty):
+            raise ValueError(f"{name} feed lacks the fields {', '.join(missing)}")
+
     with _StepLog(spark, store, audit_log) as a:
-        n = store.write(read_feed(spark, landing, name, json_multiline), "bronze",
-                        ds.bronze_table)
+        feed = read_feed(spark, landing, name, json_multiline, csv_multiline)
+        columns = feed.columns
+        try:
+            n = store.write(feed, "bronze", ds.bronze_table, columns=columns, check=complete)
+        finally:
+            if getattr(feed, "scratch", None):
+                remove_path(spark, feed.scratch)
         a.add(name, "bronze", ds.bronze_table, n)
     log.info("bronze %s: %d rows", name, n)
     return n
@@ -124,21 +140,23 @@ def metrics_snapshot(spark: SparkSession, store: Store,
 
 def record_run_metrics(spark: SparkSession, store: Store,
                        audit_log: AuditLog | None = None,
-                       known: dict[str, int] | None = None) -> int:
-    """Append one snapshot row to gold.run_metrics (history, never replaced)."""
+                       known: dict[str, int] | None = None, run_id: str | None = None) -> int:
+    """Append one snapshot row to gold.run_metrics (history; only a run that is started again
+    under its ``run_id`` replaces its own row)."""
     with _APPEND_LOCK:
-        n = store.write(metrics_snapshot(spark, store, known).coalesce(1), "gold",
-                        METRICS_TABLE, mode="append")
+        n = store.append(metrics_snapshot(spark, store, known).coalesce(1), "gold",
+                         METRICS_TABLE, run_id)
     with _StepLog(spark, store, audit_log) as a:
         a.add("marts", "gold", METRICS_TABLE, n)
     return n
 
 
 def run_dataset(spark: SparkSession, name: str, landing: str, store: Store,
-                audit_log: AuditLog | None = None, json_multiline: bool | None = None) -> int | None:
+                audit_log: AuditLog | None = None, json_multiline: bool | None = None,
+                csv_multiline: bool | None = None) -> int | None:
     """bronze -> silver -> gold for one dataset; returns the silver rows written
     (None when silver was skipped)."""
-    b = run_bronze(spark, name, landing, store, audit_log, json_multiline)
+    b = run_bronze(spark, name, landing, store, audit_log, json_multiline, csv_multiline)
     n = run_silver(spark, name, store, audit_log, bronze_rows=b)
     if n is not None or store.exists(spark, "silver", name):
         run_gold(spark, name, store, audit_log)
@@ -146,25 +164,29 @@ def run_dataset(spark: SparkSession, name: str, landing: str, store: Store,
 
 
 def run_pipeline(spark: SparkSession, landing: str, store: Store, parallelism: int | None = None,
-                 json_multiline: bool | None = None) -> int:
+                 json_multiline: bool | None = None, csv_multiline: bool | None = None,
+                 run_id: str | None = None) -> int:
     """The whole run; returns the movie_360 row count.  The first failure in
     any dataset chain is raised after the others finish; audit rows of the
     steps that did finish are written either way.
 
+    A run that failed can be started again under the same ``run_id`` (a scheduler's name for
+    it): it leaves one audit row a step and one row of metrics, as if it had run once.
+
     Shuffles are sized from the landed bytes, unless the session sets a number of
     partitions other than Spark's default."""
     sized = spark.conf.get("spark.sql.shuffle.partitions") == SPARK_DEFAULT_PARTITIONS
     if sized:
         size_shuffle(spark, input_bytes(spark, landing))
     store.prepare(spark)
-    audit_log = AuditLog(spark, store)
+    audit_log = AuditLog(spark, store, run_id)
     try:
         with ThreadPoolExecutor(max_workers=parallelism or len(DATASETS)) as pool:
             futures = {ds: pool.submit(run_dataset, spark, ds, landing, store, audit_log,
-                                       json_multiline) for ds in DATASETS}
+                                       json_multiline, csv_multiline) for ds in DATASETS}
             silver_rows = {ds: f.result() for ds, f in futures.items()}
         n = run_marts(spark, store, audit_log)
-        record_run_metrics(spark, store, audit_log, known=silver_rows)
+        record_run_metrics(spark, store, audit_log, known=silver_rows, run_id=run_id)
     finally:
         audit_log.flush()
         if sized:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    ArrayType, BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
+    BooleanType, DateType, DoubleType, IntegerType, LongType, StringType, StructField, StructType,
 )
 
 
@@ -53,8 +53,3 @@ AUDIT = StructType([
     StructField("table_name", STR, True), StructField("total_rows", LONG, True),
     StructField("status", STR, True),
 ])
-
-# Wrapped watchlist feed: {"events": [ {...}, ... ]}
-WATCHLIST_WRAPPED = StructType([
-    StructField("events", ArrayType(BRONZE["watchlist"], True), True),
-])

@@ -144,7 +144,7 @@ def csv_records(spark: SparkSession, path: str, schema: StructType) -> DataFrame
         raise ValueError(f"{path}: a quoted value is not closed")
     cut = _written(rows.mapInPandas(_csv_cutter(schema.names), CUT), "csv-records")
     texts = cut.filter(F.col("kind") == RECORD).select("text").unionByName(stitched(cut))
-    parsed = F.from_csv("text", schema.simpleString()[7:-1].replace(":", " "), {"mode": "FAILFAST", "escape": '"'})
+    parsed = F.from_csv("text", ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema), {"mode": "FAILFAST", "escape": '"'})
     out = texts.select(parsed.alias("r")).select("r.*")
     out.scratch = cut.scratch
     return out
