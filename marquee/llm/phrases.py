@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -88,6 +89,7 @@ def sent(grams, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 CHUNKS = "lang string, raw binary, words long"
 SENT = "bucket long, chunk long, codes binary, many binary"
 MARKED = "chunk long, bucket long, bits binary"
+READ = "lang string, part long, phrases binary, counts binary"
 COUNTED = "lang string, n int, phrase string, f long"
 
 
@@ -160,47 +162,50 @@ def _marker(least: int):
     return mark
 
 
-def _parted(words: np.ndarray, places: np.ndarray, prints: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first place, count) of each distinct n-gram among ``places``: grouped by fingerprint, each
-    group checked word by word against its first occurrence; groups that hold several phrases
+def _parted(words: np.ndarray, places: np.ndarray, sizes: np.ndarray, group: np.ndarray, lead: np.ndarray):
+    """(place, size, count) of each distinct n-gram among occurrences that are grouped by fingerprint:
+    each is held word by word against its group's ``lead``, and groups that hold several phrases
     are parted by their words."""
-    _, first, group, count = np.unique(prints, return_index=True, return_inverse=True, return_counts=True)
-    lead = places[first]
-    same = np.ones(len(places), bool)
-    for k in range(n):
-        same &= words[places + k] == words[lead[group] + k]
+    padded = np.append(words, np.full(int(sizes.max()), -1))
+    top = lead[group]
+    same = sizes == sizes[top]
+    for k in range(int(sizes.max())):
+        same &= (sizes <= k) | (padded[places + k] == padded[places[top] + k])
+    count = np.bincount(group, minlength=len(lead))
     if same.all():
-        return lead, count
-    mixed = np.zeros(len(first), bool)
+        return places[lead], sizes[lead], count
+    mixed = np.zeros(len(lead), bool)
     mixed[group[~same]] = True
-    odd = places[mixed[group]]
-    _, at, times = np.unique(np.stack([words[odd + k] for k in range(n)], axis=1), axis=0,
-                             return_index=True, return_counts=True)
-    return np.concatenate([lead[~mixed], odd[at]]), np.concatenate([count[~mixed], times])
+    odd = np.flatnonzero(mixed[group])
+    rows = np.stack([np.where(sizes[odd] > k, padded[places[odd] + k], -1) for k in range(int(sizes.max()))], axis=1)
+    _, at, times = np.unique(rows, axis=0, return_index=True, return_counts=True)
+    first = np.concatenate([lead[~mixed], odd[at]])
+    return places[first], sizes[first], np.concatenate([count[~mixed], times])
 
 
 def phrases_of(raw: bytes, lang: str, bits: dict[int, bytes], buckets: int, longest: int) -> Iterator[tuple]:
     """(phrase, count) of the n-grams of a chunk whose fingerprints are marked."""
     _, _, grams = ngrams(np.frombuffer(raw, np.uint8), lang, longest)
-    keys, _ = sent(grams, buckets)
-    bucket = keys >> np.uint64(32)
-    marked = np.zeros(len(keys), bool)
+    keys = np.concatenate([dealt(prints, buckets) for _, prints in grams])
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.empty(0, int)
+    count, bucket = np.diff(np.append(first, len(keys))), keys[first] >> np.uint64(32)
+    marked = np.zeros(len(first), bool)
+    edges = np.searchsorted(bucket, np.arange(buckets + 1, dtype=np.uint64))
     for b, m in bits.items():
-        a, z = np.searchsorted(bucket, [b, b + 1])
+        a, z = edges[b], edges[b + 1]
         marked[a:z] = np.unpackbits(np.frombuffer(m, np.uint8), count=z - a).astype(bool)
-    keys = keys[marked]
-    if not len(keys):
+    if not marked.any():
         return
+    hit, often = order[np.repeat(marked, count)], count[marked]
+    places = np.concatenate([at for at, _ in grams])[hit]
+    sizes = np.repeat(np.arange(1, longest + 1), [len(at) for at, _ in grams])[hit]
+    group, lead = np.repeat(np.arange(len(often)), often), np.append(0, np.cumsum(often)[:-1])
     text = raw.split()
     words = pd.factorize(np.array(text, dtype=object))[0]
-    for n, (places, prints) in enumerate(grams, 1):
-        d = dealt(prints, buckets)
-        at = np.searchsorted(keys, d)
-        at[at == len(keys)] = 0
-        hit = keys[at] == d
-        if hit.any():
-            for p, c in zip(*(x.tolist() for x in _parted(words, places[hit], prints[hit], n))):
-                yield b" ".join(text[p:p + n]), c
+    for p, n, c in zip(*(x.tolist() for x in _parted(words, places, sizes, group, lead))):
+        yield b" ".join(text[p:p + n]), c
 
 
 def _reader(buckets: int, longest: int):
@@ -209,12 +214,12 @@ def _reader(buckets: int, longest: int):
 
         def flush() -> Iterator[pd.DataFrame]:
             for lang, f in held.items():
-                phrases, f = list(f), np.fromiter(f.values(), np.int64, len(f))
-                for at in range(0, len(phrases), 50_000):
-                    some = phrases[at:at + 50_000]
-                    yield pd.DataFrame({"lang": lang, "n": [p.count(b" ") + 1 for p in some],
-                                        "phrase": [p.decode("utf-8", "surrogatepass") for p in some],
-                                        "f": f[at:at + 50_000]})
+                parts: dict[int, list[bytes]] = {}
+                for phrase in f:
+                    parts.setdefault(crc32(phrase) % buckets, []).append(phrase)
+                yield pd.DataFrame(
+                    [(lang, part, b"\n".join(some), np.array([f[p] for p in some], "<i8").tobytes())
+                     for part, some in parts.items()], columns=["lang", "part", "phrases", "counts"])
             held.clear()
 
         for b in batches:
@@ -228,6 +233,18 @@ def _reader(buckets: int, longest: int):
     return read
 
 
+def _adder(least: int):
+    def add(b: pd.DataFrame) -> pd.DataFrame:
+        f: dict[bytes, int] = {}
+        for phrases, counts in zip(b["phrases"], b["counts"]):
+            for phrase, count in zip(phrases.split(b"\n"), np.frombuffer(counts, "<i8").tolist()):
+                f[phrase] = f.get(phrase, 0) + count
+        rows = [(b["lang"].iloc[0], p.count(b" ") + 1, p.decode("utf-8", "surrogatepass"), c)
+                for p, c in f.items() if c >= least]
+        return pd.DataFrame(rows, columns=["lang", "n", "phrase", "f"])
+    return add
+
+
 def frequent_phrases(scratch: Scratch, df: DataFrame, text: Column, lang: Column, longest: int = MAX_WORDS,
                      least: int = MIN_COUNT) -> tuple[DataFrame, DataFrame]:
     """(phrases, totals): lang, n, phrase and f, its exact count, of all phrases of 1 to ``longest``
@@ -244,8 +261,8 @@ def frequent_phrases(scratch: Scratch, df: DataFrame, text: Column, lang: Column
     marks = scratch.write(prints.groupBy("bucket").applyInPandas(_marker(least), MARKED), "phrase-marks")
     back = marks.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "bits")).alias("marks"))
     counted = (chunks.join(back, "chunk").select("lang", "raw", "marks")
-               .mapInPandas(_reader(buckets, longest), COUNTED))
-    phrases = counted.groupBy("lang", "n", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+               .mapInPandas(_reader(buckets, longest), READ))
+    phrases = counted.groupBy("lang", "part").applyInPandas(_adder(least), COUNTED)
     return scratch.write(phrases, "phrases"), totals
 
 

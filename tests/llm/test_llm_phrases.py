@@ -101,11 +101,18 @@ def test_the_first_of_each_language(spark):
 
 def test_colliding_fingerprints_are_parted():
     words = np.array([0, 1, 2, 0, 1, 2, 0, 1])
-    places = np.array([0, 1, 3, 4, 6])                  # 01 12 01 12 01
-    lead, count = ph._parted(words, places, np.full(5, 9, np.uint64), 2)
-    assert sorted(zip(lead.tolist(), count.tolist())) == [(0, 3), (1, 2)]
-    lead, count = ph._parted(words, places, np.array([1, 2, 1, 2, 1], np.uint64), 2)
-    assert sorted(zip(lead.tolist(), count.tolist())) == [(0, 3), (1, 2)]
+    places, sizes = np.array([0, 1, 3, 4, 6, 0, 3]), np.array([2, 2, 2, 2, 2, 1, 1])   # 01 12 01 12 01 0 0
+
+    def parted(group):
+        group = np.array(group)
+        order = np.argsort(group, kind="stable")
+        lead = np.searchsorted(group[order], np.unique(group))
+        got = ph._parted(words, places[order], sizes[order], group[order], lead)
+        return sorted((tuple(words[p:p + n].tolist()), c) for p, n, c in zip(*(x.tolist() for x in got)))
+    want = [((0,), 2), ((0, 1), 3), ((1, 2), 2)]
+    assert parted([0, 1, 0, 1, 0, 2, 2]) == want
+    assert parted([0, 0, 0, 0, 0, 0, 0]) == want
+    assert parted([0, 1, 0, 1, 0, 1, 1]) == want
 
 
 def test_shared_fingerprints_change_nothing(spark, tmp, monkeypatch):
