@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import re
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,6 +66,12 @@ ASCII_LOWER = {ord("A") + i: ord("a") + i for i in range(26)}
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+def row_sums(x: np.ndarray) -> np.ndarray:
+    """Each row's sum, correctly rounded: the same for equal rows wherever they stand in a batch
+    (a matrix product rounds by the row's place)."""
+    return np.array([math.fsum(row) for row in x.tolist()], dtype=float)
+
+
 class Scratch:
     """Scope of a job: tables written in it are deleted at its end, but for those that are
     kept, and the session's Arrow batch size is the job's only while it runs.

@@ -72,6 +72,16 @@ def kernel(x: np.ndarray, landmarks: np.ndarray) -> np.ndarray:
     return x @ landmarks.T
 
 
+def outputs(x: np.ndarray, marks: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Each language's output for texts (rows of ``matrix``).  Shared n-grams are whole numbers and
+    so exact in any order; the rest is summed landmark by landmark, so that equal texts get
+    equal outputs wherever they stand in a batch."""
+    x, marks = x > 0, marks > 0
+    same = (x.astype(np.float32) @ marks.T.astype(np.float32)).astype(np.float64)
+    k = same / np.sqrt(np.outer(np.maximum(x.sum(axis=1), 1), np.maximum(marks.sum(axis=1), 1)))
+    return (k[:, :, None] * w).sum(axis=1)
+
+
 def solve(k_mm: np.ndarray, k_nm: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> np.ndarray:
     """Weights over landmarks: Nystroem features of the kernel, then ridge regression."""
     values, vectors = np.linalg.eigh(k_mm.astype(np.float64))
@@ -137,7 +147,7 @@ def predict(docs: DataFrame, text: Column, model: dict | None) -> Column:
         rows = [i for i, t in enumerate(texts) if m is not None and has_letters(t)]
         for a in range(0, len(rows), ROWS):
             part = rows[a:a + ROWS]
-            out = kernel(matrix([texts.iloc[i] for i in part]), m["marks"]) @ m["w"]
+            out = outputs(matrix([texts.iloc[i] for i in part]), m["marks"], m["w"])
             best, pos = out.argmax(axis=1), np.maximum(out, 0)
             share = pos.max(axis=1) / np.maximum(pos.sum(axis=1), 1e-9)
             for i, b, s in zip(part, best, share):

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import crc_mod, small_batches, table
+from marquee.llm.common import crc_mod, row_sums, small_batches, table
 
 SAMPLE, PAIRS, SEED, RIDGE = 8000, 60_000, 11, 1e-3
 _SYMBOLS = np.frombuffer(b"*#%&$@~^<>{}[]\\/=+_", np.uint8)
@@ -92,7 +92,7 @@ def fit(x: np.ndarray, y: np.ndarray, pairs: int = PAIRS, seed: int = SEED,
 def scores(model: dict | None, x: np.ndarray) -> np.ndarray:
     if model is None:
         return np.full(len(x), 0.5)
-    s = ((x - model["mean"]) / model["scale"]) @ model["w"] - model["cut"]
+    s = row_sums((x - model["mean"]) / model["scale"] * model["w"]) - model["cut"]
     return 1 / (1 + np.exp(-np.clip(s, -30, 30)))
 
 

@@ -37,7 +37,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import LETTERS, crc_mod, small_batches, table
+from marquee.llm.common import LETTERS, crc_mod, row_sums, small_batches, table
 from marquee.llm.quality import labelled
 
 SAMPLE, STEMS, SHORTEST, LONGEST, MIN_G = 15_000, 3000, 3, 8, 25.0
@@ -305,7 +305,7 @@ def toxicity_score(docs: DataFrame, text: Column, model: dict) -> Column:
         grammar = Grammar(m["lexicon"])
         for texts in batches:
             x = np.array([grammar.features(t) for t in texts]).reshape(-1, len(m["w"]) - 1)
-            z = x @ m["w"][:-1] + m["w"][-1]
+            z = row_sums(x * m["w"][:-1]) + m["w"][-1]
             yield pd.Series(1 / (1 + np.exp(-np.clip(z, -30, 30))))
     return score(text)
 
