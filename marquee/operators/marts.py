@@ -54,6 +54,36 @@ def fact_ratings(ratings: DataFrame) -> DataFrame:
                         F.countDistinct("user_id").alias("unique_raters")))
 
 
+def rating_state(ratings: DataFrame) -> DataFrame:
+    """``fact_ratings`` as partial state that merges: per title and bucket of 32,768 user ids, a bitmap
+    of the raters, the scored ratings and the exact sum of their scores.  Ratings without a user
+    have a bucket of their own, without a bitmap."""
+    score = F.col("score").cast("decimal(20,10)")
+    return (ratings.where(F.col("score").isNotNull())
+                   .groupBy("movie_key", F.bitmap_bucket_number("user_id").alias("bucket"))
+                   .agg(F.bitmap_construct_agg(F.bitmap_bit_position("user_id")).alias("raters"),
+                        _rows().alias("ratings"), F.sum(score).alias("score_sum")))
+
+
+def merge_rating_states(*states: DataFrame) -> DataFrame:
+    """One state for the ratings of all: a rater who is in several counts once.  The ratings
+    themselves must differ, and are not read again."""
+    both = reduce(DataFrame.unionByName, states)
+    return (both.groupBy("movie_key", "bucket")
+                .agg(F.bitmap_or_agg("raters").alias("raters"), F.sum("ratings").alias("ratings"),
+                     F.sum("score_sum").cast("decimal(30,10)").alias("score_sum")))
+
+
+def fact_ratings_of(state: DataFrame) -> DataFrame:
+    """``fact_ratings`` of a state, with exact numbers of distinct raters."""
+    raters = F.when(F.col("bucket").isNotNull(), F.bitmap_count("raters")).otherwise(0)
+    average = F.sum("score_sum") / F.sum("ratings").cast("decimal(20,0)")
+    return state.groupBy("movie_key").agg(
+        F.sum("ratings").alias("rating_count"),
+        F.round(average.cast("decimal(24,14)"), 2).cast("double").alias("avg_score"),
+        F.sum(raters).alias("unique_raters"))
+
+
 def review_summary(reviews: DataFrame) -> DataFrame:
     return (reviews.where(F.col("movie_key").isNotNull())
                    .groupBy("movie_key")

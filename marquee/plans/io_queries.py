@@ -128,6 +128,18 @@ def q_sink_ctas_roundtrip(spark, d):
     return store.read(spark, "gold", "fact_ratings")
 
 
+def q_fact_ratings_merged(spark, d):
+    """Two runs' ratings as stored states: the second merges with the first's, not its ratings."""
+    from marquee.operators.cleaners import clean_ratings
+    store = Store(scratch_path(spark, "lake"))
+    silver = clean_ratings(fx.bronze(spark, d, "ratings"))
+    first = F.coalesce(F.col("rating_id") % 3 != 0, F.lit(True))
+    store.write(mt.rating_state(silver.where(first)), "gold", "rating_state")
+    store.write(mt.merge_rating_states(store.read(spark, "gold", "rating_state"),
+                                       mt.rating_state(silver.where(~first))), "gold", "rating_state")
+    return mt.fact_ratings_of(store.read(spark, "gold", "rating_state"))
+
+
 def q_observed_count(spark, d):
     """Rows written per silver table, as counted by the write's observation."""
     landing = _landing(spark, d)
@@ -234,6 +246,7 @@ def io_queries() -> dict:
     qs.update({
         "sink_bronze_roundtrip": q_sink_bronze_roundtrip,
         "sink_ctas_roundtrip": q_sink_ctas_roundtrip,
+        "fact_ratings_merged": q_fact_ratings_merged,
         "observed_count": q_observed_count,
         "bronze_step": q_bronze_step,
         "bronze_indented_watchlist": q_bronze_indented_watchlist,
@@ -298,6 +311,7 @@ def io_oracles() -> dict[str, str]:
         "roundtrip_parquet": silver_movies,
         "sink_bronze_roundtrip": o.bronze_sql("users"),
         "sink_ctas_roundtrip": o.gold_sql("fact_ratings"),
+        "fact_ratings_merged": o.gold_sql("fact_ratings"),
         "observed_count": "\nUNION ALL\n".join(
             f"SELECT '{ds}' AS dataset, CAST(COUNT(*) AS BIGINT) AS silver_rows "
             f"FROM ({o.silver_sql(ds)})" for ds in DATASETS),

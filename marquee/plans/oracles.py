@@ -384,15 +384,15 @@ GOLD_BODY = {
     "genre_summary": f"""SELECT g AS genre, type, CAST(SUM(n) AS BIGINT) AS titles,
         {exact_avg('SUM(r)', 'SUM(nr)', 10000, 2)} AS avg_rating,
         {exact_avg('SUM(m)', 'SUM(nm)', 1, 0)} AS avg_runtime_min
-        FROM (SELECT genre, type, COUNT(*) AS n, CASE WHEN genre IS NULL THEN 'Unknown' ELSE genre END AS g,
+        FROM (SELECT genre, type, COUNT(*) AS n, COALESCE(genre, 'Unknown') AS g,
               COALESCE(SUM(CAST(ROUND(rating * 10000) AS HUGEINT)), 0) AS r, COUNT(rating) AS nr,
               COALESCE(SUM(CAST(runtime_min AS HUGEINT)), 0) AS m, COUNT(runtime_min) AS nm
               FROM s_movies GROUP BY genre, type) GROUP BY ALL""",
     "fact_ratings": f"""SELECT movie_key, CAST(SUM(n) AS BIGINT) AS rating_count,
         {exact_avg('SUM(s)', 'SUM(n)', 10000, 2)} AS avg_score, COUNT(user_id) AS unique_raters
         FROM (SELECT movie_key, user_id, COUNT(*) AS n, SUM(CAST(ROUND(score * 10000) AS HUGEINT)) AS s
-              FROM s_ratings WHERE NOT score IS NULL GROUP BY ALL) GROUP BY movie_key""",
-    "review_summary": tally("(SELECT * FROM s_reviews WHERE NOT movie_key IS NULL)", "movie_key",
+              FROM s_ratings WHERE score IS NOT NULL GROUP BY ALL) GROUP BY movie_key""",
+    "review_summary": tally("(SELECT * FROM s_reviews WHERE movie_key IS NOT NULL)", "movie_key",
                             "sentiment", "review_count",
                             {"positive": "positive", "negative": "negative"}),
     "score_summary": """SELECT i.movie_key, i.imdb_score, r.rt_score
@@ -401,13 +401,13 @@ GOLD_BODY = {
         JOIN (SELECT * FROM s_scores QUALIFY ROW_NUMBER() OVER (
               PARTITION BY movie_key ORDER BY rt_score DESC NULLS LAST) = 1) r
         ON i.movie_key = r.movie_key""",
-    "title_popularity": tally("(SELECT * FROM s_watchlist WHERE NOT movie_key IS NULL)", "movie_key",
+    "title_popularity": tally("(SELECT * FROM s_watchlist WHERE movie_key IS NOT NULL)", "movie_key",
                               "action", "", {"adds": "add", "removes": "remove"}),
-    "awards_won": tally("(SELECT * FROM s_awards WHERE NOT movie_key IS NULL)", "movie_key", "result",
+    "awards_won": tally("(SELECT * FROM s_awards WHERE movie_key IS NOT NULL)", "movie_key", "result",
                         "", {"wins": "won", "nominations": "nominated"}),
     "users_by_country": tally(
-        """(SELECT IFNULL(country, 'Unknown') AS country,
-            CASE is_premium WHEN TRUE THEN 'paid' ELSE 'free' END AS kind FROM s_users)""",
+        """(SELECT COALESCE(country, 'Unknown') AS country,
+            CASE WHEN is_premium THEN 'paid' ELSE 'free' END AS kind FROM s_users)""",
         "country", "kind", "users", {"premium_users": "paid"}),
 }
 
@@ -447,7 +447,7 @@ MOVIE_360 = with_(*M360_CTES) + "SELECT * FROM m360"
 
 TRENDING = with_(*M360_CTES) + """SELECT * EXCLUDE (place) FROM (
   SELECT movie_key, title, genre, watchlist_adds, user_avg_score, award_wins,
-         ROW_NUMBER() OVER (ORDER BY IFNULL(watchlist_adds, 0) DESC, IFNULL(user_avg_score, 0) DESC,
+         ROW_NUMBER() OVER (ORDER BY COALESCE(watchlist_adds, 0) DESC, COALESCE(user_avg_score, 0) DESC,
                             movie_key NULLS FIRST) AS place FROM m360) WHERE place <= 20"""
 
 LEFT_JOIN_RATINGS = with_(*silver("movies", "ratings"), gold_cte("fact_ratings")) + """

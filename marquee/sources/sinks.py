@@ -45,32 +45,35 @@ def write_feed(df: DataFrame, path: str, fmt: str, mode: str = "overwrite",
         getattr(w, fmt)(path)
 
 
-def write_wrapped_json(df: DataFrame, path: str, field: str = "events",
-                       rows_per_doc: int = 10_000, mode: str = "overwrite") -> None:
+def write_wrapped_json(df: DataFrame, path: str, field: str = "events", rows_per_doc: int = 10_000,
+                       mode: str = "overwrite", bytes_per_doc: int = 64 << 20) -> None:
     """JSON documents ``{"<field>": [row, ...]}``, one per line, each holding at
-    most ``rows_per_doc`` rows -- the wrapped layout without ever gathering the whole
-    feed into one document."""
-    wrapped(df, field, rows_per_doc).select(field).write.mode(mode).json(path)
+    most ``rows_per_doc`` rows, and no more than one row beyond ``bytes_per_doc`` -- the wrapped
+    layout without ever gathering the whole feed into one document."""
+    wrapped(df, field, rows_per_doc, bytes_per_doc).select(field).write.mode(mode).json(path)
 
 
-def write_indented_json(df: DataFrame, path: str, field: str = "events",
-                        rows_per_doc: int = 10_000, mode: str = "overwrite") -> None:
+def write_indented_json(df: DataFrame, path: str, field: str = "events", rows_per_doc: int = 10_000,
+                        mode: str = "overwrite", bytes_per_doc: int = 64 << 20) -> None:
     """The wrapped layout as indented documents, each in a file of its own."""
-    docs = wrapped(df, field, rows_per_doc)
+    docs = wrapped(df, field, rows_per_doc, bytes_per_doc)
     (docs.select(F.concat_ws("-", "__hash", "__doc").alias("doc"),
                  F.to_json(F.struct(field), {"pretty": "true"}).alias("value"))
          .repartition("doc").write.mode(mode).partitionBy("doc").text(path))
 
 
-def wrapped(df: DataFrame, field: str, rows_per_doc: int) -> DataFrame:
+def wrapped(df: DataFrame, field: str, rows_per_doc: int, bytes_per_doc: int = 64 << 20) -> DataFrame:
     """Rows gathered into documents: by a hash of the row, which is the same whenever a
-    task runs again, and then in order, ``rows_per_doc`` at a time."""
+    task runs again, and then in order, cut by the number and by the JSON bytes of the rows before."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     row = F.struct(*df.columns)
-    keyed = df.select(row.alias("__row"), F.pmod(F.xxhash64(row), F.lit(n)).alias("__hash"))
-    place = F.row_number().over(Window.partitionBy("__hash").orderBy("__row")) - 1
-    return (keyed.withColumn("__place", place).withColumn("__doc", F.expr(f"__place div {int(rows_per_doc)}"))
-            .groupBy("__hash", "__doc").agg(F.collect_list("__row").alias(field)))
+    keyed = df.select(row.alias("__row"), F.pmod(F.xxhash64(row), F.lit(n)).alias("__hash"),
+                      F.octet_length(F.to_json(row)).alias("__bytes"))
+    before = Window.partitionBy("__hash").orderBy("__row").rowsBetween(Window.unboundedPreceding, -1)
+    place = keyed.select("__row", "__hash", F.count("__bytes").over(before).alias("__rows"),
+                         F.coalesce(F.sum("__bytes").over(before), F.lit(0)).alias("__size"))
+    doc = F.concat_ws("-", F.expr(f"__size div {int(bytes_per_doc)}"), F.expr(f"__rows div {int(rows_per_doc)}"))
+    return (place.groupBy("__hash", doc.alias("__doc")).agg(F.collect_list("__row").alias(field)))
 
 
 # ---- layer tables (W1, W3, W8) ---------------------------------------------
