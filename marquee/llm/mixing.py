@@ -73,7 +73,6 @@ def leaf_budgets(leaves: DataFrame, total: float, weights: dict[tuple, float],
     ``weights`` maps a path, (domain,), (domain, lang) or (domain, lang, source), to its
     weight among its siblings; other nodes weigh 1.
     """
-    tree = leaves.withColumn("cap", F.col("tokens").cast("double") * max_epochs)
     paths = {len(p): {} for p in weights}
     for p, w in weights.items():
         if not w >= 0:
@@ -89,6 +88,10 @@ def leaf_budgets(leaves: DataFrame, total: float, weights: dict[tuple, float],
             out = F.when(cond, F.lit(w)).otherwise(out)
         return out
 
+    # what a node can take is what its leaves can reach: none below a weight of 0
+    open_ = reduce(lambda a, b: a & b, [weight(d) > 0 for d in range(1, len(LEVELS) + 1)])
+    tree = leaves.withColumn("cap", F.when(open_, F.col("tokens").cast("double") * max_epochs)
+                             .otherwise(F.lit(0.0)))
     got, budget = None, F.lit(float(total))
     for depth in range(1, len(LEVELS) + 1):
         keys, parent = list(LEVELS[:depth]), list(LEVELS[:depth - 1])

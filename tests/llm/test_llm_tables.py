@@ -108,6 +108,9 @@ def slow_fill(children, budget):
 def slow_budgets(leaves, total, weights, epochs):
     out = {}
 
+    def reached(leaf):
+        return all(weights.get(leaf[:k], 1.0) > 0 for k in (1, 2, 3))
+
     def down(prefix, budget):
         depth = len(prefix)
         if depth == 3:
@@ -116,7 +119,7 @@ def slow_budgets(leaves, total, weights, epochs):
         kids = defaultdict(float)
         for leaf, tokens in leaves.items():
             if leaf[:depth] == prefix:
-                kids[leaf[:depth + 1]] += tokens * epochs
+                kids[leaf[:depth + 1]] += tokens * epochs * reached(leaf)
         share = slow_fill({k: (weights.get(k, 1.0), c) for k, c in kids.items()}, budget)
         for k in kids:
             down(k, share[k])
@@ -142,6 +145,30 @@ def test_budgets_match_water_filling(spark, seed):
         assert got[k] == pytest.approx(want[k], abs=1e-5), (k, seed)
 
 
+def test_budget_of_a_closed_branch_reaches_the_ancestors(spark):
+    leaves = {("A", "en", "x"): 1000, ("A", "de", "x"): 10, ("B", "en", "x"): 5000}
+    df = spark.createDataFrame([(*k, v) for k, v in leaves.items()],
+                               "domain string, lang string, source string, tokens long")
+    got = {(r.domain, r.lang): r.budget
+           for r in mixing.leaf_budgets(df, 1000, {("A", "en"): 0.0}, 1).collect()}
+    assert got == {("A", "en"): 0, ("A", "de"): 10, ("B", "en"): 990}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_budgets_with_zeros_at_every_level(spark, seed):
+    rng = random.Random(100 + seed)
+    leaves = {(d, la, s): rng.choice([5, 50, 500, 3000]) for d in ("d1", "d2", "d3", None)
+              for la in ("en", "de", None) for s in ("a", "b", None)}
+    nodes = sorted({k[:n] for k in leaves for n in (1, 2, 3)}, key=str)
+    weights = {k: rng.choice([0.0, 0.0, 1.0, 4.0]) for k in rng.sample(nodes, len(nodes) // 2)}
+    df = spark.createDataFrame([(*k, v) for k, v in leaves.items()],
+                               "domain string, lang string, source string, tokens long")
+    got = {(r.domain, r.lang, r.source): r.budget
+           for r in mixing.leaf_budgets(df, 9000, weights, 2).collect()}
+    want = slow_budgets(leaves, 9000, weights, 2)
+    assert got == {k: pytest.approx(v, abs=1e-5) for k, v in want.items()}
+
+
 def run_mix(df, total, weights, epochs):
     return mixing.mix(df, total, weights, F.lit("d"), F.col("lang"), F.col("source"),
                       F.col("doc_id"), F.col("text"), max_epochs=epochs)
