@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 import re
+from contextvars import ContextVar
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from marquee.session import scratch_path
 
@@ -51,6 +53,22 @@ def packed(df: DataFrame, **internal: Column) -> DataFrame:
                      *[c.alias(k) for k, c in internal.items()])
 
 
+def _has_map(t: T.DataType) -> bool:
+    if isinstance(t, T.StructType):
+        return any(_has_map(f.dataType) for f in t.fields)
+    return isinstance(t, T.MapType) or isinstance(t, T.ArrayType) and _has_map(t.elementType)
+
+
+def has_maps(df: DataFrame) -> bool:
+    return _has_map(df.schema)
+
+
+def orderable(df: DataFrame) -> Column:
+    """The row as a struct that Spark can sort: columns that hold maps are their JSON."""
+    return F.struct(*[F.to_json(F.struct(F.col(f"`{f.name}`"))) if _has_map(f.dataType)
+                      else F.col(f"`{f.name}`") for f in df.schema])
+
+
 def crc_mod(col: str, n: int) -> Column:
     """crc32 of the decimal text of an id, modulo ``n`` (null for a null id)."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % n
@@ -77,7 +95,10 @@ class Scratch:
     kept, and the session's Arrow batch size is the job's only while it runs.
 
     Whatever Python stage a job has must therefore run inside its scope: results leave it as
-    kept tables, or as plans over them without Python."""
+    kept tables, or as plans over them without Python.  What a scope inside another one keeps
+    lives until the outer one ends."""
+
+    _outer: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
 
     def __init__(self, spark: SparkSession, rows: int = ARROW_ROWS):
         self.spark, self.rows, self.tables = spark, rows, []
@@ -85,6 +106,8 @@ class Scratch:
     def __enter__(self) -> Scratch:
         self.before = self.spark.conf.get(_BATCH)
         self.batch(self.rows)
+        self.around = Scratch._outer.get()
+        self.token = Scratch._outer.set(self)
         return self
 
     def batch(self, rows: int) -> None:
@@ -101,9 +124,12 @@ class Scratch:
 
     def keep(self, df: DataFrame) -> DataFrame:
         self.tables = [t for t in self.tables if t is not df]
+        if self.around is not None:
+            self.around.adopt(df)
         return df
 
     def __exit__(self, *failure) -> None:
+        Scratch._outer.reset(self.token)
         self.spark.conf.set(_BATCH, self.before)
         forget(*self.tables)
 

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from marquee.llm.common import forget, packed, small_batches, table, written
+from marquee.llm.common import Scratch, forget, orderable, packed, table, written
 
 SHINGLE, MAX_BITS, HASH_SEED = 3, 2, 42
 #: Home fingerprints of a shard, on average; and of a leaf of its local tree.
@@ -170,7 +170,10 @@ def forest(n: int, links: Iterator[tuple[np.ndarray, np.ndarray]]) -> np.ndarray
 
 def near_links(prints: DataFrame, max_bits: int = MAX_BITS, seed: int = 7) -> DataFrame:
     """``prints``: distinct ``fp``.  Edges (fp, root) that join all fingerprints within
-    ``max_bits`` bits of each other, directly or by way of others of a shard."""
+    ``max_bits`` bits of each other, directly or by way of others of a shard.
+
+    A fingerprint visits only shards numbered above its home: of two near ones with different
+    homes each one's ball holds the other, so the one of the lower home meets the other there."""
     spark = prints.sparkSession
     n = prints.count()
     n_shards = max(1, math.ceil(n / SHARD))
@@ -185,7 +188,10 @@ def near_links(prints: DataFrame, max_bits: int = MAX_BITS, seed: int = 7) -> Da
         for b in batches:
             fps = b["fp"].to_numpy(np.int64)
             i, shard, home = visits(shared.value, fps.view(np.uint64), max_bits)
-            yield pd.DataFrame({"shard": shard, "fp": fps[i], "home": home})
+            own = np.empty(len(fps), np.int64)
+            own[i[home]] = shard[home]
+            go = shard >= own[i]
+            yield pd.DataFrame({"shard": shard[go], "fp": fps[i[go]], "home": home[go]})
 
     def search(b: pd.DataFrame) -> pd.DataFrame:
         b = b.sort_values("fp")
@@ -227,39 +233,55 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(df: DataFrame, id_: Column, text: Column, shingle: int = SHINGLE,
                     max_bits: int = MAX_BITS, seed: int = HASH_SEED) -> DataFrame:
     """One row a document: ``id``, ``fp`` (signed 64 bits), ``component_id``; and ``group``, which
-    tells components apart even without ids, and ``th``, a hash of the text."""
-    spark = df.sparkSession
-    small_batches(spark)
-    prints = written(df.select(id_.alias("id"), fingerprint_udf(shingle, seed)(text).alias("fp"),
-                               F.xxhash64(text).alias("th")), "fingerprints")
-    classes = written(prints.groupBy("fp").agg(F.min("id").alias("least")), "print-classes")
-    links = written(near_links(classes, max_bits), "print-links")
-    label = components(links)
+    tells components apart even without ids, and ``th``, a hash of the text.  A join of two
+    written tables, which stay; all others are deleted."""
+    with Scratch(df.sparkSession) as scratch:
+        prints, of = _near(scratch, df, id_, text, shingle, max_bits, seed)
+        return _joined(scratch.keep(prints), scratch.keep(of))
+
+
+def _near(scratch: Scratch, df: DataFrame, id_: Column, text: Column, shingle: int = SHINGLE,
+          max_bits: int = MAX_BITS, seed: int = HASH_SEED) -> tuple[DataFrame, DataFrame]:
+    """Documents with their fingerprints, and fingerprints with their components."""
+    prints = scratch.write(df.select(
+        id_.alias("id"), fingerprint_udf(shingle, seed)(text).alias("fp"),
+        F.xxhash64(text).alias("th")), "fingerprints")
+    classes = scratch.write(prints.groupBy("fp").agg(F.min("id").alias("least")), "print-classes")
+    links = scratch.write(near_links(classes, max_bits), "print-links")
+    label = scratch.adopt(components(links))
     small = (classes.join(label, "fp", "left")
              .withColumn("label", F.coalesce("label", "fp")))
     least = small.groupBy("label").agg(F.min("least").alias("component_id"))
-    of = written(small.join(least, "label").select("fp", "component_id", F.col("label").alias("group")),
-                 "print-components")
+    of = scratch.write(small.join(least, "label").select(
+        "fp", "component_id", F.col("label").alias("group")), "print-components")
+    return prints, of
+
+
+def _joined(prints: DataFrame, of: DataFrame) -> DataFrame:
     return prints.join(of, "fp").select("id", "fp", "component_id", "group", "th")
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", text: str = "text", **params) -> DataFrame:
     """``df`` with one document of each group: the one of the smallest id (a group without ids
     keeps one as well), and of several texts under that id the one of the smallest hash.
-    Of rows of one id and text, the first in row order stands for all."""
-    dup = written(near_duplicates(df, F.col(f"`{key}`"), F.col(f"`{text}`"), **params), "near")
-    first = F.struct(F.col("id").isNull().alias("none"), "id", "th", "n")
-    stay = written(dup.groupBy("group", "id", "th").agg(F.count("*").alias("n"))
-                   .groupBy("group").agg(F.min(first).alias("m")).select("m.id", "m.th", "m.n"),
-                   "near-kept")
-    repeated = stay.filter("n > 1").limit(1).count() > 0
+    Of rows of one id and text, the first in row order stands for all (map columns: by
+    their JSON)."""
+    with Scratch(df.sparkSession) as scratch:
+        dup = _joined(*_near(scratch, df, F.col(f"`{key}`"), F.col(f"`{text}`"), **params))
+        first = F.struct(F.col("id").isNull().alias("none"), "id", "th", "n")
+        stay = scratch.keep(scratch.write(
+            dup.groupBy("group", "id", "th").agg(F.count("*").alias("n"))
+            .groupBy("group").agg(F.min(first).alias("m")).select("m.id", "m.th", "m.n"),
+            "near-kept"))
+        repeated = stay.filter("n > 1").limit(1).count() > 0
     same = F.col("id").eqNullSafe(F.col("stay")) & (F.col("th") == F.col("stay_th"))
     # one plan at every size: texts meet the ids that stay by a shuffle, never by broadcast
     ids = stay.select(F.col("id").alias("stay"), F.col("th").alias("stay_th")).hint("merge")
-    rows = packed(df, id=F.col(f"`{key}`"), th=F.xxhash64(F.col(f"`{text}`")))
+    place = {"place": orderable(df)} if repeated else {}
+    rows = packed(df, id=F.col(f"`{key}`"), th=F.xxhash64(F.col(f"`{text}`")), **place)
     kept = rows.join(ids, same, "left_semi")
     if repeated:
-        kept = kept.groupBy("id", "th").agg(F.min("row").alias("row"))
+        kept = kept.groupBy("id", "th").agg(F.min_by("row", "place").alias("row"))
     return kept.select("row.*")
 
 
