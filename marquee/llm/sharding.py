@@ -21,7 +21,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import packed, written
+from marquee.llm.common import Scratch, has_maps, orderable, packed
 
 #: Text bytes one bucket holds on average; a bucket is shuffled in one task's memory.
 BUCKET_BYTES = 8 << 20
@@ -54,37 +54,52 @@ def shard_documents(df: DataFrame, n_shards: int, key: str = "doc_id", text: str
     """
     if n_shards < 1:
         raise ValueError("n_shards must be positive")
+    with Scratch(df.sparkSession) as scratch:
+        return _sharded(scratch, df, n_shards, F.col(f"`{key}`"), F.col(f"`{text}`"), seed,
+                        bucket_bytes)
+
+
+def _sharded(scratch: Scratch, df: DataFrame, n_shards: int, k: Column, t: Column, seed: int,
+             bucket_bytes: int) -> DataFrame:
     spark = df.sparkSession
-    k, t = F.col(f"`{key}`"), F.col(f"`{text}`")
     shard = rendezvous(k, n_shards, seed)
-    plan = written(df.groupBy(shard.alias("shard")).agg(F.sum(text_bytes(t)).alias("bytes"))
-                   .withColumn("buckets", F.ceil(F.col("bytes") / bucket_bytes)), "shard-sizes")
+    plan = scratch.write(
+        df.groupBy(shard.alias("shard")).agg(F.sum(text_bytes(t)).alias("bytes"))
+        .withColumn("buckets", F.ceil(F.col("bytes") / bucket_bytes)), "shard-sizes")
     total, n_buckets = plan.agg(F.coalesce(F.sum("bytes"), F.lit(0)),
                                 F.coalesce(F.sum("buckets"), F.lit(0))).first()
     small = F.broadcast if n_buckets <= BROADCAST_BUCKETS else (lambda x: x)
     scatter = F.xxhash64(F.lit(seed + 2), k, t, F.spark_partition_id())
-    rows = (packed(df, shard=shard, h=F.xxhash64(F.lit(seed + 1), k, t), scatter=scatter)
+    maps = has_maps(df)
+    place = {"place": orderable(df)} if maps else {}
+    rows = (packed(df, shard=shard, h=F.xxhash64(F.lit(seed + 1), k, t), scatter=scatter, **place)
             .join(small(plan.select("shard", "buckets")), "shard")
-            .select("row", "shard", "h",
+            .select("row", "shard", "h", *place,
                     F.pmod("scatter", F.col("buckets")).cast("int").alias("bucket")))
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")),
                 math.ceil(total / (4 * bucket_bytes)))
+    dealt = F.collect_list(F.struct("h", *place, "row"))
     buckets = (rows.repartition(parts, "shard", "bucket")
                .groupBy("shard", "bucket")
-               .agg(F.sort_array(F.collect_list(F.struct("h", "row"))).alias("rows"))
+               .agg((F.array_sort(dealt, _by_place) if maps else F.sort_array(dealt)).alias("rows"))
                .sortWithinPartitions("shard", "bucket"))
-    shuffled = written(
+    shuffled = scratch.keep(scratch.write(
         buckets.select("shard", "bucket", F.posexplode(F.shuffle("rows", seed)).alias("pos", "r"))
-               .select("shard", "bucket", "pos", F.col("r.row").alias("row")), "shards")
+               .select("shard", "bucket", "pos", F.col("r.row").alias("row")), "shards"))
     sizes = shuffled.groupBy("shard", "bucket").agg(F.count("*").alias("n"))
-    before = written(sizes.alias("a")
-                     .select("shard", "bucket", F.sum("n").over(_earlier()).alias("before")),
-                     "bucket-offsets")
+    before = scratch.keep(scratch.write(
+        sizes.select("shard", "bucket", F.sum("n").over(_earlier()).alias("before")),
+        "bucket-offsets"))
     return (shuffled.join(small(before), ["shard", "bucket"])
             .select("row", "shard", "bucket",
                     (F.coalesce("before", F.lit(0)) + F.col("pos")).cast("long").alias("slot")))
 
 
+def _by_place(a: Column, b: Column) -> Column:
+    x, y = (F.struct(r["h"], r["place"]) for r in (a, b))
+    return F.when(x < y, -1).when(x > y, 1).otherwise(0)
+
+
 def _earlier():
     from pyspark.sql import Window
     return Window.partitionBy("shard").orderBy("bucket").rowsBetween(
