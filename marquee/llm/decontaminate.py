@@ -10,9 +10,12 @@ in which more than ``max_coverage`` of the words are hit are marked for removal.
 Only words within stretches of item n-grams are streamed: a window needs all its n-grams
 to occur in items, so nothing is lost (an exact, vectorised filter).
 
-Items are cut into blocks of bounded size; each block's automaton is broadcast and passes
-over all documents, so memory does not grow with the benchmark.  With several blocks only the
-documents that a block hits are written for it, and they meet the texts again in one join.
+Items are dealt to blocks of bounded size, longer ones in overlapping pieces, so that an automaton
+does not grow with the benchmark.  One block's automaton streams over the documents.  With several
+blocks the documents are read once, too: a filter of the hashes of all windows (bounded,
+``FILTER_BITS``) leaves the few stretches of text that may hold one, and each block's automaton
+streams over those.  The filter loses nothing; a benchmark of far over 20 million words fills
+it, and more stretches pass.
 
 Defined cases: null and empty texts have no words and no hits; an item without words has
 no window; items of one id are reported once (null ids as empty text); a
@@ -33,13 +36,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marquee.llm.common import forget, packed, small_batches, table, written
+from marquee.llm.common import Scratch, forget, packed, small_batches, table, written
+from marquee.llm.rolling import scrambled, word_ngrams, word_values, words_between
 
 WINDOW = 10
 #: Item words in one automaton (about 0.5 KB a word in a Python worker).
 BLOCK_WORDS = 100_000
-#: Length of the n-grams of the filter, at most.
+#: Length of the n-grams of an automaton's own filter, at most.
 GRAM = 4
+#: Bits of the windows' filter (32 MB), and bits that a window sets in it.
+FILTER_BITS, PROBES = 28, 4
 #: Production limits: any run of a whole window or item is cut; above this share the document goes.
 MAX_SPAN, MAX_COVERAGE = 10, 0.5
 
@@ -47,6 +53,8 @@ MAX_SPAN, MAX_COVERAGE = 10, 0.5
 _TO_WORDS = bytes(c + 32 if 65 <= c <= 90 else c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128
                   else 32 for c in range(256))
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
+#: The same for Spark, over characters.
+_WORDS = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -246,7 +254,7 @@ def _scanner(shared, window: int, whole: int):
 
 
 def _count_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(r"[0-9A-Za-z\x{80}-\x{10FFFF}]+")), F.lit(0))
+    return F.coalesce(F.regexp_count(text, F.lit(_WORDS)), F.lit(0))
 
 
 def _cleaned(text: str, starts: Column, stops: Column) -> Column:
@@ -270,6 +278,87 @@ def _merge(spans: Column) -> Column:
     return F.aggregate(F.array_sort(spans), empty, step)
 
 
+def _word_values(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of the text (words in lower case, blanks between), starts, stops and values of words."""
+    flat = (text or "").encode("utf-8", "surrogatepass").translate(_TO_WORDS)
+    raw = np.frombuffer(flat, np.uint8)
+    starts, stops = words_between(raw == 32)
+    return raw, starts, stops, word_values(raw, starts, stops)
+
+
+def _slots(values: np.ndarray, size: int) -> np.ndarray:
+    """Bits of the filter that each run of ``size`` words sets: one row a probe."""
+    at = np.arange(len(values) - size + 1)
+    h = scrambled(word_ngrams(values, at, at + size) + np.uint64(size))
+    step = scrambled(h) | np.uint64(1)
+    return np.stack([(h + np.uint64(k) * step) >> np.uint64(64 - FILTER_BITS)
+                     for k in range(PROBES)]).astype(np.int64)
+
+
+def window_filter(items: DataFrame, window: int) -> tuple[list[int], np.ndarray]:
+    """Sizes of the windows of ``text``, and the bytes of a filter of all of them: bits are put
+    together by Spark's bitmaps, 2^FILTER_BITS at most whatever the benchmark."""
+    def slots(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for text in b["text"]:
+                values = _word_values(text)[3]
+                size = min(window, len(values))
+                if size:
+                    yield pd.DataFrame({"slot": np.unique(_slots(values, size)), "size": size})
+
+    found = items.select("text").mapInPandas(slots, "slot long, size int")
+    no = F.col("slot") + 1                       # Spark's first bucket holds bits 1 to 32768
+    marks = found.groupBy(F.bitmap_bucket_number(no).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(no)).alias("bits"),
+        F.collect_set("size").alias("sizes"))
+    bits, sizes = np.zeros(1 << FILTER_BITS - 3, np.uint8), set()
+    for r in marks.toLocalIterator():
+        part = np.frombuffer(bytes(r.bits), np.uint8)
+        at = (r.bucket - 1) * len(part)
+        bits[at:at + len(part)] = part
+        sizes.update(r.sizes)
+    return sorted(sizes), bits
+
+
+def _stretches(shared):
+    """Words of a text, and its maximal runs of words that may lie in windows."""
+    @F.pandas_udf("n_words long, stretches array<struct<start:int,text:string>>")
+    def find(texts: pd.Series) -> pd.DataFrame:
+        sizes, bits = shared.value
+        rows = []
+        for t in texts:
+            raw, starts, stops, values = _word_values(t)
+            n = len(values)
+            turns = np.zeros(n + 1, np.int64)
+            for size in sizes:
+                if n >= size:
+                    slots = _slots(values, size)
+                    at = np.flatnonzero((bits[slots >> 3] >> (slots & 7) & 1).all(axis=0))
+                    turns[at] += 1
+                    turns[at + size] -= 1
+            edge = np.flatnonzero(np.diff(np.cumsum(turns) > 0, prepend=False, append=False))
+            rows.append((n, [{"start": int(a), "text": raw[starts[a]:stops[b - 1]].tobytes().decode(
+                "utf-8", "surrogatepass")} for a, b in zip(edge[::2], edge[1::2])]))
+        return pd.DataFrame(rows, columns=["n_words", "stretches"])
+    return find
+
+
+def _pieces(items: DataFrame, item_id: Column, item_text: Column, least: int,
+            block_words: int) -> DataFrame:
+    """Items with words, ``id``, ``text`` and number of words ``n``; those of more than a block's
+    words in pieces that overlap, of ``least`` words or more each."""
+    step = max(block_words, least)
+    words = F.regexp_extract_all("text", F.lit(f"({_WORDS})"))
+    at = F.explode(F.sequence(F.lit(0), F.greatest(F.col("n") - least, F.lit(0)), F.lit(step)))
+    every = (items.select(F.coalesce(item_id.cast("string"), F.lit("")).alias("id"),
+                          item_text.alias("text")).distinct()
+             .withColumn("n", _count_words(F.col("text"))).filter("n > 0"))
+    piece = F.array_join(F.slice(words, F.col("at") + 1, F.lit(step + least - 1)), " ")
+    return (every.select("id", "text", "n", at.alias("at"))
+            .select("id", F.when(F.col("n") <= step, F.col("text")).otherwise(piece).alias("text"))
+            .withColumn("n", _count_words(F.col("text"))))
+
+
 def find_windows(df: DataFrame, text: Column, items: DataFrame, item_id: Column,
                  item_text: Column, window: int = WINDOW,
                  block_words: int = BLOCK_WORDS, whole: int = 0) -> DataFrame:
@@ -277,35 +366,52 @@ def find_windows(df: DataFrame, text: Column, items: DataFrame, item_id: Column,
     (``whole``: they hold an item that has fewer words than a window, or than ``whole``) and
     ``items`` (ids as text, sorted, of the items with windows in the text)."""
     spark = df.sparkSession
-    small_batches(spark)
-    bench = written(items.select(F.coalesce(item_id.cast("string"), F.lit("")).alias("id"),
-                                 item_text.alias("text")).distinct()
-                    .withColumn("n", _count_words(F.col("text"))).filter("n > 0"), "items")
+    docs = packed(df, text=text)
+    bench = written(_pieces(items, item_id, item_text, max(window, whole), block_words), "items")
     total = bench.agg(F.sum("n")).first()[0] or 0
     n_blocks = max(1, -(-total // block_words))
 
-    def scan(k: int) -> Column:
+    def scanner(k: int):
         block = bench.filter(F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks)) == k)
         shared = spark.sparkContext.broadcast([(r[0], r[1]) for r in block.select(
             "id", "text").collect()])
-        return _scanner(shared, window, whole)("text").alias("hit")
+        return _scanner(shared, window, whole)
 
-    docs = packed(df, text=text)
-    if n_blocks == 1:
-        return docs.select("row", "text", scan(0)).select(
-            "row", "text", "hit.n_words", "hit.spans", "hit.items")
-    docs = written(docs.withColumn("key", F.monotonically_increasing_id()), "decontaminate")
-    parts = []
+    if n_blocks > 1:
+        with Scratch(spark) as scratch:
+            scratch.adopt(bench)
+            return _by_blocks(scratch, docs, bench, window, scanner, n_blocks)
+    small_batches(spark)
+    out = docs.select("row", "text", scanner(0)("text").alias("hit")).select(
+        "row", "text", "hit.n_words", "hit.spans", "hit.items")
+    forget(bench)
+    return out
+
+
+def _by_blocks(scratch: Scratch, docs: DataFrame, bench: DataFrame, window: int, scanner,
+               n_blocks: int) -> DataFrame:
+    """One pass over the documents for their stretches, then each block over the stretches."""
+    shared = docs.sparkSession.sparkContext.broadcast(window_filter(bench, window))
+    docs = scratch.keep(scratch.write(
+        docs.withColumn("found", _stretches(shared)("text")).select(
+            "row", "text", "found.*", F.monotonically_increasing_id().alias("key")),
+        "decontaminate"))
+    parts = scratch.write(docs.filter(F.size("stretches") > 0).select(
+        "key", F.explode("stretches").alias("s")).select("key", "s.*"), "decontaminate-stretches")
+    at = F.col("start")
+    shifted = F.transform("hit.spans", lambda s: F.struct(
+        (s["start"] + at).alias("start"), (s["stop"] + at).alias("stop"), s["whole"].alias("whole")))
+    hits = []
     for k in range(n_blocks):
-        hits = docs.select("key", scan(k)).filter(F.size("hit.spans") > 0)
-        parts.append(written(hits.select("key", "hit.spans", "hit.items"), "decontaminate-hits"))
-    found = reduce(DataFrame.union, parts).groupBy("key").agg(
+        hit = parts.select("key", "start", scanner(k)("text").alias("hit"))
+        hits.append(scratch.write(hit.filter(F.size("hit.spans") > 0).select(
+            "key", shifted.alias("spans"), "hit.items"), "decontaminate-hits"))
+    found = scratch.keep(scratch.write(reduce(DataFrame.union, hits).groupBy("key").agg(
         _merge(F.flatten(F.collect_list("spans"))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    none = F.array().cast(_SPANS)
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")),
+        "decontaminate-found"))
     return docs.join(found, "key", "left").select(
-        "row", "text", _count_words(F.col("text")).cast("long").alias("n_words"),
-        F.coalesce("spans", none).alias("spans"),
+        "row", "text", "n_words", F.coalesce("spans", F.array().cast(_SPANS)).alias("spans"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import random
 import re
 from collections import defaultdict
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from marquee.llm import decontaminate as dc
 from marquee.llm import simhash as sh
 from marquee.llm import substrings as ss
+from marquee.session import shared_dir
 
 SF = "/root/testdata/sf0.01"
 DOC = "doc_id long, text string"
@@ -133,6 +135,22 @@ def test_one_of_each_group_stays(spark):
     assert set(CLASH) <= set(out.columns)
 
 
+def test_repeats_of_a_row_with_a_map_column(spark):
+    rows = [(1, "a b c d", {"k": 2}), (1, "a b c d", {"k": 1}), (2, "something else here", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, extra map<string,int>")
+    assert sorted((r.doc_id, r.extra) for r in sh.keep_one(df).collect()) == [(1, {"k": 1}), (2, None)]
+
+
+def test_scratch_is_deleted_and_settings_come_back(spark):
+    folder, conf = f"{shared_dir(spark)}/marquee".removeprefix("file:"), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    os.makedirs(folder, exist_ok=True)
+    before, batch = set(os.listdir(folder)), spark.conf.get(conf)
+    out = sh.keep_one(spark.createDataFrame([(k, f"a b c d{k}") for k in range(60)], DOC))
+    assert out.count() == 60 and spark.conf.get(conf) == batch
+    left = set(os.listdir(folder)) - before
+    assert len(left) == 1 and next(iter(left)).startswith("llm-near-kept")
+
+
 def test_one_of_each_group_stays_without_ids_or_with_ids_of_several_texts(spark):
     rows = [(None, "first text of its own"), (None, "a second one, not alike"), (None, None),
             (None, ""), (7, "x y z w"), (7, "words that no other row has"), (8, "x y z w"),
@@ -367,6 +385,37 @@ def test_blocks_of_items_give_the_same(spark):
     assert hits(spark, docs[:-1], items, block_words=20) == slow_hits(docs[:-1], items)
 
 
+def test_items_longer_than_a_block_are_cut_into_pieces(spark):
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(400)}" for _ in range(300)]
+    items = [(1, " ".join(words)), (2, "two words"), (3, "  ".join(words[250:]).upper())]
+    docs = [(k, f"two words before {' '.join(words[k:k + 14])} and after") for k in range(0, 295, 3)]
+    for block in (7, 40):
+        assert hits(spark, docs, items, block_words=block) == slow_hits(docs, items)
+    pieces = dc._pieces(spark.createDataFrame(items, "i long, text string"), F.col("i"), F.col("text"),
+                        20, 40).collect()
+    assert len(pieces) > 8 and all(p.n <= 59 for p in pieces)
+
+
+def test_many_blocks_read_the_documents_once(spark, monkeypatch):
+    """Documents are read by one job whatever the number of blocks; blocks read stretches only."""
+    calls = []
+    write = dc.Scratch.write
+    monkeypatch.setattr(dc.Scratch, "write", lambda self, df, name: (
+        calls.append((name, df._jdf.queryExecution().toString())), write(self, df, name))[1])
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    args = docs, F.col("text"), bench, F.col("item_id"), F.col("text")
+    few = dc.find_windows(*args)
+    many = dc.find_windows(*args, block_words=80)
+    assert sum(name == "decontaminate-hits" for name, _ in calls) >= 20
+    assert [name for name, plan in calls if "documents.parquet" in plan] == ["decontaminate"]
+    row = lambda df: sorted((r.d, r.n_words, str(r.spans), str(r["items"])) for r in df.select(
+        F.col("row.doc_id").alias("d"), "n_words", "spans", "items").collect())
+    assert row(many) == row(few)
+    assert 0 < many.filter(F.size("spans") > 0).count() < docs.count()
+
+
 def test_empty_tables(spark):
     assert hits(spark, [], [(1, "a")]) == []
     assert hits(spark, [(1, "a b")], []) == [(1, 2, 0, [])]

@@ -53,6 +53,21 @@ def test_shards_hold_every_row_once(spark):
         sharding.shard_documents(df, 0)
 
 
+def test_rows_with_maps_are_sharded(spark):
+    rows = [(k % 5, f"t{k % 5}", {"a": k % 3}, [{"b": k}]) for k in range(200)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, m map<string,int>, l array<map<string,int>>")
+    got = [sharding.shard_documents(df, 3, bucket_bytes=1000).collect() for _ in range(2)]
+    assert sorted(map(str, got[0])) == sorted(map(str, got[1]))
+    assert sorted(str(tuple(r.row)) for r in got[0]) == sorted(map(str, rows))
+
+
+def test_columns_named_like_the_stage_s_stay(spark):
+    df = odd_docs(spark, 10)[0]
+    out = cp.sharding(spark, df, SF)
+    assert out.columns == [*df.columns, "_shard", "_slot"]
+    assert {(r.shard, r.slot) for r in out.collect()} == {("mine", "mine")}
+
+
 def test_shuffled_order_differs_from_the_hash_order(spark):
     df = spark.range(400).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"))
     rows = sharding.shard_documents(df, 1).orderBy("slot").collect()
