@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm.common import forget, packed, small_batches, table, written
+from marquee.llm.common import Scratch, packed, table
 from marquee.llm.decontaminate import decontaminate
 from marquee.llm.mixing import production_mix
 from marquee.llm.sharding import shard_documents
@@ -53,10 +53,19 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All rows in shuffled shards: the columns of documents, ``shard`` and ``slot``."""
+    """All rows in shuffled shards: the columns of documents, ``shard`` and ``slot``.  A column
+    that documents have under such a name keeps it; the new one gets underscores before its own."""
     out = shard_documents(docs, N_SHARDS, seed=SHARD_SEED)
-    return out.select(*[F.col(f"row.`{c}`") for c in docs.columns if c not in ("shard", "slot")],
-                      F.col("shard").cast("int").alias("shard"), "slot")
+    return out.select(*[F.col(f"row.`{c}`") for c in docs.columns],
+                      F.col("shard").cast("int").alias(_free("shard", docs)),
+                      F.col("slot").alias(_free("slot", docs)))
+
+
+def _free(name: str, docs: DataFrame) -> str:
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
 
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -70,12 +79,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over all documents."""
-    small_batches(spark)
     docs = table(spark, sf_dir, "documents")
-    before = None
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
-        if before is not None:
-            forget(before)
-        before = docs
+        with Scratch(spark) as scratch:
+            scratch.adopt(docs)
+            docs = scratch.keep(scratch.write(stage(spark, docs, sf_dir), f"stage-{name}"))
     return docs
