@@ -400,4 +400,8 @@ def test_library_stands_without_the_subpackage(tmp_path):
 def test_packed_keeps_any_names(spark):
     df = spark.createDataFrame([(1, 2)], "`a.b` long, row long")
     assert packed(df, row2=F.lit(3)).select("row.*").columns == ["a.b", "row"]
-    assert importlib.import_module("marquee.llm.queries").llm_oracles() == {}
+
+
+def test_queries_with_sql():
+    assert {k.split("_")[0] for k in importlib.import_module("marquee.llm.queries").llm_oracles()} == {
+        "op2", "op7", "op11", "op12", "op13"}
