@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import re
 from contextvars import ContextVar
+from functools import wraps
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,18 +23,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
-    """Bound what one Arrow batch holds, in rows and (where known) in bytes."""
+    """Bound the rows of an Arrow batch; a ``Scratch`` around it gives the session's number back."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write ``df`` to the cluster's shared folder and read it back."""
+    """Cut the lineage: write ``df`` to the cluster's shared folder and read it back.  Within a
+    ``Scratch`` the table is one of its tables."""
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch = path                      # for ``forget``
-    return out
+    scope = Scratch.current.get()
+    return scope.adopt(out) if scope else out
 
 
 def forget(*frames: DataFrame) -> None:
@@ -98,7 +101,7 @@ class Scratch:
     kept tables, or as plans over them without Python.  What a scope inside another one keeps
     lives until the outer one ends."""
 
-    _outer: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
+    current: ContextVar[Scratch | None] = ContextVar("scratch", default=None)
 
     def __init__(self, spark: SparkSession, rows: int = ARROW_ROWS):
         self.spark, self.rows, self.tables = spark, rows, []
@@ -106,8 +109,8 @@ class Scratch:
     def __enter__(self) -> Scratch:
         self.before = self.spark.conf.get(_BATCH)
         self.batch(self.rows)
-        self.around = Scratch._outer.get()
-        self.token = Scratch._outer.set(self)
+        self.around = Scratch.current.get()
+        self.token = Scratch.current.set(self)
         return self
 
     def batch(self, rows: int) -> None:
@@ -119,7 +122,8 @@ class Scratch:
 
     def adopt(self, table: DataFrame) -> DataFrame:
         """Delete a table that was written elsewhere, too."""
-        self.tables.append(table)
+        if not any(t is table for t in self.tables):
+            self.tables.append(table)
         return table
 
     def keep(self, df: DataFrame) -> DataFrame:
@@ -129,9 +133,19 @@ class Scratch:
         return df
 
     def __exit__(self, *failure) -> None:
-        Scratch._outer.reset(self.token)
+        Scratch.current.reset(self.token)
         self.spark.conf.set(_BATCH, self.before)
         forget(*self.tables)
 
 
+def tidy(query):
+    """A query ``(spark, sf_dir)`` that runs in a ``Scratch`` of its own: of all it wrote only its
+    result stays, and the session's settings are what they were."""
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        with Scratch(spark) as scratch:
+            return scratch.keep(scratch.write(query(spark, sf_dir), query.__name__))
+    return run
+
+
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"

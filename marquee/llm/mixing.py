@@ -25,7 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.llm.common import packed, table, written
+from marquee.llm.common import packed, table, tidy, written
 
 #: Hash ranges that an epoch's order is cut into (a power of two).
 RANGES = 1 << 12
@@ -204,6 +204,7 @@ def production_mix(docs: DataFrame, share: float = SHARE, max_epochs: int = MAX_
                max_epochs=max_epochs)
 
 
+@tidy
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
     """All documents mixed to the production weights: one row a taken document and epoch."""
     out = production_mix(table(spark, sf_dir, "documents"))
