@@ -16,6 +16,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from marquee.llm.mixing import op5_mixing
+from marquee.llm.quality import op9_quality_classifier
 from marquee.llm import decontaminate as dc
 from marquee.llm import simhash as sh
 from marquee.llm import substrings as ss
@@ -151,6 +153,16 @@ def test_scratch_is_deleted_and_settings_come_back(spark):
     assert len(left) == 1 and next(iter(left)).startswith("llm-near-kept")
 
 
+def test_queries_leave_only_their_result(spark):
+    folder, conf = f"{shared_dir(spark)}/marquee".removeprefix("file:"), "spark.sql.execution.arrow.maxRecordsPerBatch"
+    os.makedirs(folder, exist_ok=True)
+    for query in (op5_mixing, op9_quality_classifier):
+        before, batch = set(os.listdir(folder)), spark.conf.get(conf)
+        assert query(spark, "/root/testdata/sf0.001").count() and spark.conf.get(conf) == batch
+        left = set(os.listdir(folder)) - before
+        assert len(left) == 1 and next(iter(left)).startswith(f"llm-{query.__name__}")
+
+
 def test_one_of_each_group_stays_without_ids_or_with_ids_of_several_texts(spark):
     rows = [(None, "first text of its own"), (None, "a second one, not alike"), (None, None),
             (None, ""), (7, "x y z w"), (7, "words that no other row has"), (8, "x y z w"),

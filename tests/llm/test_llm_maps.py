@@ -142,6 +142,64 @@ def test_toxicity_odd_rows(spark):
         toxicity.toxicity_score(odd(spark), F.col("text"), model)).count() == 0
 
 
+def test_scales_are_learned_from_the_states():
+    g = toxicity.Grammar({"idiot ": (toxicity.INSULT, 3.0), "kill ": (toxicity.THREAT, 2.0)})
+    said = lambda t: dict(zip(toxicity.STATES, g.strongest(t)))
+    assert said("nothing here")["plain"] == 0 and said(None) == said("")
+    assert said("such idiot talk. fine")["plain"] == 3.0
+    assert said("not an idiot")["negated"] == 3.0
+    assert said(f"she said {'so ' * 40}idiot")["reported"] == 3.0     # to the end of the clause
+    assert said("said. idiot")["reported"] == 0
+    assert said("he said not an idiot")["negated"] == 3.0             # negation before report
+    assert said("you idiot")["targeted"] == 3.0
+    assert said("kill you now")["threat_to"] == 1 and said("idiot that you are")["insult_to"] == 1
+    # negated clauses of clean texts, plain ones and threats to someone of toxic texts
+    x, y = [], []
+    for _ in range(60):
+        for text, label in (("idiot came", 1), ("not an idiot", 0), ("words", 0), ("kill it", 0),
+                            ("kill you", 1)):
+            x.append(g.strongest(text))
+            y.append(label)
+    scales = toxicity.fit_scales(np.array(x), np.array(y))
+    # a weight of 2 is clean and one of 3 toxic, so "you" must add half a unit or more
+    assert scales.negated < 0.1 and scales.threat_to > 0.5
+    assert scales.reported == toxicity.Scales().reported              # not shown: the default
+    assert toxicity.fit_scales(np.array(x), np.ones(len(x))) == toxicity.Scales()
+
+
+def test_stems_become_threats_where_a_target_makes_them_toxic(spark):
+    rows = [("we grollen you", 1.0), ("we grollen nothing", 0.0), ("a blarf came", 1.0),
+            ("blarf is you", 1.0), ("plain words", 0.0)] * 40
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(
+        [(t + f" w{i}", y) for i, (t, y) in enumerate(rows)] + [("many grollen", 1.0)] * 160,
+        "text string, y double"))
+    kinds = {k.strip(): v[0] for k, v in lexicon.items()}
+    assert next(v for k, v in kinds.items() if "blarf".startswith(k)) == toxicity.INSULT
+    lexicon = toxicity.learn_lexicon(spark.createDataFrame(
+        [("we grollen you", 1.0)] * 200 + [("we grollen it", 0.0)] * 20
+        + [("plain words", 0.0)] * 300, "text string, y double"))
+    kinds = {k.strip(): v[0] for k, v in lexicon.items()}
+    assert next(v for k, v in kinds.items() if "grollen".startswith(k)) == toxicity.THREAT
+
+
+def test_quality_by_n_grams(spark):
+    assert quality.grams(None).sum() == 0 and len(quality.grams("")) == len(quality.grams("a b"))
+    text = "Some Words and THE same words " * 9000          # over several pieces
+    whole, lower = quality.grams(text), quality.grams(text.lower())
+    assert (whole == lower).all() and abs((whole ** 2).sum() - 2) < 1e-9
+    # texts alike on the surface, told apart by their words alone
+    good, bad = ["river", "stone", "cloud", "meadow"], ["click", "prize", "bonus", "claims"]
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(rng.choice(good if i % 2 else bad, 30)), i % 2) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, quality int")
+    labels = docs.select("doc_id", "quality")
+    model = quality.train(docs.select("doc_id", "text"), labels, F.col("quality"),
+                          F.col("doc_id") < 300, kinds=(quality.GRAMS,))
+    got = docs.filter("doc_id >= 300").select("quality", quality.quality_score(
+        F.col("text"), model).alias("s")).collect()
+    assert all((r.s >= 0.5) == (r.quality == 1) for r in got)
+
+
 def test_grammar_matches_clauses_not_words():
     g = toxicity.Grammar({"idiot ": (toxicity.INSULT, 3.0), "kill ": (toxicity.THREAT, 2.0)})
     score = lambda t: max(g.clauses(t), default=0.0)
