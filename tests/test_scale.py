@@ -1,0 +1,25 @@
+"""What queries hold in memory or do twice must not outgrow their input."""
+
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from marquee.plans import fixtures as fx
+
+PART = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+EVENTS = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+
+
+def test_watchlist_joins_each_title_once(spark, tmp):
+    """No copies of the title table: a broadcast is sized by the table's files, not by its copies."""
+    spark.createDataFrame([(i, f"n{i}", "b", "t", 1, 9.0) for i in range(1, 6)], PART).write.parquet(f"{tmp}/part.parquet")
+    at = dt.datetime(2020, 1, 2)
+    props = ['{"k": 1}', '{"k": 1}', '{"k": 5}', '{"k": 9}', "{}", None]
+    spark.createDataFrame([(i, at, i, "view", 1.0, p) for i, p in enumerate(props, 1)], EVENTS).write.parquet(f"{tmp}/events.parquet")
+    w = fx.watchlist(spark, tmp)
+    p = w._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("Generate ") == 1                   # the copies of events (rep)
+    titles = {int(r.event_id): r.title and r.title.strip().lower() for r in w.collect()}
+    assert titles == {1: "n1 1", 2: "n1 1", 3: "n5 5", 4: "", 5: "", 6: ""}
