@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from marquee.operators import marts as mt
 from marquee.plans import fixtures as fx
 
 PART = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
@@ -23,3 +24,17 @@ def test_watchlist_joins_each_title_once(spark, tmp):
     assert p.count("Generate ") == 1                   # the copies of events (rep)
     titles = {int(r.event_id): r.title and r.title.strip().lower() for r in w.collect()}
     assert titles == {1: "n1 1", 2: "n1 1", 3: "n5 5", 4: "", 5: "", 6: ""}
+
+
+def test_rating_states_are_no_wider_than_ratings(spark):
+    """A title with one rater has no bitmap of thousands of bytes, and states are hashed, not sorted."""
+    users = [None, 0, 63, 64, -1, -64, 2**62, 2**63 - 1, -2**63]
+    df = spark.createDataFrame([(i, u, f"t{i}", 5.0, None) for i, u in enumerate(users)],
+                               "rating_id long, user_id long, movie_key string, score double, watched_date date")
+    state = mt.rating_state(df)
+    merged = mt.merge_rating_states(state, mt.rating_state(df.withColumn("movie_key", F.lit("t0"))))
+    for s in (state, merged):
+        assert s.schema["raters"].dataType.simpleString() == "bigint"
+        assert "SortAggregate" not in s._jdf.queryExecution().sparkPlan().toString()
+    counts = {r.movie_key: (r.rating_count, r.unique_raters) for r in mt.fact_ratings_of(merged).collect()}
+    assert counts == {"t0": (10, 8)} | {f"t{i}": (1, 1) for i in range(1, 9)}
