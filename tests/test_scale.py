@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from marquee.operators import marts as mt
+from marquee.operators.cleaners import CLEANERS
 from marquee.plans import fixtures as fx
 
 PART = "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
@@ -38,3 +39,27 @@ def test_rating_states_are_no_wider_than_ratings(spark):
         assert "SortAggregate" not in s._jdf.queryExecution().sparkPlan().toString()
     counts = {r.movie_key: (r.rating_count, r.unique_raters) for r in mt.fact_ratings_of(merged).collect()}
     assert counts == {"t0": (10, 8)} | {f"t{i}": (1, 1) for i in range(1, 9)}
+
+
+def test_marts_of_one_silver_table_clean_once(spark, tmp, monkeypatch):
+    """Of all tables that these queries write, one is made from the source tables."""
+    from marquee.plans import io_queries as io
+    at = dt.datetime(2020, 1, 2)
+    spark.createDataFrame([(i, f"n{i}", "b", "t", 1, 9.0) for i in range(1, 4)], PART).write.parquet(f"{tmp}/part.parquet")
+    spark.createDataFrame([(i, i % 5) for i in range(1, 21)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp}/orders.parquet")
+    spark.createDataFrame([(i, i % 4, n, 4.0 * n, at) for i in range(1, 21) for n in (1, 2, 2)],
+                          "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_shipdate timestamp_ntz") \
+         .write.parquet(f"{tmp}/lineitem.parquet")
+    want = sorted(map(str, mt.fact_ratings(CLEANERS["ratings"](fx.bronze(spark, tmp, "ratings"))).collect()))
+    reads, write = [], io.Store.write
+
+    def spied(self, df, layer, table, *a, **b):
+        reads.append((table, any("lineitem" in f for f in df.inputFiles())))
+        return write(self, df, layer, table, *a, **b)
+
+    monkeypatch.setattr(io.Store, "write", spied)
+    for q, tables in ((io.q_sink_ctas_roundtrip, ["fact_ratings"] * 2), (io.q_fact_ratings_merged, ["rating_state"] * 2)):
+        reads.clear()
+        assert sorted(map(str, q(spark, tmp).collect())) == want and want
+        assert [t for t, _ in reads if t != "ratings"] == tables
+        assert sum(source for _, source in reads) == 1
