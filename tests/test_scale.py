@@ -27,6 +27,15 @@ def test_watchlist_joins_each_title_once(spark, tmp):
     assert titles == {1: "n1 1", 2: "n1 1", 3: "n5 5", 4: "", 5: "", 6: ""}
 
 
+def test_watchlist_events_without_id_have_no_title(spark, tmp):
+    """Joined by title number alone, they would get one."""
+    spark.createDataFrame([(1, "n1", "b", "t", 1, 9.0)], PART).write.parquet(f"{tmp}/part.parquet")
+    at = dt.datetime(2020, 1, 2)
+    spark.createDataFrame([(i, at, 7, "view", 1.0, '{"k": 1}') for i in (None, 3)], EVENTS).write.parquet(f"{tmp}/events.parquet")
+    titles = {r.event_id: r.title.strip().lower() for r in fx.watchlist(spark, tmp).collect()}
+    assert titles == {None: "", "3": "n1 1"}
+
+
 def test_rating_states_are_no_wider_than_ratings(spark):
     """A title with one rater has no bitmap of thousands of bytes, and states are hashed, not sorted."""
     users = [None, 0, 63, 64, -1, -64, 2**62, 2**63 - 1, -2**63]
