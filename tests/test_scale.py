@@ -36,6 +36,29 @@ def test_watchlist_events_without_id_have_no_title(spark, tmp):
     assert titles == {None: "", "3": "n1 1"}
 
 
+def test_tables_joined_to_feeds_are_not_broadcast(spark, tmp):
+    """The planner sizes a broadcast by files: titles and orders would stand in the driver's memory."""
+    at = dt.datetime(2020, 1, 2)
+    tables = {
+        "part": (PART, [(i, f"n{i}", "b", "t", 1, 9.0) for i in range(4)]),
+        "events": (EVENTS, [(i, at, i, "view", 1.0, f'{{"k": {i % 5}}}') for i in range(9)]),
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string",
+                   [(i, i, "F", at, "5-LOW") for i in range(9)]),
+        "lineitem": ("l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_shipdate timestamp_ntz",
+                     [(i, i % 5, 1, 4.0, at) for i in range(9)]),
+        "documents": ("doc_id long, text string", [(i, f"text {i}") for i in range(9)]),
+        "labels": ("doc_id long, quality int, toxic int", [(i, 1, 0) for i in range(5)])}
+    for t, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp}/{t}.parquet")
+    want = {"watchlist": ("title", {"n0 0", "n1 1", "n2 2", "n3 3", ""}, 0), "ratings": ("movie_title", {"n0 0", "n1 1", "n2 2", "n3 3", ""}, 0),
+            "awards": ("title", {"n0 0", "n1 1"}, 0), "reviews": ("movie_title", {"n0 0", "n1 1", "n2 2"}, 1)}     # 1: labels
+    for name, (title, titles, broadcast) in want.items():
+        df = fx.BUILDERS[name](spark, tmp)
+        assert {r[title].strip().lower() for r in df.collect()} == titles, name
+        ran = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+        assert ran.count("BroadcastHashJoin") == broadcast and "SortMergeJoin" in ran, name
+
+
 def test_rating_states_are_no_wider_than_ratings(spark):
     """A title with one rater has no bitmap of thousands of bytes, and states are hashed, not sorted."""
     users = [None, 0, 63, 64, -1, -64, 2**62, 2**63 - 1, -2**63]
