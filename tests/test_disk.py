@@ -96,6 +96,17 @@ def test_end_to_end_run_holds_neither_landed_feeds_nor_shuffles(spark, monkeypat
     assert out.count() == fx.read_table(spark, SF_SMALL, "part").count()
 
 
+def test_run_metrics_holds_neither_landed_feeds_nor_shuffles(spark, monkeypatch):
+    monkeypatch.setattr(io, "_RUNS", {})                 # a run of its own
+    seen, before = watch(monkeypatch), shuffles(spark)
+    out = io.q_run_metrics(spark, SF_SMALL)
+    assert len(left(spark, before)) <= 1                 # the second snapshot's, outside of the run
+    assert sorted(seen) == [(ds, False) for ds in sorted(DATASETS)]
+    assert out.count() == 2 and out.distinct().count() == 1
+    assert io.q_run_metrics(spark, SF_SMALL).count() == 2
+    assert len(seen) == len(DATASETS)                    # not run again
+
+
 def test_a_landing_is_kept_unless_asked_otherwise(spark, tmp):
     land = pl.write_landing(spark, {ds: fx.bronze(spark, SF_SMALL, ds) for ds in DATASETS}, f"{tmp}/land")
     feeds = {ds.feed for ds in DATASETS.values()}
